@@ -15,11 +15,13 @@ same buckets with the work spread over all tasks:
 4. global position = offset + local position; the bucket follows from the
    NTILE rule (the first ``total % n`` buckets hold one extra row).
 
-Both uses of the range-partitioned data read the SAME shuffle (the plan shows
-a ``ReusedExchange``), so the sampled range bounds are computed once and a
-recomputed map task re-partitions with the same bounds.  An explicit
-partition count also keeps AQE from coalescing that shuffle, so partition
-indices agree between the two branches.  A tie group larger than a partition
+The sorted, position-tagged rows are written ONCE as a parquet table under
+the shared checkpoint folder (``spark.checkpoint.dir``) and both consumers
+(the per-partition counts and the final join) read that table.  Range
+bounds are sampled once, a lost executor cannot make the two consumers see
+different partitionings, and the lineage before the sort is not recomputed.
+The counts read only the ``_pid`` column.  An explicit partition count keeps
+AQE from coalescing the range shuffle.  A tie group larger than a partition
 is split by the tie-break column, so a hot value cannot overload one task.
 """
 
@@ -30,6 +32,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerflow.session import scratch_path
+
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | record number
 
 
@@ -57,6 +61,9 @@ def ntile_global(
         F.shiftright("_mid", _LOCAL_BITS).alias("_pid"),
         F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_rec"),
     )
+    path = scratch_path(df.sparkSession, f"ntile-{out_col}")
+    idx.write.mode("error").parquet(path)
+    idx = df.sparkSession.read.parquet(path)
     counts = idx.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     # at most `parts` rows: a global window here is a tiny single task
     offsets = counts.select(

@@ -8,8 +8,9 @@
 * customer_ltv: three global quartiles over customer-grain data -- computed
   with the distributed NTILE, never a single-partition window.
 
-Output ordering of each model is kept (as the SQL models' ORDER BY), but
-downstream users should not rely on it after further transformations.
+The models' trailing ORDER BY has no effect on a materialised table, so it
+is not applied here (it would cost a range-sampling job and a shuffle); the
+report queries that need an order sort their own (small) results.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def revenue_trends(daily: DataFrame) -> DataFrame:
     return rolled.select(
         "date", "total_orders", "total_revenue", "avg_order", "unique_customers", "top_category",
         "revenue_7d_avg", "revenue_7d_sum", growth.alias("mom_growth_pct"),
-    ).orderBy(F.col("date").desc())
+    )
 
 
 def top_products(perf: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def top_products(perf: DataFrame) -> DataFrame:
         F.rank().over(per.orderBy(F.col("revenue").desc_nulls_first())).alias("revenue_rank"),
         F.rank().over(per.orderBy(F.col("units_sold").desc_nulls_first())).alias("volume_rank"),
         share.alias("revenue_share_pct"),
-    ).orderBy(F.col("period").desc_nulls_first(), F.col("revenue_rank").asc())
+    )
 
 
 def customer_ltv(segments: DataFrame, best_is_4: bool = False, num_partitions: int | None = None) -> DataFrame:
@@ -92,6 +93,3 @@ def customer_ltv(segments: DataFrame, best_is_4: bool = False, num_partitions: i
         F.round("clv_score", 4).alias("clv_score"),
         "monetary_quartile", "frequency_quartile", "recency_quartile",
     )
-    # The model's ORDER BY clv_score DESC has no effect on a materialised
-    # table; it is left to the readers (a global sort of every customer
-    # would cost a full range shuffle here).

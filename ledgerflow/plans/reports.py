@@ -23,17 +23,28 @@ def _since(as_of, days: int):
 def summary(daily: DataFrame, segments: DataFrame, as_of=None, days: int = S.RECENT_DAYS) -> DataFrame:
     """RP1: trailing-window totals (empty window -> zeros) plus all-time counts
     of vip and at_risk customers.  avg_order_value is the unweighted mean of
-    the daily averages; unique_customers is the largest daily count."""
-    vip = segments.filter(F.col("segment") == "vip").select(F.count(F.lit(1))).scalar()
-    at_risk = segments.filter(F.col("segment") == "at_risk").select(F.count(F.lit(1))).scalar()
-    return daily.filter(_since(as_of, days)).agg(
+    the daily averages; unique_customers is the largest daily count.
+
+    Both inputs go through ONE global aggregate over their union (each side
+    partial-aggregated per task), instead of a query per figure."""
+    d = daily.filter(_since(as_of, days)).select(
+        "total_revenue", "total_orders", "avg_order", "unique_customers", F.lit(None).cast("string").alias("segment")
+    )
+    s = segments.select(
+        F.lit(None).cast(daily.schema["total_revenue"].dataType).alias("total_revenue"),
+        F.lit(None).cast(daily.schema["total_orders"].dataType).alias("total_orders"),
+        F.lit(None).cast(daily.schema["avg_order"].dataType).alias("avg_order"),
+        F.lit(None).cast(daily.schema["unique_customers"].dataType).alias("unique_customers"),
+        "segment",
+    )
+    return d.unionByName(s).agg(
         F.lit(f"last_{days}_days").alias("period"),
         F.coalesce(F.sum("total_revenue"), F.lit(0)).alias("total_revenue"),
         F.coalesce(F.sum("total_orders"), F.lit(0)).alias("total_orders"),
         F.coalesce(F.avg("avg_order"), F.lit(0)).alias("avg_order_value"),
         F.coalesce(F.max("unique_customers"), F.lit(0)).alias("unique_customers"),
-        vip.alias("vip_customers"),
-        at_risk.alias("at_risk_customers"),
+        F.count_if(F.col("segment") == "vip").alias("vip_customers"),
+        F.count_if(F.col("segment") == "at_risk").alias("at_risk_customers"),
     )
 
 
