@@ -19,7 +19,12 @@ def clean_orders(bronze: DataFrame, ingested_at: bool = True) -> DataFrame:
     net of it (the source's behaviour, kept on purpose)."""
     df = bronze.withColumn("created_at", parse_ts("created_at"))
     df = keep_first(df, ["order_id"], S.ORDERS_DEDUPE_ORDER)
-    df = df.dropna(how="any", subset=["order_id", "customer_id", "product_id"])
+    return finish_orders(df, ingested_at)
+
+
+def finish_orders(deduped: DataFrame, ingested_at: bool = True) -> DataFrame:
+    """The SV1 steps after the dedupe (shared with the streaming job)."""
+    df = deduped.dropna(how="any", subset=["order_id", "customer_id", "product_id"])
     df = df.filter((F.col("unit_price") > 0) & (F.col("quantity") > 0) & (F.col("total_amount") > 0))
     df = df.withColumn("status", normalize("status"))
     df = df.withColumns(
