@@ -22,6 +22,7 @@ from ledgerflow.operators import gold, quality, silver
 from ledgerflow.plans import models
 from ledgerflow.plans.metadata import Warehouse, _now, log_dq, log_run, register_table
 from ledgerflow.sinks import write_partitioned, write_table
+from ledgerflow.sources.tables import read_snapshots
 
 
 def _job(wh: Warehouse, name: str, layer: str, body: Callable[[], tuple[int, int]]) -> tuple[int, int]:
@@ -105,12 +106,44 @@ def build_models(wh: Warehouse) -> None:
         register_table(wh, name, "gold", wh.path("gold", name), int(obs.get["rows"]), df.schema.json())
 
 
+def land_bronze(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame, bronze_products: DataFrame,
+                snapshot: str = "current") -> None:
+    """Land the three feeds as files, laid out as the ingestion writes them:
+    orders under year=/month=/day= folders, customers and products as
+    snapshot files."""
+    dated = bronze_orders.withColumns(
+        {
+            "year": F.year(F.try_to_timestamp("created_at")),
+            "month": F.month(F.try_to_timestamp("created_at")),
+            "day": F.dayofmonth(F.try_to_timestamp("created_at")),
+        }
+    )
+    write_partitioned(dated, wh.path("bronze", "orders"), ["year", "month", "day"])
+    write_table(bronze_customers, wh.path("bronze", f"customers/snapshot_{snapshot}.parquet"))
+    write_table(bronze_products, wh.path("bronze", f"products/snapshot_{snapshot}.parquet"))
+
+
+def read_bronze(wh: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """SRC1-SRC3: leaf-glob read of the order files (no partition columns,
+    the silver job derives them from event time) and all snapshots at once,
+    each with an explicit schema (no inference pass over the footers)."""
+    orders = read_snapshots(wh.spark, wh.path("bronze", "orders/year=*/month=*/day=*/*.parquet"), S.BRONZE_ORDERS)
+    customers = read_snapshots(wh.spark, wh.path("bronze", "customers/*.parquet"), S.BRONZE_CUSTOMERS)
+    products = read_snapshots(wh.spark, wh.path("bronze", "products/*.parquet"), S.BRONZE_PRODUCTS)
+    return orders, customers, products
+
+
 def run_all(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame, bronze_products: DataFrame,
-            as_of=None, vip_over=S.VIP_OVER, premium_over=S.PREMIUM_OVER) -> Warehouse:
+            as_of=None, vip_over=S.VIP_OVER, premium_over=S.PREMIUM_OVER, land: bool = True) -> Warehouse:
+    """The whole batch pipeline.  With ``land=True`` the feeds are first
+    landed as files and the silver jobs read them back (the production path)."""
+    if land:
+        land_bronze(wh, bronze_orders, bronze_customers, bronze_products)
+        bronze_orders, bronze_customers, bronze_products = read_bronze(wh)
     bronze_to_silver(wh, bronze_orders, bronze_customers, bronze_products, as_of)
     silver_to_gold(wh, as_of, vip_over, premium_over)
     build_models(wh)
     return wh
 
 
-__all__ = ["Warehouse", "bronze_to_silver", "silver_to_gold", "build_models", "run_all", "dt"]
+__all__ = ["Warehouse", "land_bronze", "read_bronze", "bronze_to_silver", "silver_to_gold", "build_models", "run_all", "dt"]

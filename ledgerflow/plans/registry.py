@@ -131,9 +131,25 @@ CORE_QUERIES: dict[str, Callable[[Lineage], DataFrame]] = {
     "report_customer_ltv": lambda L: reports.customer_ltv_lookup(L.customer_ltv(), LOOKUP_CUSTOMER),
     "report_category_rollup": lambda L: reports.category_rollup(L.top_products()),
     "table_tests": _table_tests,
+    "to_numeric_try": lambda L: _to_numeric(L),
 }
 
 
+def _to_numeric(L: Lineage) -> DataFrame:
+    """FN9 / FN21: coerce text to numbers, unparsable -> NULL (no error), over
+    the events table: numeric text, a label and a JSON blob."""
+    from ledgerflow.functions import to_numeric
+
+    ev = D.table(L.spark, L.sf_dir, "events")
+    return ev.select(
+        "event_id",
+        to_numeric(F.col("value").cast("string")).alias("value_num"),
+        to_numeric("event_type").alias("event_type_num"),
+        to_numeric("props").alias("props_num"),
+        to_numeric(F.col("user_id").cast("string"), "long").alias("user_id_num"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {}
     for name, fn in CORE_QUERIES.items():
