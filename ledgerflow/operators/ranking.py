@@ -81,3 +81,133 @@ def ntile_global(
         .cast("int")
     )
     return idx.join(F.broadcast(offsets), "_pid").select(*cols, bucket.alias(out_col))
+
+
+# ---------------------------------------------------------------------------
+# Distributed RANK() OVER (PARTITION BY p ORDER BY o)
+# ---------------------------------------------------------------------------
+def _local_positions(p_cols: list[str], o_cols: list[str]):
+    """Per sorted partition: local record number and the local record number
+    where the row's (p, o) tie group starts.  Vectorised over Arrow batches,
+    carrying the last key across batch boundaries."""
+
+    def fn(batches):
+        import numpy as np
+        import pandas as pd
+        from pyspark import TaskContext
+
+        pid = TaskContext.get().partitionId()
+        rec0, carry, carry_first = 0, None, 0
+        keys_cols = p_cols + o_cols
+        for pdf in batches:
+            n = len(pdf)
+            if n == 0:
+                continue
+            keys = pdf[keys_cols].reset_index(drop=True)
+            ext = keys if carry is None else pd.concat([carry, keys], ignore_index=True)
+            new = np.zeros(len(ext), dtype=bool)
+            for c in keys_cols:
+                a, prev = ext[c], ext[c].shift(1)
+                same = ((a == prev) | (a.isna() & prev.isna())).to_numpy(dtype=bool)
+                new |= ~same
+            if carry is None:
+                new[0] = True  # the partition's first row opens a group
+            else:
+                new = new[1:]
+            recs = np.arange(rec0, rec0 + n, dtype=np.int64)
+            first = np.where(new, recs, -1)
+            if not new[0]:
+                first[0] = carry_first
+            first = np.maximum.accumulate(first)
+            yield pdf.assign(_pid=np.int64(pid), _rec=recs, _tfirst=first)
+            carry, carry_first, rec0 = keys.iloc[[n - 1]], int(first[-1]), rec0 + n
+
+    return fn
+
+
+def rank_within(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    order: Sequence[Column],
+    order_cols: Sequence[str],
+    tiebreak: Sequence[str],
+    out_col: str,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Add ``out_col`` = RANK() OVER (PARTITION BY partition_cols ORDER BY order).
+
+    ``order`` are the sort expressions over ``order_cols`` (the columns that
+    define peers).  Unlike a window, no task holds a whole partition group:
+
+    1. range-partition + sort on (partition cols, order, unique tie-break), so
+       a group -- or a tie group -- larger than a task is split;
+    2. one vectorised pass over each sorted partition (``mapInPandas``)
+       records the local start of every tie group -- this replaces the
+       shuffle a window on (partition id, keys) would need;
+    3. the rows are written once to the shared checkpoint folder (both
+       consumers read the same bytes);
+    4. a per-(partition id, group) summary -- at most ``num_partitions`` +
+       #groups rows -- gives each partition's offset inside its group and,
+       for a tie group that started in an earlier partition, where it
+       started (a self-join of that small table);
+    5. rank = 1 + position of the tie group's first row.
+    """
+    from pyspark.sql import types as T
+
+    spark = df.sparkSession
+    parts = _num_partitions(df, num_partitions)
+    p_cols, o_cols = list(partition_cols), list(order_cols)
+    sort_spec = [F.col(c).asc_nulls_first() for c in p_cols] + list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
+    cols = df.columns
+    ranged = df.repartitionByRange(parts, *sort_spec).sortWithinPartitions(*sort_spec)
+    schema = T.StructType(
+        df.schema.fields
+        + [T.StructField("_pid", T.LongType()), T.StructField("_rec", T.LongType()), T.StructField("_tfirst", T.LongType())]
+    )
+    local = ranged.mapInPandas(_local_positions(p_cols, o_cols), schema)
+    path = scratch_path(spark, f"rank-{out_col}")
+    local.write.mode("error").parquet(path)
+    t = spark.read.parquet(path)
+
+    okey = F.struct(*[F.col(c) for c in o_cols])
+    stats = t.groupBy("_pid", *p_cols).agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        F.min("_rec").alias("_minrec"),
+        F.min_by(okey, "_rec").alias("_firsto"),
+        F.max_by(okey, "_rec").alias("_lasto"),
+        F.max_by("_tfirst", "_rec").alias("_lastfirst"),
+    )
+    by_group = Window.partitionBy(*p_cols).orderBy("_pid") if p_cols else Window.orderBy("_pid")
+    stats = stats.withColumn(
+        "_off", F.coalesce(F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ).withColumn("_laststart", F.col("_off") + F.col("_lastfirst") - F.col("_minrec"))
+    # tie group continuing from an earlier partition: it starts where the
+    # earliest partition whose LAST tie group has the same key starts it
+    a = stats.select("_pid", *p_cols, "_firsto")
+    b = stats.select(
+        F.col("_pid").alias("_q"), *[F.col(c).alias(f"_b_{c}") for c in p_cols], "_lasto", "_laststart"
+    )
+    cond = (F.col("_q") < F.col("_pid")) & F.col("_lasto").eqNullSafe(F.col("_firsto"))
+    for c in p_cols:
+        cond = cond & F.col(f"_b_{c}").eqNullSafe(F.col(c))
+    carry = (
+        a.join(b, cond, "inner")
+        .groupBy("_pid", *p_cols)
+        .agg(F.min_by("_laststart", "_q").alias("_carry"))
+        .select(F.col("_pid").alias("_c_pid"), *[F.col(c).alias(f"_c_{c}") for c in p_cols], "_carry")
+    )
+    ccond = F.col("_pid") == F.col("_c_pid")
+    for c in p_cols:  # NULL is a group of its own: null-safe keys throughout
+        ccond = ccond & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+    summary = stats.join(carry, ccond, "left").select(
+        F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in p_cols], "_off", "_minrec", "_carry"
+    )
+    join_cond = F.col("_pid") == F.col("_s_pid")
+    for c in p_cols:
+        join_cond = join_cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
+    joined = t.join(summary, join_cond, "inner")
+    start = (
+        F.when((F.col("_tfirst") == F.col("_minrec")) & F.col("_carry").isNotNull(), F.col("_carry"))
+        .otherwise(F.col("_off") + F.col("_tfirst") - F.col("_minrec"))
+    )
+    return joined.select(*cols, (start + 1).cast("int").alias(out_col))

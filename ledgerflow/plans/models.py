@@ -3,8 +3,8 @@
 * revenue_trends: 7-ROW rolling measures and a 30-ROW lag (row offsets, not
   calendar days).  A global window is used on purpose: the input is one row
   per day, so the single task holds a few thousand rows at any fact size.
-* top_products: ranks per period.  The window partitions by period, i.e. one
-  task per month holding that month's products (bounded by the catalog).
+* top_products: ranks per period with the distributed RANK (range-sorted
+  on period, value and product id), so no task holds a whole month.
 * customer_ltv: three global quartiles over customer-grain data -- computed
   with the distributed NTILE, never a single-partition window.
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.ranking import ntile_global
+from ledgerflow.operators.ranking import ntile_global, rank_within
 
 
 def revenue_trends(daily: DataFrame) -> DataFrame:
@@ -44,16 +44,29 @@ def revenue_trends(daily: DataFrame) -> DataFrame:
     )
 
 
-def top_products(perf: DataFrame) -> DataFrame:
-    """G5.  DESC sorts put NULLs first, as the SQL models' database does."""
-    per = Window.partitionBy("period")
-    period_total = F.nullif(F.sum("revenue").over(per), F.lit(0)).cast("decimal(18,2)")
+def top_products(perf: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """G5.  DESC sorts put NULLs first, as the SQL models' database does.
+
+    Ranks use the distributed RANK (no task holds a whole period, and a hot
+    tie group -- many products with the same units -- is split); the period
+    revenue total is a per-period aggregate joined back (one row per period)
+    instead of a window over the period."""
+    totals = perf.groupBy("period").agg(F.sum("revenue").alias("_period_revenue"))
+    totals = totals.select(F.col("period").alias("_t_period"), "_period_revenue")
+    base = perf.join(totals, perf["period"].eqNullSafe(totals["_t_period"]), "left").drop("_t_period")
+    ranked = rank_within(
+        base, ["period"], [F.col("revenue").desc_nulls_first()], ["revenue"], ["product_id"], "revenue_rank", num_partitions
+    )
+    ranked = rank_within(
+        ranked, ["period"], [F.col("units_sold").desc_nulls_first()], ["units_sold"], ["product_id"], "volume_rank",
+        num_partitions,
+    )
+    period_total = F.nullif(F.col("_period_revenue"), F.lit(0)).cast("decimal(18,2)")
     share = F.round((F.col("revenue") * 100).cast("decimal(20,2)") / period_total, 2)
-    return perf.select(
+    return ranked.select(
         "product_id", "product_name", "category", "period", "units_sold", "revenue", "avg_price",
         F.round(F.col("return_rate") * 100, 2).alias("return_rate_pct"),
-        F.rank().over(per.orderBy(F.col("revenue").desc_nulls_first())).alias("revenue_rank"),
-        F.rank().over(per.orderBy(F.col("units_sold").desc_nulls_first())).alias("volume_rank"),
+        "revenue_rank", "volume_rank",
         share.alias("revenue_share_pct"),
     )
 

@@ -112,22 +112,20 @@ def top_products_report(top: DataFrame, period: str | None = None, limit: int =
 
 def top_products_fallback(perf: DataFrame, limit: int = S.TOP_PRODUCTS_LIMIT) -> DataFrame:
     """RP6: latest period straight from product_performance, unknown names
-    shown as 'Unknown'.  The rank window is partitioned by the (single)
-    period left after the filter instead of being a global window."""
+    shown as 'Unknown'.  The top-k is taken first (per-task partial top-k),
+    then ranked: every row that outranks a top-k row is itself in the top-k,
+    so RANK over the k rows equals RANK over the whole period."""
     latest = perf.filter(F.col("period") == latest_period(perf))
+    top = latest.orderBy(F.col("revenue").desc_nulls_first(), F.col("product_id").asc()).limit(limit)
     w = Window.partitionBy("period").orderBy(F.col("revenue").desc_nulls_first())
-    return (
-        latest.select(
-            "product_id",
-            F.coalesce("product_name", F.lit("Unknown")).alias("product_name"),
-            F.coalesce("category", F.lit("Unknown")).alias("category"),
-            "period", "units_sold", "revenue", "avg_price",
-            F.round(F.col("return_rate") * 100, 2).alias("return_rate_pct"),
-            F.rank().over(w).alias("rank"),
-        )
-        .orderBy(F.col("revenue").desc_nulls_first(), F.col("product_id").asc())
-        .limit(limit)
-    )
+    return top.select(
+        "product_id",
+        F.coalesce("product_name", F.lit("Unknown")).alias("product_name"),
+        F.coalesce("category", F.lit("Unknown")).alias("category"),
+        "period", "units_sold", "revenue", "avg_price",
+        F.round(F.col("return_rate") * 100, 2).alias("return_rate_pct"),
+        F.rank().over(w).alias("rank"),
+    ).orderBy(F.col("rank").asc(), F.col("product_id").asc())
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:

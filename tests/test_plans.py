@@ -75,3 +75,17 @@ def test_invariants(spark):
     assert ltv.count() == L.customers().count()
     assert ltv.agg(F.min("rfm_score"), F.max("rfm_score")).first() >= (3, 3)
     assert isinstance(perf_total, Decimal)
+
+
+def test_rank_within_matches_builtin_rank(spark):
+    from ledgerflow.operators.ranking import rank_within
+
+    rnd = random.Random(11)
+    # a tie group much larger than one partition, NULL keys and NULL values
+    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([5] * 30 + [1, 2, None])) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, p string, v long").repartition(5)
+    for pcols in (["p"], []):
+        ours = rank_within(df, pcols, [F.col("v").desc_nulls_first()], ["v"], ["id"], "r", num_partitions=7)
+        w = Window.partitionBy(*pcols).orderBy(F.col("v").desc_nulls_first()) if pcols else Window.orderBy(F.col("v").desc_nulls_first())
+        ref = df.withColumn("r", F.rank().over(w))
+        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
