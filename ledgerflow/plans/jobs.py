@@ -80,16 +80,17 @@ def _gold_job(wh: Warehouse, table: str, read_rows: Callable[[], int], build: Ca
 
 
 def silver_to_gold(wh: Warehouse, as_of=None, vip_over=S.VIP_OVER, premium_over=S.PREMIUM_OVER) -> None:
-    orders = lambda: wh.read("silver", "orders")
-    completed = lambda: orders().filter(F.col("status") == "completed").count()
-    _gold_job(wh, "daily_sales", completed, lambda: gold.daily_sales(orders()))
+    # one read (one partition listing) of silver orders, shared by the jobs
+    orders = wh.read("silver", "orders")
+    completed = lambda: orders.filter(F.col("status") == "completed").count()
+    _gold_job(wh, "daily_sales", completed, lambda: gold.daily_sales(orders))
     _gold_job(
-        wh, "product_performance", lambda: orders().count(),
-        lambda: gold.product_performance(orders(), wh.read("silver", "products")), ("period",),
+        wh, "product_performance", orders.count,
+        lambda: gold.product_performance(orders, wh.read("silver", "products")), ("period",),
     )
     _gold_job(
-        wh, "customer_segments", lambda: orders().count(),
-        lambda: gold.customer_segments(orders(), wh.read("silver", "customers"), as_of, vip_over, premium_over),
+        wh, "customer_segments", orders.count,
+        lambda: gold.customer_segments(orders, wh.read("silver", "customers"), as_of, vip_over, premium_over),
     )
 
 

@@ -89,8 +89,17 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def utc_calendar(spark: SparkSession) -> None:
+    """The pipeline's calendar (order day, month, period) is UTC: the feeds
+    carry +00:00 offsets.  Day functions follow the session time zone, so
+    the session is pinned to UTC before a query is built."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def _q(fn: Callable[[Lineage], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        utc_calendar(spark)
         return present(fn(Lineage(spark, sf_dir)))
 
     run.__name__ = fn.__name__
@@ -255,10 +264,20 @@ PIPELINE_QUERIES = {
 }
 
 
+def _pipeline_q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        utc_calendar(spark)
+        return present(fn(spark, sf_dir))
+
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = queries()
     for name, fn in PIPELINE_QUERIES.items():
-        out[name] = (lambda f: (lambda spark, sf_dir: present(f(spark, sf_dir))))(fn)
+        out[name] = _pipeline_q(fn)
     return out
 
 

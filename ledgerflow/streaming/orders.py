@@ -44,8 +44,15 @@ def stream_clean_orders(
     schema=S.BRONZE_ORDERS,
     max_files_per_trigger: int | None = None,
     watermark: str = WATERMARK,
+    files_per_day: int = 2,
 ) -> StreamingQuery:
-    """ST1: run once over everything available (``availableNow``)."""
+    """ST1: run once over everything available (``availableNow``).
+
+    Before the date-partitioned file sink, rows are hash-partitioned on
+    (year, month, day, salt) with ``files_per_day`` salt values (a hash of
+    order_id): each micro-batch writes at most that many files per day, and
+    a day that dominates a batch is still split over that many tasks.
+    (Without it every task writes a file into every day it touches.)"""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -56,6 +63,8 @@ def stream_clean_orders(
         .dropDuplicatesWithinWatermark(["order_id"])
     )
     out = finish_orders(deduped)
+    salt = F.pmod(F.xxhash64("order_id"), F.lit(files_per_day))
+    out = out.repartition("year", "month", "day", salt)
     return (
         out.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)

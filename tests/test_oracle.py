@@ -30,3 +30,14 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == ["date", "total_orders", "total_revenue", "avg_order", "unique_customers", "top_category"]
+
+
+def test_non_utc_session_still_matches(spark):
+    from oracle.compare import compare
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        res = compare(spark, SF_SMALL, ["clean_orders", "daily_sales", "product_performance"], verbose=False)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(r.get("ok") for r in res.values()), res
