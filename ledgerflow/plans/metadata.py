@@ -26,6 +26,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         self._seq = 0
+        self.pending_catalog: list[tuple] = []
 
     def path(self, layer: str, name: str) -> str:
         return os.path.join(self.root, layer, name)
@@ -85,12 +86,26 @@ def log_dq(wh: Warehouse, dq_rows: DataFrame) -> None:
 
 
 def register_table(wh: Warehouse, table: str, layer: str, location: str, row_count: int, schema_json: str | None = None) -> None:
-    """MD3: catalog upsert on (table_name, layer)."""
-    new = wh.spark.createDataFrame(
-        [(table, layer, location, "parquet", int(row_count), None, _now(), schema_json)], S.TABLE_CATALOG
-    )
+    """MD3: queue a catalog registration; ``flush_catalog`` applies the queue
+    as ONE upsert on (table_name, layer)."""
+    wh.pending_catalog.append((table, layer, location, "parquet", int(row_count), None, _now(), schema_json))
+
+
+def flush_catalog(wh: Warehouse) -> None:
+    """Apply queued registrations: insert new (table, layer) keys; for known
+    keys update row_count and last_updated only (location and format keep
+    their first values).  Later registrations of a key win."""
+    if not wh.pending_catalog:
+        return
+    latest: dict[tuple[str, str], tuple] = {}
+    for row in wh.pending_catalog:  # a handful of metadata tuples, not data
+        key = (row[0], row[1])
+        first = latest.get(key)
+        latest[key] = row if first is None else (*first[:4], row[4], row[5], row[6], row[7] or first[7])
+    new = wh.spark.createDataFrame(list(latest.values()), S.TABLE_CATALOG)
     if wh.exists("meta", "table_catalog"):
         current = upsert(wh.read("meta", "table_catalog"), new, ["table_name", "layer"], ["row_count", "last_updated"])
         replace_table(current, wh.path("meta", "table_catalog"))
     else:
         new.write.mode("overwrite").parquet(wh.path("meta", "table_catalog"))
+    wh.pending_catalog.clear()

@@ -71,6 +71,16 @@ class Lineage:
     def customer_ltv(self):
         return models.customer_ltv(self.customer_segments())
 
+    def top_products_for(self, period: str | None = None):
+        """top_products restricted to one period (default: the latest).  Every
+        column of the model is computed within a period, so the period filter
+        commutes with it and is applied BEFORE the ranking (what Catalyst does
+        for a window partitioned by period, done by hand because the ranking
+        materialises its input)."""
+        perf = self.product_performance()
+        wanted = F.lit(period) if period else reports.latest_period(perf)
+        return models.top_products(perf.filter(F.col("period") == wanted))
+
 
 def present(df: DataFrame) -> DataFrame:
     """Comparison-friendly output types: exact decimals become doubles (cast
@@ -133,12 +143,12 @@ CORE_QUERIES: dict[str, Callable[[Lineage], DataFrame]] = {
     "report_daily": lambda L: reports.recent_daily_sales(L.daily_sales(), AS_OF),
     "report_trends": lambda L: reports.recent_trends(L.revenue_trends()),
     "report_trends_fallback": lambda L: reports.trends_fallback(L.daily_sales()),
-    "report_top_products": lambda L: reports.top_products_report(L.top_products()),
-    "report_top_products_period": lambda L: reports.top_products_report(L.top_products(), REPORT_PERIOD),
+    "report_top_products": lambda L: reports.top_products_report(L.top_products_for()),
+    "report_top_products_period": lambda L: reports.top_products_report(L.top_products_for(REPORT_PERIOD), REPORT_PERIOD),
     "report_top_products_fallback": lambda L: reports.top_products_fallback(L.product_performance()),
     "report_segments": lambda L: reports.segment_summary(L.customer_segments()),
     "report_customer_ltv": lambda L: reports.customer_ltv_lookup(L.customer_ltv(), LOOKUP_CUSTOMER),
-    "report_category_rollup": lambda L: reports.category_rollup(L.top_products()),
+    "report_category_rollup": lambda L: reports.category_rollup(L.top_products_for()),
     "table_tests": _table_tests,
     "to_numeric_try": lambda L: _to_numeric(L),
 }

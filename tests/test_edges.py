@@ -182,12 +182,14 @@ def test_e21_upsert(spark):
 
 
 def test_e22_catalog_upsert_keeps_location(spark):
-    from ledgerflow.plans.metadata import Warehouse, register_table
+    from ledgerflow.plans.metadata import Warehouse, flush_catalog, register_table
     from ledgerflow.session import scratch_path
 
     wh = Warehouse(spark, scratch_path(spark, "wh-e22"))
     register_table(wh, "orders", "silver", "/first", 10)
+    flush_catalog(wh)
     register_table(wh, "orders", "silver", "/second", 12)
+    flush_catalog(wh)
     rows = wh.read("meta", "table_catalog").collect()
     assert len(rows) == 1 and rows[0].location == "/first" and rows[0].row_count == 12
 
