@@ -216,3 +216,40 @@ def test_clv_is_exact(spark):
 
 def test_schema_constants():
     assert S.ORDERS_DEDUPE_ORDER[0] == "product_id"
+
+
+def test_md2_failed_job_is_logged_and_reraised(spark):
+    import pytest
+
+    from ledgerflow.plans import jobs
+    from ledgerflow.plans.metadata import Warehouse
+    from ledgerflow.session import scratch_path
+
+    wh = Warehouse(spark, scratch_path(spark, "wh-md2"))
+
+    def body():
+        raise ValueError("boom")
+
+    with pytest.raises(ValueError):
+        jobs._job(wh, "bronze_to_silver_orders", "silver", body)
+    r = wh.read("meta", "pipeline_runs").collect()[0]
+    assert (r.status, r.rows_read, r.rows_written) == ("failed", 0, 0) and "boom" in r.error_msg
+
+
+def test_snk1_dynamic_overwrite_replaces_only_given_partitions(spark):
+    from ledgerflow.session import scratch_path
+    from ledgerflow.sinks import write_partitioned
+
+    path = scratch_path(spark, "dyn")
+    write_partitioned(spark.createDataFrame([(1, "a"), (2, "b")], "day int, v string"), path, ["day"])
+    write_partitioned(spark.createDataFrame([(2, "B")], "day int, v string"), path, ["day"], dynamic=True)
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("day", "v").collect()) == [(1, "a"), (2, "B")]
+    write_partitioned(spark.createDataFrame([(3, "c")], "day int, v string"), path, ["day"])  # static: whole table
+    assert [tuple(r) for r in spark.read.parquet(path).select("day", "v").collect()] == [(3, "c")]
+
+
+def test_snk8_cap(spark):
+    from ledgerflow.sinks import cap
+
+    df = spark.createDataFrame([(None,), (5.0,), (2e9,)], "x double")
+    assert [r[0] for r in df.select(cap("x", 999999999.9999)).collect()] == [0.0, 5.0, 999999999.9999]
