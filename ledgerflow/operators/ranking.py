@@ -159,6 +159,11 @@ def rank_within(
     p_cols, o_cols = list(partition_cols), list(order_cols)
     sort_spec = [F.col(c).asc_nulls_first() for c in p_cols] + list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
     cols = df.columns
+    # session-zone timestamps cross the Python step as exact epoch micros (a
+    # local-time round trip through pandas is ambiguous at DST changes)
+    ltz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    if ltz:
+        df = df.withColumns({c: F.unix_micros(c) for c in ltz})
     ranged = df.repartitionByRange(parts, *sort_spec).sortWithinPartitions(*sort_spec)
     schema = T.StructType(
         df.schema.fields
@@ -210,4 +215,5 @@ def rank_within(
         F.when((F.col("_tfirst") == F.col("_minrec")) & F.col("_carry").isNotNull(), F.col("_carry"))
         .otherwise(F.col("_off") + F.col("_tfirst") - F.col("_minrec"))
     )
-    return joined.select(*cols, (start + 1).cast("int").alias(out_col))
+    restored = [F.timestamp_micros(c).alias(c) if c in ltz else F.col(c) for c in cols]
+    return joined.select(*restored, (start + 1).cast("int").alias(out_col))

@@ -89,3 +89,22 @@ def test_rank_within_matches_builtin_rank(spark):
         w = Window.partitionBy(*pcols).orderBy(F.col("v").desc_nulls_first()) if pcols else Window.orderBy(F.col("v").desc_nulls_first())
         ref = df.withColumn("r", F.rank().over(w))
         assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_rank_within_keeps_timestamps_exact_across_dst(spark):
+    import datetime as dt
+
+    from ledgerflow.operators.ranking import rank_within
+
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        # 08:30 and 09:30 UTC on 2024-11-03 are both 01:30 local (the repeated hour)
+        df = spark.createDataFrame([(1, 5), (2, 5)], "id long, v long").withColumn(
+            "ts", F.when(F.col("id") == 1, F.timestamp_micros(F.lit(1730622600000000))).otherwise(F.timestamp_micros(F.lit(1730626200000000)))
+        )
+        out = rank_within(df, [], [F.col("v").desc()], ["v"], ["id"], "r", num_partitions=2)
+        got = sorted((r.id, r.micros) for r in out.select("id", F.unix_micros("ts").alias("micros")).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == [(1, 1730622600000000), (2, 1730626200000000)]
+    assert dt.datetime(2024, 11, 3).year == 2024
