@@ -13,10 +13,18 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "ledgerflow") -> SparkSession:
+def local_session(cores: int | str = "*", app: str = "ledgerflow", event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and the local bench (never used by library code)."""
+    builder = SparkSession.builder
+    if event_log_dir:
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+            .config("spark.eventLog.rolling.enabled", "false")
+        )
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
