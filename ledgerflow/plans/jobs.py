@@ -11,7 +11,6 @@ action is the gold jobs' rows_read count, a one-column scan.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation
@@ -158,4 +157,4 @@ def run_all(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame
     return wh
 
 
-__all__ = ["Warehouse", "land_bronze", "read_bronze", "bronze_to_silver", "silver_to_gold", "build_models", "run_all", "dt"]
+__all__ = ["Warehouse", "land_bronze", "read_bronze", "bronze_to_silver", "silver_to_gold", "build_models", "run_all"]
