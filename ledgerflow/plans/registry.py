@@ -309,17 +309,17 @@ def _stream_clean(spark, sf_dir):
 
 
 def _stream_daily(spark, sf_dir):
-    """ST2: the pipeline's silver orders streamed into per-day totals,
-    upserted by foreachBatch; exact columns compared (the distinct customer
-    count of a stream is approximate)."""
+    """ST2 (exact mode): the pipeline's silver orders streamed; each
+    micro-batch recomputes the days it touched and upserts them into an
+    epoch-versioned gold table -- the result is the full daily_sales."""
     from ledgerflow.session import scratch_path
     from ledgerflow.streaming import latest_version, stream_daily_sales
 
     wh = pipeline_warehouse(spark, sf_dir)
     dst, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-st2")
     schema = wh.read("silver", "orders").schema
-    stream_daily_sales(spark, wh.path("silver", "orders"), dst, ckpt, schema).awaitTermination()
-    return spark.read.parquet(latest_version(spark, dst)).select("date", "total_orders", "total_revenue")
+    stream_daily_sales(spark, wh.path("silver", "orders"), dst, ckpt, schema, exact=True).awaitTermination()
+    return spark.read.parquet(latest_version(spark, dst))
 
 
 PIPELINE_QUERIES["stream_clean"] = _stream_clean
