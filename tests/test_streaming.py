@@ -33,3 +33,21 @@ def test_stream_dedupe_and_daily_upsert(spark):
     day = spark.read.parquet(latest_version(spark, gold_root)).collect()
     assert [(r.total_orders, str(r.total_revenue)) for r in day] == [(3, "25.00")]
     assert S.BRONZE_ORDERS.names[0] == "order_id"
+
+
+def test_stream_daily_exact_recomputes_touched_days(spark):
+    silver_root, gold_root, ck = (scratch_path(spark, n) for n in ("t-s3", "t-g3", "t-ck3"))
+    day1 = [order("a", customer_id=1, created_at="2024-01-10T10:00:00+00:00"),
+            order("b", customer_id=2, created_at="2024-01-11T10:00:00+00:00")]
+    silver.clean_orders(orders_df(spark, day1)).write.partitionBy("year", "month", "day").parquet(silver_root)
+    schema = spark.read.parquet(silver_root).schema
+    stream_daily_sales(spark, silver_root, gold_root, ck, schema, exact=True).awaitTermination()
+    # a late order for 2024-01-10 from a second customer in another category
+    late = [order("c", customer_id=3, category="z", total_amount="50.00", created_at="2024-01-10T23:00:00+00:00")]
+    silver.clean_orders(orders_df(spark, late)).write.mode("append").partitionBy("year", "month", "day").parquet(silver_root)
+    stream_daily_sales(spark, silver_root, gold_root, ck, schema, exact=True).awaitTermination()
+    rows = {str(r.date): r for r in spark.read.parquet(latest_version(spark, gold_root)).collect()}
+    assert set(rows) == {"2024-01-10", "2024-01-11"}
+    d = rows["2024-01-10"]
+    assert (d.total_orders, str(d.total_revenue), d.unique_customers, d.top_category) == (2, "60.00", 2, "z")
+    assert rows["2024-01-11"].total_orders == 1  # untouched day kept by the upsert
