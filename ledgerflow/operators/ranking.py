@@ -9,7 +9,7 @@ same buckets with the work spread over all tasks:
    partition count and sort each partition;
 2. ``monotonically_increasing_id`` then encodes (partition index, position
    inside the partition) for every row, in sorted order;
-3. per-partition row counts (at most ``num_partitions`` rows) give each
+3. per-partition row counts (one row per range partition) give each
    partition's global offset and the total -- this small table is the only
    thing broadcast, and its size is bounded by the partition count;
 4. global position = offset + local position; the bucket follows from the
@@ -20,9 +20,10 @@ the shared checkpoint folder (``spark.checkpoint.dir``) and both consumers
 (the per-partition counts and the final join) read that table.  Range
 bounds are sampled once, a lost executor cannot make the two consumers see
 different partitionings, and the lineage before the sort is not recomputed.
-The counts read only the ``_pid`` column.  An explicit partition count keeps
-AQE from coalescing the range shuffle.  A tie group larger than a partition
-is split by the tie-break column, so a hot value cannot overload one task.
+The counts read only the ``_pid`` column.  AQE may merge adjacent small
+range partitions before the write (order is preserved).  A tie group larger
+than a partition is split by the tie-break column, so a hot value cannot
+overload one task.
 """
 
 from __future__ import annotations
@@ -37,10 +38,13 @@ from ledgerflow.session import scratch_path
 _LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | record number
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return int(requested)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range_sorted(df: DataFrame, sort_spec: list, requested: int | None) -> DataFrame:
+    """Range-partition and sort.  Without an explicit count AQE may merge
+    ADJACENT small range partitions (order is kept, partition indices stay
+    increasing); this is safe because the indexed rows are written by one
+    job and every later consumer reads that table."""
+    ranged = df.repartitionByRange(int(requested), *sort_spec) if requested else df.repartitionByRange(*sort_spec)
+    return ranged.sortWithinPartitions(*sort_spec)
 
 
 def ntile_global(
@@ -52,10 +56,9 @@ def ntile_global(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``out_col`` = NTILE(n) OVER (ORDER BY order..., tiebreak... ASC)."""
-    parts = _num_partitions(df, num_partitions)
     sort_spec = list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
     cols = df.columns
-    ranged = df.repartitionByRange(parts, *sort_spec).sortWithinPartitions(*sort_spec)
+    ranged = _range_sorted(df, sort_spec, num_partitions)
     idx = ranged.withColumn("_mid", F.monotonically_increasing_id()).select(
         *cols,
         F.shiftright("_mid", _LOCAL_BITS).alias("_pid"),
@@ -65,7 +68,7 @@ def ntile_global(
     idx.write.mode("error").parquet(path)
     idx = df.sparkSession.read.parquet(path)
     counts = idx.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # at most `parts` rows: a global window here is a tiny single task
+    # one row per range partition: a global window here is a tiny single task
     offsets = counts.select(
         "_pid",
         F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
@@ -155,7 +158,6 @@ def rank_within(
     from pyspark.sql import types as T
 
     spark = df.sparkSession
-    parts = _num_partitions(df, num_partitions)
     p_cols, o_cols = list(partition_cols), list(order_cols)
     sort_spec = [F.col(c).asc_nulls_first() for c in p_cols] + list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
     cols = df.columns
@@ -164,7 +166,7 @@ def rank_within(
     ltz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
     if ltz:
         df = df.withColumns({c: F.unix_micros(c) for c in ltz})
-    ranged = df.repartitionByRange(parts, *sort_spec).sortWithinPartitions(*sort_spec)
+    ranged = _range_sorted(df, sort_spec, num_partitions)
     schema = T.StructType(
         df.schema.fields
         + [T.StructField("_pid", T.LongType()), T.StructField("_rec", T.LongType()), T.StructField("_tfirst", T.LongType())]
