@@ -219,3 +219,44 @@ def rank_within(
     )
     restored = [F.timestamp_micros(c).alias(c) if c in ltz else F.col(c) for c in cols]
     return joined.select(*restored, (start + 1).cast("int").alias(out_col))
+
+
+# rows of the largest group up to which a plain window (one task per group)
+# is used; beyond it the distributed RANK takes over
+MAX_WINDOW_GROUP_ROWS = 2_000_000
+
+
+def ranks_within(
+    df: DataFrame,
+    partition_cols: Sequence[str],
+    ranks: Sequence[tuple[Column, Sequence[str], str]],
+    tiebreak: Sequence[str],
+    max_group_rows: int = MAX_WINDOW_GROUP_ROWS,
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """Several RANK() OVER (PARTITION BY partition_cols ORDER BY ...) columns,
+    with the strategy chosen by a size check -- like a broadcast behind a
+    size check, with another way beyond it.
+
+    ``ranks`` holds (sort expression, peer columns, output column).  The input
+    is written once to the shared checkpoint folder; the size of its largest
+    group is read back (one number).  Up to ``max_group_rows`` the ranks are
+    plain windows (one shuffle by the group key, one task per group, all
+    rank columns from one shuffle); beyond it every rank uses
+    ``rank_within``, where no task holds a whole group.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranks-input")
+    df.write.mode("error").parquet(path)
+    base = spark.read.parquet(path)
+    sizes = base.groupBy(*partition_cols).count() if partition_cols else base.groupBy().count()
+    biggest = sizes.agg(F.max("count")).first()[0] or 0
+    if biggest <= max_group_rows:
+        w = Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()
+        return base.select(
+            *base.columns, *[F.rank().over(w.orderBy(order)).alias(out) for order, _, out in ranks]
+        )
+    out = base
+    for order, peers, name in ranks:
+        out = rank_within(out, partition_cols, [order], peers, tiebreak, name, num_partitions)
+    return out

@@ -3,8 +3,9 @@
 * revenue_trends: 7-ROW rolling measures and a 30-ROW lag (row offsets, not
   calendar days).  A global window is used on purpose: the input is one row
   per day, so the single task holds a few thousand rows at any fact size.
-* top_products: ranks per period with the distributed RANK (range-sorted
-  on period, value and product id), so no task holds a whole month.
+* top_products: ranks per period; a size check on the largest period picks
+  a per-period window (small periods) or the distributed RANK (range-sorted
+  on period, value and product id, so no task holds a whole month).
 * customer_ltv: three global quartiles over customer-grain data -- computed
   with the distributed NTILE, never a single-partition window.
 
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.ranking import ntile_global, rank_within
+from ledgerflow.operators.ranking import MAX_WINDOW_GROUP_ROWS, ntile_global, ranks_within
 
 
 def revenue_trends(daily: DataFrame) -> DataFrame:
@@ -44,21 +45,27 @@ def revenue_trends(daily: DataFrame) -> DataFrame:
     )
 
 
-def top_products(perf: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def top_products(perf: DataFrame, num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """G5.  DESC sorts put NULLs first, as the SQL models' database does.
 
-    Ranks use the distributed RANK (no task holds a whole period, and a hot
-    tie group -- many products with the same units -- is split); the period
-    revenue total is a per-period aggregate joined back (one row per period)
-    instead of a window over the period."""
+    The ranks are chosen by a size check on the largest period
+    (``ranks_within``): a per-period window while a period holds at most
+    ``max_group_rows`` products, the distributed RANK beyond that (no task
+    holds a whole period, and a hot tie group -- many products with the same
+    units -- is split).  The period revenue total is a per-period aggregate
+    joined back (one row per period) instead of a window over the period."""
     totals = perf.groupBy("period").agg(F.sum("revenue").alias("_period_revenue"))
     totals = totals.select(F.col("period").alias("_t_period"), "_period_revenue")
     base = perf.join(totals, perf["period"].eqNullSafe(totals["_t_period"]), "left").drop("_t_period")
-    ranked = rank_within(
-        base, ["period"], [F.col("revenue").desc_nulls_first()], ["revenue"], ["product_id"], "revenue_rank", num_partitions
-    )
-    ranked = rank_within(
-        ranked, ["period"], [F.col("units_sold").desc_nulls_first()], ["units_sold"], ["product_id"], "volume_rank",
+    ranked = ranks_within(
+        base,
+        ["period"],
+        [
+            (F.col("revenue").desc_nulls_first(), ["revenue"], "revenue_rank"),
+            (F.col("units_sold").desc_nulls_first(), ["units_sold"], "volume_rank"),
+        ],
+        ["product_id"],
+        MAX_WINDOW_GROUP_ROWS if max_group_rows is None else max_group_rows,
         num_partitions,
     )
     period_total = F.nullif(F.col("_period_revenue"), F.lit(0)).cast("decimal(18,2)")

@@ -109,3 +109,12 @@ def test_rank_within_keeps_timestamps_exact_across_dst(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert got == [(1, 1730622600000000), (2, 1730626200000000)]
     assert dt.datetime(2024, 11, 3).year == 2024
+
+
+def test_top_products_window_and_distributed_paths_agree(spark):
+    from ledgerflow.plans import models
+
+    perf = registry.Lineage(spark, SF_SMALL).product_performance()
+    small = sorted(map(tuple, models.top_products(perf).collect()))
+    forced = sorted(map(tuple, models.top_products(perf, max_group_rows=0).collect()))
+    assert small == forced
