@@ -185,7 +185,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 _WAREHOUSES: dict[tuple[str, str], object] = {}
 
 
-def pipeline_warehouse(spark: SparkSession, sf_dir: str):
+def batch_warehouse(spark: SparkSession, sf_dir: str):
     from ledgerflow.plans import jobs
     from ledgerflow.plans.metadata import Warehouse
     from ledgerflow.session import scratch_path
@@ -203,7 +203,7 @@ def pipeline_warehouse(spark: SparkSession, sf_dir: str):
 
 
 def _report_runs(spark, sf_dir):
-    wh = pipeline_warehouse(spark, sf_dir)
+    wh = batch_warehouse(spark, sf_dir)
     # timings and ids are wall-clock values: left out of the compared output
     return reports.recent_runs(wh.read("meta", "pipeline_runs")).select(
         "pipeline_name", "layer", "status", "rows_read", "rows_written"
@@ -211,21 +211,21 @@ def _report_runs(spark, sf_dir):
 
 
 def _report_catalog(spark, sf_dir):
-    wh = pipeline_warehouse(spark, sf_dir)
+    wh = batch_warehouse(spark, sf_dir)
     return reports.catalog(wh.read("meta", "table_catalog")).select("table_name", "layer", "format", "row_count")
 
 
 def _report_dq(spark, sf_dir):
-    wh = pipeline_warehouse(spark, sf_dir)
+    wh = batch_warehouse(spark, sf_dir)
     return reports.recent_dq(wh.read("meta", "dq_results")).drop("run_at")
 
 
 def _report_status_counts(spark, sf_dir):
-    return reports.run_status_counts(pipeline_warehouse(spark, sf_dir).read("meta", "pipeline_runs"))
+    return reports.run_status_counts(batch_warehouse(spark, sf_dir).read("meta", "pipeline_runs"))
 
 
 def _report_dq_pass_rate(spark, sf_dir):
-    return reports.dq_pass_rate(pipeline_warehouse(spark, sf_dir).read("meta", "dq_results"))
+    return reports.dq_pass_rate(batch_warehouse(spark, sf_dir).read("meta", "dq_results"))
 
 
 def _roundtrip_partitioned(spark, sf_dir):
@@ -235,7 +235,7 @@ def _roundtrip_partitioned(spark, sf_dir):
     from ledgerflow.sinks import write_partitioned
     from ledgerflow.sources.tables import read_partitioned
 
-    wh = pipeline_warehouse(spark, sf_dir)
+    wh = batch_warehouse(spark, sf_dir)
     root = wh.path("silver", "orders")
     last_year = read_partitioned(spark, root).filter(F.col("year") == 2001)
     # rewrite that year from a staged copy (a path cannot be read and overwritten in one job)
@@ -263,7 +263,7 @@ def _upsert_gold(spark, sf_dir):
     return upsert(target, updates, ["product_id", "period"], ["units_sold", "revenue", "avg_price", "return_rate"])
 
 
-PIPELINE_QUERIES = {
+WAREHOUSE_QUERIES = {
     "report_runs": _report_runs,
     "report_catalog": _report_catalog,
     "report_dq": _report_dq,
@@ -274,7 +274,7 @@ PIPELINE_QUERIES = {
 }
 
 
-def _pipeline_q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _warehouse_q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc_calendar(spark)
         return present(fn(spark, sf_dir))
@@ -286,8 +286,8 @@ def _pipeline_q(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = queries()
-    for name, fn in PIPELINE_QUERIES.items():
-        out[name] = _pipeline_q(fn)
+    for name, fn in WAREHOUSE_QUERIES.items():
+        out[name] = _warehouse_q(fn)
     return out
 
 
@@ -315,12 +315,12 @@ def _stream_daily(spark, sf_dir):
     from ledgerflow.session import scratch_path
     from ledgerflow.streaming import latest_version, stream_daily_sales
 
-    wh = pipeline_warehouse(spark, sf_dir)
+    wh = batch_warehouse(spark, sf_dir)
     dst, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-st2")
     schema = wh.read("silver", "orders").schema
     stream_daily_sales(spark, wh.path("silver", "orders"), dst, ckpt, schema, exact=True).awaitTermination()
     return spark.read.parquet(latest_version(spark, dst))
 
 
-PIPELINE_QUERIES["stream_clean"] = _stream_clean
-PIPELINE_QUERIES["stream_daily"] = _stream_daily
+WAREHOUSE_QUERIES["stream_clean"] = _stream_clean
+WAREHOUSE_QUERIES["stream_daily"] = _stream_daily
