@@ -30,6 +30,9 @@ def local_session(cores: int | str = "*", app: str = "ledgerflow", event_log_dir
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # small local data: keep AQE from merging everything into one task
+        # (a date-partitioned write of ~2,400 days from ONE task is 5x slower)
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16KB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
