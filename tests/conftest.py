@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,7 +15,6 @@ SF_ORACLE = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="ledgerflow-test-ckpt-")
     s = (
         SparkSession.builder.master("local[*]")
         .appName("ledgerflow-tests")
@@ -26,9 +24,11 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.checkpoint.dir", ckpt)
         .getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")
+    from ledgerflow.session import checkpoint_root
+
+    checkpoint_root(s)  # the configured shared folder, or a private one if none is set
     yield s
     s.stop()
