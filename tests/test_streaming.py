@@ -51,3 +51,19 @@ def test_stream_daily_exact_recomputes_touched_days(spark):
     d = rows["2024-01-10"]
     assert (d.total_orders, str(d.total_revenue), d.unique_customers, d.top_category) == (2, "60.00", 2, "z")
     assert rows["2024-01-11"].total_orders == 1  # untouched day kept by the upsert
+
+
+def test_retried_epoch_rebuilds_from_the_previous_version(spark):
+    from ledgerflow.streaming.orders import _upsert_version
+
+    dst = scratch_path(spark, "t-epochs")
+    schema = "date date, total_orders long"
+    import datetime as dt
+
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    _upsert_version(spark.createDataFrame([(d1, 1)], schema), dst, 0, ["date"])
+    batch = spark.createDataFrame([(d1, 5), (d2, 2)], schema)
+    _upsert_version(batch, dst, 1, ["date"])
+    _upsert_version(batch, dst, 1, ["date"])  # the same epoch again (a retry)
+    got = sorted(tuple(r) for r in spark.read.parquet(latest_version(spark, dst)).collect())
+    assert got == [(d1, 5), (d2, 2)]
