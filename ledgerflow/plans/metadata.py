@@ -3,7 +3,8 @@
 The log tables are append-only (SNK6).  The catalog is keyed by
 (table_name, layer) and maintained with the keyed upsert (SNK5): a repeated
 registration updates row_count and last_updated only, location and format
-keep their first values.  Each record is a one-row DataFrame built from a
+keep their first values.  Each flush writes a new immutable catalog version
+(``version=<n>``); readers take the newest committed one.  Each record is a one-row DataFrame built from a
 few driver-side numbers (counts from observed metrics), never from data.
 """
 
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
-from ledgerflow.sinks import append, replace_table, upsert
+from ledgerflow.sinks import append, latest_version, upsert, write_version
 
 
 class Warehouse:
@@ -48,6 +49,11 @@ class Warehouse:
         finally:
             self.spark.conf.set(key, prev)
 
+    def read_latest(self, layer: str, name: str) -> DataFrame | None:
+        """Newest committed version of a versioned table (None if none yet)."""
+        path = latest_version(self.spark, self.path(layer, name))
+        return None if path is None else self.spark.read.parquet(path)
+
     def exists(self, layer: str, name: str) -> bool:
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(self.path(layer, name))
@@ -103,9 +109,12 @@ def flush_catalog(wh: Warehouse) -> None:
         first = latest.get(key)
         latest[key] = row if first is None else (*first[:4], row[4], row[5], row[6], row[7] or first[7])
     new = wh.spark.createDataFrame(list(latest.values()), S.TABLE_CATALOG)
-    if wh.exists("meta", "table_catalog"):
-        current = upsert(wh.read("meta", "table_catalog"), new, ["table_name", "layer"], ["row_count", "last_updated"])
-        replace_table(current, wh.path("meta", "table_catalog"))
-    else:
-        new.write.mode("overwrite").parquet(wh.path("meta", "table_catalog"))
+    root = wh.path("meta", "table_catalog")
+    current_path = latest_version(wh.spark, root)
+    version = 0 if current_path is None else int(current_path.rsplit("=", 1)[1]) + 1
+    merged = new if current_path is None else upsert(
+        wh.spark.read.parquet(current_path), new, ["table_name", "layer"], ["row_count", "last_updated"]
+    )
+    # a new immutable version; the previous one stays readable until it commits
+    write_version(merged, root, version)
     wh.pending_catalog.clear()

@@ -212,7 +212,7 @@ def _report_runs(spark, sf_dir):
 
 def _report_catalog(spark, sf_dir):
     wh = batch_warehouse(spark, sf_dir)
-    return reports.catalog(wh.read("meta", "table_catalog")).select("table_name", "layer", "format", "row_count")
+    return reports.catalog(wh.read_latest("meta", "table_catalog")).select("table_name", "layer", "format", "row_count")
 
 
 def _report_dq(spark, sf_dir):

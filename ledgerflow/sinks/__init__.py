@@ -1 +1,10 @@
-from ledgerflow.sinks.writers import append, cap, replace_table, upsert, write_partitioned, write_table  # noqa: F401
+from ledgerflow.sinks.writers import (  # noqa: F401
+    append,
+    cap,
+    latest_version,
+    replace_table,
+    upsert,
+    write_partitioned,
+    write_table,
+    write_version,
+)

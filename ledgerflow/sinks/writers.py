@@ -80,6 +80,31 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
 
 
+def latest_version(spark, root: str, before: int | None = None, prefix: str = "version=") -> str | None:
+    """Folder of the newest committed version (``<prefix><n>`` with a
+    _SUCCESS marker) under ``root``; with ``before``, the newest strictly older
+    one.  Only a directory listing on the driver."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return None
+    found = []
+    for st in fs.listStatus(path):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            n = int(name[len(prefix):])
+            if before is None or n < before:
+                found.append(n)
+    return f"{root.rstrip('/')}/{prefix}{max(found)}" if found else None
+
+
+def write_version(df: DataFrame, root: str, version: int, prefix: str = "version=") -> None:
+    """Write one immutable version of a table; readers take the newest
+    committed one, so a failed write never damages the current version."""
+    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{prefix}{version}")
+
+
 def cap(col: str, upper: float) -> "F.Column":
     """SNK8: coalesce to 0, then cap at ``upper`` (the serving-side guard)."""
     return F.least(F.coalesce(F.col(col), F.lit(0)), F.lit(upper))

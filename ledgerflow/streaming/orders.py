@@ -39,7 +39,8 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerflow import schemas as S
 from ledgerflow.functions import parse_ts
 from ledgerflow.operators.silver import finish_orders
-from ledgerflow.sinks import upsert
+from ledgerflow.sinks import latest_version as _latest
+from ledgerflow.sinks import upsert, write_version
 
 WATERMARK = "25 hours"  # must exceed the 24 h event-time lag of the source
 
@@ -84,21 +85,8 @@ def stream_clean_orders(
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    """Folder of the newest committed epoch under ``root`` (listing only);
-    with ``before``, the newest epoch strictly older than that one."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
-    epochs = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("epoch=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            epoch = int(name.split("=", 1)[1])
-            if before is None or epoch < before:
-                epochs.append(epoch)
-    return f"{root.rstrip('/')}/epoch={max(epochs)}" if epochs else None
+    """Folder of the newest committed epoch of an ST2 table."""
+    return _latest(spark, root, before, prefix="epoch=")
 
 
 def daily_totals(orders: DataFrame, watermark: str = WATERMARK) -> DataFrame:
@@ -122,7 +110,7 @@ def _upsert_version(batch: DataFrame, dst: str, epoch_id: int, keys: list[str])
     # same base and rewrites its own folder, never reading what it overwrites
     current = latest_version(session, dst, before=epoch_id)
     merged = batch if current is None else upsert(session.read.parquet(current), batch, keys)
-    merged.write.mode("overwrite").parquet(f"{dst.rstrip('/')}/epoch={epoch_id}")
+    write_version(merged, dst, epoch_id, prefix="epoch=")
 
 
 def stream_daily_sales(

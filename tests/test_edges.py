@@ -190,7 +190,7 @@ def test_e22_catalog_upsert_keeps_location(spark):
     flush_catalog(wh)
     register_table(wh, "orders", "silver", "/second", 12)
     flush_catalog(wh)
-    rows = wh.read("meta", "table_catalog").collect()
+    rows = wh.read_latest("meta", "table_catalog").collect()
     assert len(rows) == 1 and rows[0].location == "/first" and rows[0].row_count == 12
 
 
