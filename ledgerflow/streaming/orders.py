@@ -54,6 +54,7 @@ def stream_clean_orders(
     max_files_per_trigger: int | None = None,
     watermark: str = WATERMARK,
     files_per_day: int = 2,
+    hot_key_spread: int = 8,
 ) -> StreamingQuery:
     """ST1: run once over everything available (``availableNow``).
 
@@ -61,16 +62,26 @@ def stream_clean_orders(
     (year, month, day, salt) with ``files_per_day`` salt values (a hash of
     order_id): each micro-batch writes at most that many files per day, and
     a day that dominates a batch is still split over that many tasks.
-    (Without it every task writes a file into every day it touches.)"""
+    (Without it every task writes a file into every day it touches.)
+
+    Hot duplicate groups: one order id may arrive as a large share of all
+    rows (a group of copies).  A single ``dropDuplicatesWithinWatermark`` on
+    order_id would shuffle all copies to one task, so the dedupe runs in two
+    stages: first on (order_id, input partition id mod ``hot_key_spread``) --
+    the copies spread over that many tasks and shrink to at most that many
+    rows -- then on order_id.  ``hot_key_spread=0`` uses a single stage."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.parquet(src)
-    deduped = (
-        raw.withColumn("created_at", parse_ts("created_at"))
-        .withWatermark("created_at", watermark)
-        .dropDuplicatesWithinWatermark(["order_id"])
-    )
+    timed = raw.withColumn("created_at", parse_ts("created_at")).withWatermark("created_at", watermark)
+    if hot_key_spread and hot_key_spread > 1:
+        timed = (
+            timed.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(hot_key_spread)))
+            .dropDuplicatesWithinWatermark(["order_id", "_spread"])
+            .drop("_spread")
+        )
+    deduped = timed.dropDuplicatesWithinWatermark(["order_id"])
     out = finish_orders(deduped)
     salt = F.pmod(F.xxhash64("order_id"), F.lit(files_per_day))
     out = out.repartition("year", "month", "day", salt)

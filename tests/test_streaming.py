@@ -67,3 +67,12 @@ def test_retried_epoch_rebuilds_from_the_previous_version(spark):
     _upsert_version(batch, dst, 1, ["date"])  # the same epoch again (a retry)
     got = sorted(tuple(r) for r in spark.read.parquet(latest_version(spark, dst)).collect())
     assert got == [(d1, 5), (d2, 2)]
+
+
+def test_stream_dedupe_with_a_hot_duplicate_group(spark):
+    landing, out, ck = (scratch_path(spark, n) for n in ("t-hot-landing", "t-hot-out", "t-hot-ck"))
+    rows = [order("hot")] * 5000 + [order(f"o{i}") for i in range(50)]
+    orders_df(spark, rows).repartition(8).write.parquet(f"{landing}/1")
+    stream_clean_orders(spark, f"{landing}/*", out, ck).awaitTermination()
+    got = spark.read.parquet(out).groupBy("order_id").count().collect()
+    assert len(got) == 51 and all(r["count"] == 1 for r in got)
