@@ -149,10 +149,10 @@ def rank_within(
        shuffle a window on (partition id, keys) would need;
     3. the rows are written once to the shared checkpoint folder (both
        consumers read the same bytes);
-    4. a per-(partition id, group) summary -- at most ``num_partitions`` +
-       #groups rows -- gives each partition's offset inside its group and,
-       for a tie group that started in an earlier partition, where it
-       started (a self-join of that small table);
+    4. a per-(partition id, group) summary -- one row per range partition
+       and group it holds -- gives each partition's offset inside its group
+       and, for a tie group that started in an earlier partition, where it
+       started (window functions over that small table, no pairing);
     5. rank = 1 + position of the tie group's first row.
     """
     from pyspark.sql import types as T
@@ -188,25 +188,26 @@ def rank_within(
     stats = stats.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).withColumn("_laststart", F.col("_off") + F.col("_lastfirst") - F.col("_minrec"))
-    # tie group continuing from an earlier partition: it starts where the
-    # earliest partition whose LAST tie group has the same key starts it
-    a = stats.select("_pid", *p_cols, "_firsto")
-    b = stats.select(
-        F.col("_pid").alias("_q"), *[F.col(c).alias(f"_b_{c}") for c in p_cols], "_lasto", "_laststart"
+    # tie group continuing from an earlier partition.  Partitions whose LAST
+    # tie key is the same form a run (consecutive, as the data is sorted); the
+    # group starts where the run's first partition starts its last group.  A
+    # partition whose FIRST key equals the previous partition's last key
+    # inherits that start.  Windows over the summary only -- no pairs.
+    prev = Window.partitionBy(*p_cols).orderBy("_pid") if p_cols else Window.orderBy("_pid")
+    stats = stats.withColumn("_prevlast", F.lag("_lasto").over(prev))
+    stats = stats.withColumn(
+        "_rid",
+        F.sum(F.when(F.col("_prevlast").eqNullSafe(F.col("_lasto")), 0).otherwise(1)).over(
+            prev.rowsBetween(Window.unboundedPreceding, 0)
+        ),
     )
-    cond = (F.col("_q") < F.col("_pid")) & F.col("_lasto").eqNullSafe(F.col("_firsto"))
-    for c in p_cols:
-        cond = cond & F.col(f"_b_{c}").eqNullSafe(F.col(c))
-    carry = (
-        a.join(b, cond, "inner")
-        .groupBy("_pid", *p_cols)
-        .agg(F.min_by("_laststart", "_q").alias("_carry"))
-        .select(F.col("_pid").alias("_c_pid"), *[F.col(c).alias(f"_c_{c}") for c in p_cols], "_carry")
+    stats = stats.withColumn(
+        "_runstart", F.first("_laststart").over(Window.partitionBy(*p_cols, "_rid").orderBy("_pid"))
+    )
+    stats = stats.withColumn(
+        "_carry", F.when(F.col("_prevlast").eqNullSafe(F.col("_firsto")), F.lag("_runstart").over(prev))
     )
-    ccond = F.col("_pid") == F.col("_c_pid")
-    for c in p_cols:  # NULL is a group of its own: null-safe keys throughout
-        ccond = ccond & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
-    summary = stats.join(carry, ccond, "left").select(
+    summary = stats.select(
         F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in p_cols], "_off", "_minrec", "_carry"
     )
     join_cond = F.col("_pid") == F.col("_s_pid")
