@@ -57,12 +57,20 @@ def footer_schemas(spark: SparkSession, root: str) -> DataFrame:
 
     def read_footers(batches):
         import pyarrow.parquet as pq
+        from pyarrow import fs as pafs
+
+        def open_schema(uri: str):
+            if uri.startswith("file:"):
+                return pq.read_schema(uri[len("file:"):].replace("///", "/", 1))
+            # s3a:// and s3n:// are Hadoop names for the same object store
+            uri = "s3://" + uri.split("://", 1)[1] if uri.startswith(("s3a://", "s3n://")) else uri
+            filesystem, path = pafs.FileSystem.from_uri(uri)
+            return pq.read_schema(path, filesystem=filesystem)
 
         for pdf in batches:
             out = []
             for p in pdf["path"]:
-                local = p[len("file:"):] if p.startswith("file:") else p
-                sch = pq.read_schema(local)
+                sch = open_schema(p)
                 out.append(json.dumps([[f.name, str(f.type)] for f in sch if f.name != "__index_level_0__"]))
             yield pd.DataFrame({"path": pdf["path"], "footer": out})
 
