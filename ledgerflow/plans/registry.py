@@ -85,7 +85,7 @@ class Lineage:
 def present(df: DataFrame) -> DataFrame:
     """Comparison-friendly output types: exact decimals become doubles (cast
     once, after all arithmetic), narrow integers become long, and instants
-    become wall-clock UTC timestamps."""
+    and calendar days become wall-clock UTC timestamps."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -93,7 +93,9 @@ def present(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
-        elif isinstance(f.dataType, T.TimestampType):
+        elif isinstance(f.dataType, (T.TimestampType, T.DateType)):
+            # calendar days as midnight wall-clock timestamps: pandas renders
+            # a DuckDB DATE as a timestamp and a Spark DATE as a date object
             c = c.cast("timestamp_ntz")
         cols.append(c.alias(f.name))
     return df.select(*cols)
