@@ -118,3 +118,15 @@ def test_top_products_window_and_distributed_paths_agree(spark):
     small = sorted(map(tuple, models.top_products(perf).collect()))
     forced = sorted(map(tuple, models.top_products(perf, max_group_rows=0).collect()))
     assert small == forced
+
+
+def test_approx_distinct_is_opt_in_and_close(spark):
+    from ledgerflow.operators import gold
+
+    orders = registry.Lineage(spark, SF_SMALL).orders()
+    exact = {r.date: r.unique_customers for r in gold.daily_sales(orders).collect()}
+    approx = {r.date: r.unique_customers for r in gold.daily_sales(orders, approx_distinct=True).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(2, 0.1 * exact[d]) for d in exact)
+    plan = gold.daily_sales(orders, approx_distinct=True)._jdf.queryExecution().executedPlan().toString()
+    assert "approx_count_distinct" in plan
