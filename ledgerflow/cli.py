@@ -72,7 +72,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
             if args.stage in ("silver", "all"):
                 jobs.bronze_to_silver(wh, *jobs.read_bronze(wh), args.as_of)
             if args.stage == "silver-incremental":
-                jobs.bronze_to_silver_incremental(wh, args.since, args.as_of)
+                jobs.bronze_to_silver_incremental(wh, args.since)
             if args.stage in ("gold", "all"):
                 jobs.silver_to_gold(wh, args.as_of, args.vip_over, args.premium_over)
             if args.stage in ("models", "all"):

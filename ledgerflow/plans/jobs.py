@@ -66,7 +66,7 @@ def _day_key(year, month, day):
     return year * 10000 + month * 100 + day
 
 
-def bronze_to_silver_incremental(wh: Warehouse, landed_since: str, as_of=None) -> int:
+def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> int:
     """Incremental SV1: re-clean only the event days touched by order files
     landed on or after ``landed_since`` and replace just those silver day
     partitions (DYNAMIC overwrite); the rest of silver is untouched.
@@ -118,9 +118,14 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str, as_of=None) -
         write_partitioned(cleaned, location, ["year", "month", "day"], dynamic=True)
         metrics = dq_obs.get
         log_dq(wh, quality.rows_from_metrics(spark, metrics, "orders", "silver", checks))
+        # the catalog holds the whole table's row count (a parquet footer count)
+        register_table(wh, "orders", "silver", location, wh.read("silver", "orders").count(), cleaned.schema.json())
         return int(read_obs.get["rows"]), int(metrics["rows_tested"])
 
-    _job(wh, S.RUN_NAMES["orders"] + "_incremental", "silver", body)
+    try:
+        _job(wh, S.RUN_NAMES["orders"] + "_incremental", "silver", body)
+    finally:
+        flush_catalog(wh)
     return len(days)
 
 

@@ -42,3 +42,5 @@ def test_incremental_equals_full_rebuild(spark):
     assert _rows(got.filter(F.col("created_at") < "2001-06-01")) == kept  # untouched days unchanged
     runs = [r.pipeline_name for r in wh.read("meta", "pipeline_runs").collect()]
     assert "bronze_to_silver_orders_incremental" in runs
+    cat = {(r.table_name, r.layer): r.row_count for r in wh.read_latest("meta", "table_catalog").collect()}
+    assert cat[("orders", "silver")] == L.orders().count()
