@@ -6,7 +6,8 @@
 
 Stages: ``land`` (demo feeds from driver-style tables), ``silver``
 (bronze files -> silver), ``silver-incremental`` (only the event days touched
-by files landed since ``--since``, dynamic partition overwrite), ``gold`` (silver -> gold aggregates), ``models``
+by files landed since ``--since``, dynamic partition overwrite), ``incremental``
+(that, then the touched gold days / months, segments and models), ``gold`` (silver -> gold aggregates), ``models``
 (gold -> revenue_trends / top_products / customer_ltv), ``all`` (silver, gold,
 models).  Streams: ``clean`` (ST1 over the landed order files into silver)
 and ``daily`` (ST2 exact mode, silver -> gold daily_sales_stream).  Each
@@ -31,7 +32,7 @@ from ledgerflow import schemas as S  # noqa: E402
 def parse(argv=None) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="ledgerflow")
     p.add_argument("--warehouse", required=True, help="root folder of bronze/silver/gold/meta")
-    p.add_argument("--stage", choices=["land", "silver", "silver-incremental", "gold", "models", "all"])
+    p.add_argument("--stage", choices=["land", "silver", "silver-incremental", "incremental", "gold", "models", "all"])
     p.add_argument("--since", help="landing date from which files are new (stage silver-incremental)")
     p.add_argument("--stream", choices=["clean", "daily"])
     p.add_argument("--from-tables", help="driver-style table folder (stage land)")
@@ -44,8 +45,8 @@ def parse(argv=None) -> argparse.Namespace:
         p.error("one of --stage or --stream is required")
     if args.stage == "land" and not args.from_tables:
         p.error("--stage land needs --from-tables")
-    if args.stage == "silver-incremental" and not args.since:
-        p.error("--stage silver-incremental needs --since")
+    if args.stage in ("silver-incremental", "incremental") and not args.since:
+        p.error(f"--stage {args.stage} needs --since")
     if args.stream and not args.checkpoint:
         p.error("--stream needs --checkpoint")
     return args
@@ -71,8 +72,11 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
         try:
             if args.stage in ("silver", "all"):
                 jobs.bronze_to_silver(wh, *jobs.read_bronze(wh), args.as_of)
-            if args.stage == "silver-incremental":
-                jobs.bronze_to_silver_incremental(wh, args.since)
+            if args.stage in ("silver-incremental", "incremental"):
+                days = jobs.bronze_to_silver_incremental(wh, args.since)
+                if args.stage == "incremental":
+                    jobs.silver_to_gold_incremental(wh, days, args.as_of, args.vip_over, args.premium_over)
+                    jobs.build_models(wh)
             if args.stage in ("gold", "all"):
                 jobs.silver_to_gold(wh, args.as_of, args.vip_over, args.premium_over)
             if args.stage in ("models", "all"):

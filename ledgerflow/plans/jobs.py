@@ -20,7 +20,7 @@ from ledgerflow import schemas as S
 from ledgerflow.operators import gold, quality, silver
 from ledgerflow.plans import models
 from ledgerflow.plans.metadata import Warehouse, _now, flush_catalog, log_dq, log_run, register_table
-from ledgerflow.sinks import write_partitioned, write_table
+from ledgerflow.sinks import replace_table, upsert, write_partitioned, write_table
 from ledgerflow.sources.tables import read_partitioned, read_snapshots
 
 
@@ -66,7 +66,7 @@ def _day_key(year, month, day):
     return year * 10000 + month * 100 + day
 
 
-def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> int:
+def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
     """Incremental SV1: re-clean only the event days touched by order files
     landed on or after ``landed_since`` and replace just those silver day
     partitions (DYNAMIC overwrite); the rest of silver is untouched.
@@ -80,7 +80,7 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> int:
       (pruned again) and the whole day is deduplicated and cleaned, exactly
       as the full job would;
     * DQ checks and counts ride on the write as in the full job.
-    Returns the number of event days rewritten.
+    Returns the rewritten event days as yyyymmdd keys.
     """
     spark = wh.spark
     root = wh.path("bronze", "orders")
@@ -98,7 +98,7 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> int:
         .collect()
     ]
     if not days:
-        return 0
+        return []
     import datetime as _dt
 
     as_dates = [_dt.date(k // 10000, k // 100 % 100, k % 100) for k in days]
@@ -126,7 +126,50 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> int:
         _job(wh, S.RUN_NAMES["orders"] + "_incremental", "silver", body)
     finally:
         flush_catalog(wh)
-    return len(days)
+    return sorted(days)
+
+
+def silver_to_gold_incremental(wh: Warehouse, days: list[int], as_of=None, vip_over=S.VIP_OVER,
+                               premium_over=S.PREMIUM_OVER) -> None:
+    """Gold after an incremental silver run that rewrote ``days`` (yyyymmdd):
+
+    * product_performance: only the touched months are recomputed (silver read
+      pruned to those year/month folders) and their ``period`` folders are
+      replaced with a DYNAMIC overwrite;
+    * daily_sales: only the touched days are recomputed (pruned read) and
+      upserted on ``date`` (staged, since the table is read and replaced);
+    * customer_segments depends on ``as_of`` for every customer
+      (days_since_last), so it is rebuilt in full.
+    """
+    if not days:
+        return
+    spark = wh.spark
+    orders = wh.read("silver", "orders")
+    day_key = _day_key(F.col("year"), F.col("month"), F.col("day"))
+    months = sorted({k // 100 for k in days})
+    month_key = F.col("year") * 100 + F.col("month")
+
+    def perf_body():
+        part = orders.filter(month_key.isin(months))
+        out = gold.product_performance(part, wh.read("silver", "products"))
+        write_partitioned(out, wh.path("gold", "product_performance"), ["period"], dynamic=True)
+        return part.count(), wh.read("gold", "product_performance", False).count()
+
+    def daily_body():
+        touched = orders.filter(day_key.isin(days))
+        fresh = gold.daily_sales(touched)
+        current = wh.read("gold", "daily_sales")
+        merged = upsert(current, fresh.select(*current.columns), ["date"])
+        replace_table(merged, wh.path("gold", "daily_sales"))
+        return touched.filter(F.col("status") == "completed").count(), wh.read("gold", "daily_sales").count()
+
+    _job(wh, S.RUN_NAMES["daily_sales"] + "_incremental", "gold", daily_body)
+    _job(wh, S.RUN_NAMES["product_performance"] + "_incremental", "gold", perf_body)
+    _gold_job(
+        wh, "customer_segments", orders.count,
+        lambda: gold.customer_segments(orders, wh.read("silver", "customers"), as_of, vip_over, premium_over),
+    )
+    flush_catalog(wh)
 
 
 def _gold_job(wh: Warehouse, table: str, read_rows: Callable[[], int], build: Callable[[], DataFrame], partition_cols=()):
