@@ -26,3 +26,7 @@ def test_cli_stages_and_streams(spark):
     assert spark.read.parquet(latest_version(spark, wh.path("gold", "daily_sales_stream"))).count() == L.daily_sales().count()
     runs = wh.read("meta", "pipeline_runs").collect()
     assert sorted(r.status for r in runs) == ["success"] * 6
+    # nothing landed since: the incremental stage touches no day and keeps gold as it is
+    before = wh.read("gold", "daily_sales").count()
+    cli.main(["--warehouse", root, "--stage", "incremental", "--since", "2099-01-01", "--as-of", D.DRIVER_AS_OF], spark)
+    assert wh.read("gold", "daily_sales").count() == before
