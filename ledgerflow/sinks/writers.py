@@ -5,6 +5,9 @@
   rows is split over many tasks and files instead of landing in one task).
 * keyed upsert: a full outer join on the keys; rows are never collected to
   the driver and written one by one.
+* versioned tables: a table that is updated in place gets a new immutable
+  ``version=<n>`` folder per update; readers take the newest committed one,
+  so a failed or retried update never damages the readable version.
 """
 
 from __future__ import annotations
