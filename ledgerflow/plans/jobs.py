@@ -66,6 +66,33 @@ def _day_key(year, month, day):
     return year * 10000 + month * 100 + day
 
 
+def touched_bronze(wh: Warehouse, landed_since: str) -> tuple[list[int], DataFrame | None]:
+    """(touched event days as yyyymmdd keys, the bronze rows of those days).
+    Both reads are pruned to landing folders: the new ones, then the event
+    day and the day after for every touched day."""
+    import datetime as _dt
+
+    spark = wh.spark
+    landed = read_partitioned(spark, wh.path("bronze", "orders"))
+    since = F.to_date(F.lit(landed_since))
+    landing_key = _day_key(F.col("year"), F.col("month"), F.col("day"))
+    since_key = _day_key(F.year(since), F.month(since), F.dayofmonth(since))
+    event = F.to_date(F.try_to_timestamp("created_at"))
+    event_key = _day_key(F.year(event), F.month(event), F.dayofmonth(event))
+    days = [
+        r[0] for r in landed.filter(landing_key >= since_key).select(event_key.alias("k")).dropna().distinct().collect()
+    ]
+    if not days:
+        return [], None
+    as_dates = [_dt.date(k // 10000, k // 100 % 100, k % 100) for k in days]
+    landing_days = sorted(
+        {int(d.strftime("%Y%m%d")) for d in as_dates}
+        | {int((d + _dt.timedelta(days=1)).strftime("%Y%m%d")) for d in as_dates}
+    )
+    rows = landed.filter(landing_key.isin(landing_days)).filter(event_key.isin(days))
+    return sorted(days), rows.select(*[F.col(f.name).cast(f.dataType) for f in S.BRONZE_ORDERS.fields])
+
+
 def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
     """Incremental SV1: re-clean only the event days touched by order files
     landed on or after ``landed_since`` and replace just those silver day
@@ -83,31 +110,9 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
     Returns the rewritten event days as yyyymmdd keys.
     """
     spark = wh.spark
-    root = wh.path("bronze", "orders")
-    since = F.to_date(F.lit(landed_since))
-    landed = read_partitioned(spark, root)
-    landing_key = _day_key(F.col("year"), F.col("month"), F.col("day"))
-    since_key = _day_key(F.year(since), F.month(since), F.dayofmonth(since))
-    new = landed.filter(landing_key >= since_key)
-    event = F.to_date(F.try_to_timestamp("created_at"))
-    days = [
-        r[0]
-        for r in new.select(_day_key(F.year(event), F.month(event), F.dayofmonth(event)).alias("k"))
-        .dropna()
-        .distinct()
-        .collect()
-    ]
+    days, bronze = touched_bronze(wh, landed_since)
     if not days:
         return []
-    import datetime as _dt
-
-    as_dates = [_dt.date(k // 10000, k // 100 % 100, k % 100) for k in days]
-    landing_days = sorted({int(d.strftime("%Y%m%d")) for d in as_dates} | {
-        int((d + _dt.timedelta(days=1)).strftime("%Y%m%d")) for d in as_dates
-    })
-    candidates = landed.filter(landing_key.isin(landing_days))
-    rows = candidates.filter(_day_key(F.year(event), F.month(event), F.dayofmonth(event)).isin(days))
-    bronze = rows.select(*[F.col(f.name).cast(f.dataType) for f in S.BRONZE_ORDERS.fields])
 
     def body():
         read_obs = Observation("read_orders_incremental")
