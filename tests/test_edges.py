@@ -253,3 +253,14 @@ def test_snk8_cap(spark):
 
     df = spark.createDataFrame([(None,), (5.0,), (2e9,)], "x double")
     assert [r[0] for r in df.select(cap("x", 999999999.9999)).collect()] == [0.0, 5.0, 999999999.9999]
+
+
+def test_hot_duplicate_group_in_batch_dedupe(spark):
+    # one order id holds a third of all rows; its copies differ in amount
+    hot = [order("hot", total_amount=f"{10 + i % 97}.00") for i in range(3000)]
+    rest = [order(f"o{i}") for i in range(6000)]
+    df = orders_df(spark, hot + rest).repartition(16)
+    out = silver.clean_orders(df, ingested_at=False)
+    assert out.count() == 6001
+    survivor = out.filter("order_id = 'hot'").collect()
+    assert len(survivor) == 1 and survivor[0].total_amount == Decimal("10.00")  # first by the dedupe order
