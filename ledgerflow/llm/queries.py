@@ -5,18 +5,44 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import minhash
+from ledgerflow.llm import minhash, packing, sharding, token_counts, token_matrix
 from ledgerflow.llm.common import table
 
 
+def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens (final id 1)."""
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048, final_id=1)
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op6_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, tokens and the over-limit flag of every document."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), limit=2048)
+
+
+def op7_best_fit_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed id matrix of all documents, one row a sequence of 2048 ids."""
+    return token_matrix.pack_matrices(table(spark, sf_dir, "documents"), capacity=2048)
+
+
+def op10_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 39 of all documents, equal texts together, the largest shard as small as possible."""
+    return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=40)
+
+
 def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components at 3-word shingles, Jaccard >= 0.85."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_cost_balanced_packing": op2_cost_balanced_packing,
+    "op6_bpe_token_counts": op6_bpe_token_counts,
+    "op7_best_fit_token_matrix": op7_best_fit_token_matrix,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_minimax_shards": op10_minimax_shards,
 }
 
 ORACLES: dict[str, str] = {}
