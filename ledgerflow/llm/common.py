@@ -6,13 +6,16 @@ import io
 import os
 import tempfile
 import zipfile
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.session import checkpoint_root, scratch_path
 
-__all__ = ["checkpoint_root", "materialize", "pick", "scratch_path", "ship", "table", "text_and_id"]
+__all__ = ["checkpoint_root", "filter_rows", "materialize", "pick", "scratch_path", "ship", "table", "text_and_id"]
 
 _SHIPPED = "spark.ledgerflow.llm.shipped"
 
@@ -71,3 +74,19 @@ def pick(df: DataFrame, **cols: tuple[str, str]) -> DataFrame:
 def text_and_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just (doc_id long, text string), whatever else the input carries."""
     return pick(docs, doc_id=(id_col, "long"), text=(text_col, "string"))
+
+
+def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of ``docs`` (all columns, as they are) for which ``keep`` gives True, in one scan.
+
+    ``keep`` gets Arrow batches whose columns stand in the order of ``docs.columns``.
+    """
+    ship(docs.sparkSession)
+    names = docs.columns
+    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(keep(batch), pa.bool_()))
+
+    return flat.mapInArrow(run, flat.schema).toDF(*names)

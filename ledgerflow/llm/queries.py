@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import minhash, packing, sharding, token_counts, token_matrix
+from ledgerflow.llm import langid, minhash, packing, quality, sharding, token_counts, token_matrix
 from ledgerflow.llm.common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document from co-trained text and metadata views."""
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens (final id 1)."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048, final_id=1)
@@ -38,7 +48,9 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_cost_balanced_packing": op2_cost_balanced_packing,
+    "op4_co_trained_quality": op4_co_trained_quality,
     "op6_bpe_token_counts": op6_bpe_token_counts,
     "op7_best_fit_token_matrix": op7_best_fit_token_matrix,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
