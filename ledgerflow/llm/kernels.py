@@ -29,6 +29,8 @@ _BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE[_SPACE] = 0
+#: As above with every ASCII character that is no letter or digit as a separator.
+_BYTE_ALNUM = np.where([b >= 128 or chr(b).isalnum() for b in range(256)], _BYTE, 0).astype(np.uint64)
 _BASE = int(_odd(_RNG, 1)[0])
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _LANE = _odd(_RNG, 64)
@@ -93,9 +95,10 @@ def slices(offs: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         lo = hi
 
 
-def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words(data: np.ndarray, offs: np.ndarray, byte: np.ndarray = _BYTE) -> tuple[np.ndarray, np.ndarray]:
     """Word hashes and word start bytes of the rows in ``data``; ``offs`` starts at 0."""
-    word = ~_SPACE[data]
+    value = byte[data]
+    word = value != 0
     first = word.copy()
     first[1:] &= ~word[:-1]
     heads = offs[:-1][offs[:-1] < offs[1:]]
@@ -104,17 +107,20 @@ def _words(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(starts):
         return np.zeros(0, np.uint64), starts
     up, down = _pow_tables(len(data))
-    sums = np.add.reduceat(_BYTE[data] * up[: len(data)], starts)
+    sums = np.add.reduceat(value * up[: len(data)], starts)
     return mix(sums * down[starts]), starts
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offs: np.ndarray, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased) of some rows.
 
+    alnum: all ASCII punctuation separates words, too.
+
     Returns (hashes, bounds): row i has the words bounds[i]:bounds[i+1]. A row
     longer than a slice is cut at white space, so the working memory stays a
     few slices plus eight bytes a word.
     """
+    byte = _BYTE_ALNUM if alnum else _BYTE
     base = offs[0]
     if offs[-1] - base > 2 * SLICE_BYTES and len(offs) == 2:
         parts, lo, end = [], int(base), int(offs[-1])
@@ -128,12 +134,12 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
                         hi += int(gap[0])
                         break
                     hi = min(hi + step, end)
-            parts.append(_words(data[lo:hi], np.array([0, hi - lo]))[0])
+            parts.append(_words(data[lo:hi], np.array([0, hi - lo]), byte)[0])
             lo = hi
         hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         return hashes, np.array([0, len(hashes)])
     local = offs - base
-    hashes, starts = _words(data[base : offs[-1]], local)
+    hashes, starts = _words(data[base : offs[-1]], local, byte)
     return hashes, np.searchsorted(starts, local)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import langid, minhash, packing, quality, sharding, token_counts, token_matrix
+from ledgerflow.llm import decontam, langid, minhash, packing, quality, sharding, token_counts, token_matrix
 from ledgerflow.llm.common import table
 
 
@@ -21,6 +21,11 @@ def op4_co_trained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage of a test item, one row a pair."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens (final id 1)."""
     packed = packing.pack_documents(table(spark, sf_dir, "documents"), capacity=2048, final_id=1)
@@ -50,6 +55,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_cost_balanced_packing": op2_cost_balanced_packing,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_co_trained_quality": op4_co_trained_quality,
     "op6_bpe_token_counts": op6_bpe_token_counts,
     "op7_best_fit_token_matrix": op7_best_fit_token_matrix,
