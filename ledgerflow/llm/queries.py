@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import decontam, langid, minhash, packing, quality, sharding, token_counts, token_matrix
+from ledgerflow.llm import ann, decontam, langid, minhash, packing, quality, sharding, token_counts, token_matrix, url_filter
 from ledgerflow.llm.common import table
 
 
@@ -32,6 +32,27 @@ def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+#: The rules of the contract (fixed values).
+URL_RULES = [
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+def op5_url_word_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's URL."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.train(pages), URL_RULES).drop("block_odds")
+
+
+def op8_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of each vector whose id is divisible by 100."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op6_bpe_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes, tokens and the over-limit flag of every document."""
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), limit=2048)
@@ -57,8 +78,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_cost_balanced_packing": op2_cost_balanced_packing,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_co_trained_quality": op4_co_trained_quality,
+    "op5_url_word_filter": op5_url_word_filter,
     "op6_bpe_token_counts": op6_bpe_token_counts,
     "op7_best_fit_token_matrix": op7_best_fit_token_matrix,
+    "op8_multiprobe_neighbours": op8_multiprobe_neighbours,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_minimax_shards": op10_minimax_shards,
 }
