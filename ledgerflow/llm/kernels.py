@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 #: A slice handed to the kernels holds at most this many text bytes (a longer text is a slice of its own).
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 _U = np.uint64
 
