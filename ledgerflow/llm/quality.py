@@ -27,15 +27,15 @@ from ledgerflow.llm import kernels as K
 from ledgerflow.llm.common import filter_rows, pick, ship
 
 #: Most labelled rows that a fit uses, and about how many unlabelled ones.
-MAX_LABELLED = 5000
-POOL = 4000
+MAX_LABELLED = 3000
+POOL = 2000
 ROUNDS = 3
 #: A view hands on labels for at most this share of the pool a round, and only where it is this sure.
 SHARE = 0.1
 SURE = 0.95
 #: Clean labelled documents that the threshold must keep, and its ceiling.
 KEEP_CLEAN = 0.995
-CEILING = 0.5
+CEILING = 0.3
 
 TEXT_ORDERS = (1, 2, 3)
 TEXT_BITS = 14
@@ -98,7 +98,7 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 def fit_logistic(x: Sparse, y: np.ndarray, weight: np.ndarray, dim: int, steps: int = 50, rate: float = 0.4, ridge: float = 1e-5) -> np.ndarray:
     """Weights of a logistic regression (the last one is the constant), by Adam on the whole sample."""
     w, m, v = np.zeros(dim + 1), np.zeros(dim + 1), np.zeros(dim + 1)
-    row = np.repeat(np.arange(len(y)), np.diff(x.ends))
+    row = np.repeat(np.arange(len(y), dtype=np.int32), np.diff(x.ends))
     total = max(weight.sum(), 1e-9)
     for t in range(1, steps + 1):
         r = weight * (_sigmoid(x.dot(w[:-1]) + w[-1]) - y) / total
@@ -226,12 +226,17 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def _unpack(cells: list[bytes]) -> Sparse:
-    parts = []
-    for c in cells:
-        n = len(c) // 8
-        parts.append((np.frombuffer(c[: 4 * n], "<i4").astype(np.int64), np.frombuffer(c[4 * n :], "<f4").astype(float)))
-    return _stack(parts)
+def _unpack(cells: pa.ChunkedArray) -> Sparse:
+    """The packed rows as one matrix, without a Python object for each number."""
+    cells = cells.combine_chunks() if len(cells) else pa.array([], pa.binary())
+    size = np.array([len(c.as_buffer()) // 8 for c in cells], np.int64)
+    ends = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+    cols, vals = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
+    for c, a, b in zip(cells, ends[:-1], ends[1:], strict=True):
+        raw = np.frombuffer(c.as_buffer(), np.uint8)
+        cols[a:b] = raw[: 4 * (b - a)].view("<i4")
+        vals[a:b] = raw[4 * (b - a) :].view("<f4")
+    return Sparse(ends, cols, vals)
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
@@ -259,7 +264,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = sample.withColumn("fold", F.coalesce("fold", F.lit(1))).limit(2 * (MAX_LABELLED + POOL))
     got = sample.select("label", "fold", "text", *META).mapInArrow(_sample_features, "label int, fold int, text binary, meta binary").toArrow()
     label, fold = got.column("label").to_numpy(), got.column("fold").to_numpy()
-    return co_train(_unpack(got.column("text").to_pylist()), _unpack(got.column("meta").to_pylist()), label, fold)
+    return co_train(_unpack(got.column("text")), _unpack(got.column("meta")), label, fold)
 
 
 def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

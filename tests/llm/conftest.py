@@ -1,0 +1,11 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def frame(spark):
+    """Build a documents-like table: frame(rows, extra columns that clash with result names)."""
+
+    def build(rows, schema="doc_id long, text string, lang string, source string, n_chars long"):
+        return spark.createDataFrame(rows, schema)
+
+    return build
