@@ -89,7 +89,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
     elif args.stream == "daily":
         schema = wh.read("silver", "orders").schema
         stream_daily_sales(spark, wh.path("silver", "orders"), wh.path("gold", "daily_sales_stream"),
-                           args.checkpoint, schema, exact=True).awaitTermination()
+                           args.checkpoint, schema).awaitTermination()
 
 
 if __name__ == "__main__":

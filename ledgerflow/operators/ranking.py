@@ -1,263 +1,120 @@
-"""Distributed global NTILE.
-
-``ntile(n).over(Window.orderBy(...))`` has no partition key, so Spark moves
-every row into ONE task (``Exchange SinglePartition``).  On customer-grain
-data that task grows with the customer base.  This operator computes the
-same buckets with the work spread over all tasks:
-
-1. range-partition on (order keys, unique tie-break) with an explicit
-   partition count and sort each partition;
-2. ``monotonically_increasing_id`` then encodes (partition index, position
-   inside the partition) for every row, in sorted order;
-3. per-partition row counts (one row per range partition) give each
-   partition's global offset and the total -- this small table is the only
-   thing broadcast, and its size is bounded by the partition count;
-4. global position = offset + local position; the bucket follows from the
-   NTILE rule (the first ``total % n`` buckets hold one extra row).
-
-The sorted, position-tagged rows are written ONCE as a parquet table under
-the shared checkpoint folder (``spark.checkpoint.dir``) and both consumers
-(the per-partition counts and the final join) read that table.  Range
-bounds are sampled once, a lost executor cannot make the two consumers see
-different partitionings, and the lineage before the sort is not recomputed.
-The counts read only the ``_pid`` column.  AQE may merge adjacent small
-range partitions before the write (order is preserved).  A tie group larger
-than a partition is split by the tie-break column, so a hot value cannot
-overload one task.
+"""Global quartiles and per-group ranks without a window over a whole group.
+
+``rank().over(partition by period ...)`` puts a period into one task, and ``ntile`` without a
+partition key the whole table. Both are computed here from counts on a fixed,
+order-preserving grid of *slices* (a function of the value alone: about 0.4 % of a number's size, a
+day of a date), so every executor puts a value into the same slice, and a retry too:
+
+* ``rank_within``: a value's rank is one more than the rows of its group with an earlier value.
+  Rows are counted per value, a running sum goes over the values of a slice, another over
+  the slices of a group, and the rows take their rank from one join on the value.
+* ``ntile_global``: the row counts per slice tell in which slice each bucket begins; only those
+  few slices are looked into, first by value and block of the tie-break, then row by row. The
+  result is one cut row for each bucket, and every row is compared with these cuts in one scan.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-from ledgerflow.session import scratch_path
-
-_LOCAL_BITS = 33  # monotonically_increasing_id = partition << 33 | record number
-
-
-def _range_sorted(df: DataFrame, sort_spec: list, requested: int | None) -> DataFrame:
-    """Range-partition and sort.  Without an explicit count AQE may merge
-    ADJACENT small range partitions (order is kept, partition indices stay
-    increasing); this is safe because the indexed rows are written by one
-    job and every later consumer reads that table."""
-    ranged = df.repartitionByRange(int(requested), *sort_spec) if requested else df.repartitionByRange(*sort_spec)
-    return ranged.sortWithinPartitions(*sort_spec)
-
-
-def ntile_global(
-    df: DataFrame,
-    n: int,
-    order: Sequence[Column],
-    tiebreak: Sequence[str],
-    out_col: str,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``out_col`` = NTILE(n) OVER (ORDER BY order..., tiebreak... ASC)."""
-    sort_spec = list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
-    cols = df.columns
-    ranged = _range_sorted(df, sort_spec, num_partitions)
-    idx = ranged.withColumn("_mid", F.monotonically_increasing_id()).select(
-        *cols,
-        F.shiftright("_mid", _LOCAL_BITS).alias("_pid"),
-        F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_rec"),
-    )
-    path = scratch_path(df.sparkSession, f"ntile-{out_col}")
-    idx.write.mode("error").parquet(path)
-    idx = df.sparkSession.read.parquet(path)
-    counts = idx.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    # one row per range partition: a global window here is a tiny single task
-    offsets = counts.select(
-        "_pid",
-        F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
-        F.sum("_cnt").over(Window.partitionBy()).alias("_total"),
-    )
-    pos = F.col("_off") + F.col("_rec")
-    q = F.floor(F.col("_total") / n)
-    r = F.col("_total") % n
-    big = r * (q + 1)  # rows held by the larger buckets
-    bucket = (
-        F.when(pos < big, F.floor(pos / (q + 1)) + 1)
-        .otherwise(r + F.floor((pos - big) / F.when(q > 0, q)) + 1)
-        .cast("int")
-    )
-    return idx.join(F.broadcast(offsets), "_pid").select(*cols, bucket.alias(out_col))
-
-
-# ---------------------------------------------------------------------------
-# Distributed RANK() OVER (PARTITION BY p ORDER BY o)
-# ---------------------------------------------------------------------------
-def _local_positions(p_cols: list[str], o_cols: list[str]):
-    """Per sorted partition: local record number and the local record number
-    where the row's (p, o) tie group starts.  Vectorised over Arrow batches,
-    carrying the last key across batch boundaries."""
-
-    def fn(batches):
-        import numpy as np
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        rec0, carry, carry_first = 0, None, 0
-        keys_cols = p_cols + o_cols
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            keys = pdf[keys_cols].reset_index(drop=True)
-            ext = keys if carry is None else pd.concat([carry, keys], ignore_index=True)
-            new = np.zeros(len(ext), dtype=bool)
-            for c in keys_cols:
-                a, prev = ext[c], ext[c].shift(1)
-                same = ((a == prev) | (a.isna() & prev.isna())).to_numpy(dtype=bool)
-                new |= ~same
-            if carry is None:
-                new[0] = True  # the partition's first row opens a group
-            else:
-                new = new[1:]
-            recs = np.arange(rec0, rec0 + n, dtype=np.int64)
-            first = np.where(new, recs, -1)
-            if not new[0]:
-                first[0] = carry_first
-            first = np.maximum.accumulate(first)
-            yield pdf.assign(_pid=np.int64(pid), _rec=recs, _tfirst=first)
-            carry, carry_first, rec0 = keys.iloc[[n - 1]], int(first[-1]), rec0 + n
-
-    return fn
-
-
-def rank_within(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    order: Sequence[Column],
-    order_cols: Sequence[str],
-    tiebreak: Sequence[str],
-    out_col: str,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``out_col`` = RANK() OVER (PARTITION BY partition_cols ORDER BY order).
-
-    ``order`` are the sort expressions over ``order_cols`` (the columns that
-    define peers).  Unlike a window, no task holds a whole partition group:
-
-    1. range-partition + sort on (partition cols, order, unique tie-break), so
-       a group -- or a tie group -- larger than a task is split;
-    2. one vectorised pass over each sorted partition (``mapInPandas``)
-       records the local start of every tie group -- this replaces the
-       shuffle a window on (partition id, keys) would need;
-    3. the rows are written once to the shared checkpoint folder (both
-       consumers read the same bytes);
-    4. a per-(partition id, group) summary -- one row per range partition
-       and group it holds -- gives each partition's offset inside its group
-       and, for a tie group that started in an earlier partition, where it
-       started (window functions over that small table, no pairing);
-    5. rank = 1 + position of the tie group's first row.
-    """
-    from pyspark.sql import types as T
-
-    spark = df.sparkSession
-    p_cols, o_cols = list(partition_cols), list(order_cols)
-    sort_spec = [F.col(c).asc_nulls_first() for c in p_cols] + list(order) + [F.col(c).asc_nulls_first() for c in tiebreak]
-    cols = df.columns
-    # session-zone timestamps cross the Python step as exact epoch micros (a
-    # local-time round trip through pandas is ambiguous at DST changes)
-    ltz = [f.name for f in df.schema.fields if isinstance(f.dataType, T.TimestampType)]
-    if ltz:
-        df = df.withColumns({c: F.unix_micros(c) for c in ltz})
-    ranged = _range_sorted(df, sort_spec, num_partitions)
-    schema = T.StructType(
-        df.schema.fields
-        + [T.StructField("_pid", T.LongType()), T.StructField("_rec", T.LongType()), T.StructField("_tfirst", T.LongType())]
-    )
-    local = ranged.mapInPandas(_local_positions(p_cols, o_cols), schema)
-    path = scratch_path(spark, f"rank-{out_col}")
-    local.write.mode("error").parquet(path)
-    t = spark.read.parquet(path)
-
-    okey = F.struct(*[F.col(c) for c in o_cols])
-    stats = t.groupBy("_pid", *p_cols).agg(
-        F.count(F.lit(1)).alias("_cnt"),
-        F.min("_rec").alias("_minrec"),
-        F.min_by(okey, "_rec").alias("_firsto"),
-        F.max_by(okey, "_rec").alias("_lasto"),
-        F.max_by("_tfirst", "_rec").alias("_lastfirst"),
-    )
-    by_group = Window.partitionBy(*p_cols).orderBy("_pid") if p_cols else Window.orderBy("_pid")
-    stats = stats.withColumn(
-        "_off", F.coalesce(F.sum("_cnt").over(by_group.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).withColumn("_laststart", F.col("_off") + F.col("_lastfirst") - F.col("_minrec"))
-    # tie group continuing from an earlier partition.  Partitions whose LAST
-    # tie key is the same form a run (consecutive, as the data is sorted); the
-    # group starts where the run's first partition starts its last group.  A
-    # partition whose FIRST key equals the previous partition's last key
-    # inherits that start.  Windows over the summary only -- no pairs.
-    prev = Window.partitionBy(*p_cols).orderBy("_pid") if p_cols else Window.orderBy("_pid")
-    stats = stats.withColumn("_prevlast", F.lag("_lasto").over(prev))
-    stats = stats.withColumn(
-        "_rid",
-        F.sum(F.when(F.col("_prevlast").eqNullSafe(F.col("_lasto")), 0).otherwise(1)).over(
-            prev.rowsBetween(Window.unboundedPreceding, 0)
-        ),
+from pyspark.sql import types as T
+
+#: Rows of one block of the tie-break column in ``ntile_global``.
+TIE_BLOCK = 1 << 16
+
+
+@dataclass(frozen=True)
+class By:
+    """An order by one numeric, date or timestamp column."""
+
+    column: str
+    desc: bool = True
+    nulls_first: bool = True
+
+    def keys(self, df: DataFrame) -> tuple[Column, Column, Column]:
+        """(null flag, key, slice): ascending in this order."""
+        kind, c = df.schema[self.column].dataType, F.col(self.column)
+        if isinstance(kind, T.DateType):
+            c = F.unix_date(c)
+        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            c = F.unix_micros(c.cast("timestamp"))
+        key = -c if self.desc else c
+        if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+            slice_ = F.floor(key / (1 if isinstance(kind, T.DateType) else 86_400_000_000))
+        else:
+            x = key.cast("double")
+            slice_ = F.floor(F.signum(x) * F.log1p(F.abs(x)) * 256)
+        flag = F.when(c.isNull(), 0 if self.nulls_first else 2).otherwise(1)
+        return flag, key, F.coalesce(slice_.cast("long"), F.lit(0).cast("long"))
+
+
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for a, b in zip(left, right, strict=True):
+        cond = cond & F.col(a).eqNullSafe(F.col(b))
+    return cond
+
+
+def rank_within(df: DataFrame, partition_cols: Sequence[str], by: By, out_col: str) -> DataFrame:
+    """Add ``out_col`` = RANK() OVER (PARTITION BY partition_cols ORDER BY by)."""
+    group = list(partition_cols)
+    flag, key, slice_ = by.keys(df)
+    values = df.select(*group, flag.alias("_f"), key.alias("_k"), slice_.alias("_s")).groupBy(*group, "_f", "_k", "_s").agg(F.count("*").alias("_n"))
+    inside = Window.partitionBy(*group, "_f", "_s").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    local = values.withColumn("_local", F.sum("_n").over(inside) - F.col("_n"))
+    # one row a slice in use: bounded by the grid, whatever the size of the group
+    slices = values.groupBy(*group, "_f", "_s").agg(F.sum("_n").alias("_n"))
+    earlier = Window.partitionBy(*group).orderBy("_f", "_s").rowsBetween(Window.unboundedPreceding, -1)
+    at = [*group, "_f", "_s"]
+    offsets = slices.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(at)], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    ranks = local.join(offsets, _same(at, [f"_o{i}" for i in range(len(at))])).select(
+        *[F.col(c).alias(f"_r{i}") for i, c in enumerate([*group, "_f", "_k"])], (F.col("_local") + F.col("_offset") + 1).cast("int").alias(out_col)
     )
-    stats = stats.withColumn(
-        "_runstart", F.first("_laststart").over(Window.partitionBy(*p_cols, "_rid").orderBy("_pid"))
+    keyed = df.withColumn("_f", flag).withColumn("_k", key)
+    names = [f"_r{i}" for i in range(len(group) + 2)]
+    return keyed.join(ranks, _same([*group, "_f", "_k"], names), "left").select(*df.columns, out_col)
+
+
+def ntile_cuts(df: DataFrame, n: int, by: By, tiebreak: str) -> DataFrame:
+    """One row with ``cuts``: the first row (flag, key, tie-break) of the second and later buckets of NTILE(n)."""
+    flag, key, slice_ = by.keys(df)
+    rows = df.select(flag.alias("f"), key.alias("k"), slice_.alias("s"), F.col(tiebreak).cast("long").alias("id"))
+    rows = rows.withColumn("b", F.floor(F.coalesce("id", F.lit(-(1 << 62))) / TIE_BLOCK))
+    # slices: a table bounded by the grid
+    slices = rows.groupBy("f", "s").agg(F.count("*").alias("n"))
+    running = Window.orderBy("f", "s")
+    placed = slices.select(
+        "f", "s", "n", (F.sum("n").over(running) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total")
     )
-    stats = stats.withColumn(
-        "_carry", F.when(F.col("_prevlast").eqNullSafe(F.col("_firsto")), F.lag("_runstart").over(prev))
-    )
-    summary = stats.select(
-        F.col("_pid").alias("_s_pid"), *[F.col(c).alias(f"_s_{c}") for c in p_cols], "_off", "_minrec", "_carry"
-    )
-    join_cond = F.col("_pid") == F.col("_s_pid")
-    for c in p_cols:
-        join_cond = join_cond & F.col(c).eqNullSafe(F.col(f"_s_{c}"))
-    joined = t.join(summary, join_cond, "inner")
-    start = (
-        F.when((F.col("_tfirst") == F.col("_minrec")) & F.col("_carry").isNotNull(), F.col("_carry"))
-        .otherwise(F.col("_off") + F.col("_tfirst") - F.col("_minrec"))
-    )
-    restored = [F.timestamp_micros(c).alias(c) if c in ltz else F.col(c) for c in cols]
-    return joined.select(*restored, (start + 1).cast("int").alias(out_col))
-
-
-# rows of the largest group up to which a plain window (one task per group)
-# is used; beyond it the distributed RANK takes over
-MAX_WINDOW_GROUP_ROWS = 2_000_000
-
-
-def ranks_within(
-    df: DataFrame,
-    partition_cols: Sequence[str],
-    ranks: Sequence[tuple[Column, Sequence[str], str]],
-    tiebreak: Sequence[str],
-    max_group_rows: int = MAX_WINDOW_GROUP_ROWS,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Several RANK() OVER (PARTITION BY partition_cols ORDER BY ...) columns,
-    with the strategy chosen by a size check -- like a broadcast behind a
-    size check, with another way beyond it.
-
-    ``ranks`` holds (sort expression, peer columns, output column).  The input
-    is written once to the shared checkpoint folder; the size of its largest
-    group is read back (one number).  Up to ``max_group_rows`` the ranks are
-    plain windows (one shuffle by the group key, one task per group, all
-    rank columns from one shuffle); beyond it every rank uses
-    ``rank_within``, where no task holds a whole group.
+    small, rest = F.floor(F.col("total") / n), F.col("total") % n
+    starts = F.array(*[small * i + F.least(F.lit(i), rest) for i in range(1, n)])
+    wanted = F.filter(starts, lambda p: (p >= F.col("before")) & (p < F.col("before") + F.col("n")))
+    targets = placed.select("f", "s", F.explode(F.array_distinct(wanted)).alias("p"), "before").select("f", "s", "p", (F.col("p") - F.col("before")).alias("off"))
+    # inside those slices: values and blocks of the tie-break
+    blocks = rows.join(targets.select("f", "s").distinct(), ["f", "s"], "left_semi").groupBy("f", "s", "k", "b").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("f", "s").orderBy(F.col("k").asc_nulls_first(), "b")
+    blocks = blocks.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    hit = blocks.join(targets, ["f", "s"]).where("off >= before and off < before + n")
+    hit = hit.select(F.col("f").alias("hf"), F.col("k").alias("hk"), F.col("b").alias("hb"), "p", (F.col("off") - F.col("before")).alias("off"))
+    # and the rows of those blocks
+    found = rows.join(hit, _same(["f", "k", "b"], ["hf", "hk", "hb"]))
+    place = F.row_number().over(Window.partitionBy("p").orderBy(F.col("id").asc_nulls_first())) - 1
+    cut = found.withColumn("place", place).where(F.col("place") == F.col("off"))
+    return cut.agg(F.array_sort(F.collect_list(F.struct("f", "k", "id"))).alias("cuts"))
+
+
+def ntile_global(df: DataFrame, n: int, by: By, tiebreak: str, out_col: str, keys: DataFrame | None = None) -> DataFrame:
+    """Add ``out_col`` = NTILE(n) OVER (ORDER BY by, tiebreak ASC); the tie-break is a unique integer column.
+
+    ``keys``: a stored table with the two columns, if ``df`` itself is costly to compute several times.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, "ranks-input")
-    df.write.mode("error").parquet(path)
-    base = spark.read.parquet(path)
-    sizes = base.groupBy(*partition_cols).count() if partition_cols else base.groupBy().count()
-    biggest = sizes.agg(F.max("count")).first()[0] or 0
-    if biggest <= max_group_rows:
-        w = Window.partitionBy(*partition_cols) if partition_cols else Window.partitionBy()
-        return base.select(
-            *base.columns, *[F.rank().over(w.orderBy(order)).alias(out) for order, _, out in ranks]
-        )
-    out = base
-    for order, peers, name in ranks:
-        out = rank_within(out, partition_cols, [order], peers, tiebreak, name, num_partitions)
-    return out
+    if n == 1:
+        return df.withColumn(out_col, F.lit(1))
+    flag, key, _ = by.keys(df)
+    cuts = ntile_cuts(df if keys is None else keys, n, by, tiebreak).scalar()
+    mine = F.struct(flag.alias("f"), key.alias("k"), F.col(tiebreak).cast("long").alias("id"))
+    reached = [F.coalesce(F.get(cuts, F.lit(i)) <= mine, F.lit(False)).cast("int") for i in range(n - 1)]
+    return df.withColumn(out_col, sum(reached, F.lit(1)))

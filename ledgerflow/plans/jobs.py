@@ -1,27 +1,26 @@
 """The batch pipeline: bronze -> silver -> gold -> models, with run log,
 data-quality log and catalog.
 
-Each job is ONE Spark action (the table write).  Row counts and all DQ
-check counts ride on that write as observed metrics (``DataFrame.observe``),
-instead of the separate count / filter-count actions per check of a naive
-version.  Gold jobs read the silver tables back from parquet, so partition
-columns are discovered and filters prune directories.  The only extra
-action is the gold jobs' rows_read count, a one-column scan.
+Each job writes its table and then takes every count and check from the committed
+table in one pass over the columns the checks need.  (Counters that ride on the
+write itself are counted again when a task is repeated after a lost executor.)
+Gold jobs read the silver tables back from parquet, so partition columns
+are discovered and filters prune directories.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
 from ledgerflow.operators import gold, quality, silver
-from ledgerflow.plans import models
+from ledgerflow.plans import incremental, models
 from ledgerflow.plans.metadata import Warehouse, _now, flush_catalog, log_dq, log_run, register_table
-from ledgerflow.sinks import replace_table, upsert, write_partitioned, write_table
-from ledgerflow.sources.tables import read_partitioned, read_snapshots
+from ledgerflow.sinks import drop_partitions, path_exists, remove_path, replace_table, write_partitioned, write_table
+from ledgerflow.sources.tables import read_drifting, read_partitioned
 
 
 def _job(wh: Warehouse, name: str, layer: str, body: Callable[[], tuple[int, int]]) -> tuple[int, int]:
@@ -36,137 +35,109 @@ def _job(wh: Warehouse, name: str, layer: str, body: Callable[[], tuple[int, int
     return rows_read, rows_written
 
 
+def _log_silver(wh: Warehouse, table: str) -> int:
+    """DQ rows, row count and catalog entry of a committed silver table."""
+    checked = quality.run_checks(wh.read("silver", table), table, "silver", quality.CHECK_SETS[table]()).collect()  # a row a check
+    columns = "table_name string, layer string, check_name string, status string, rows_tested long, rows_failed long"
+    log_dq(wh, wh.spark.createDataFrame(checked, columns))
+    written = checked[0].rows_tested
+    register_table(wh, table, "silver", wh.path("silver", table), written, wh.read("silver", table).schema.json())
+    return written
+
+
 def _silver_job(wh: Warehouse, table: str, bronze: DataFrame, clean: Callable[[DataFrame], DataFrame], partition_cols=()):
     def body():
-        read_obs = Observation(f"read_{table}")
-        observed = bronze.observe(read_obs, F.count(F.lit(1)).alias("rows"))
-        checks = quality.CHECK_SETS[table]()
-        cleaned, dq_obs = quality.observe_checks(clean(observed), checks, f"dq_{table}")
         location = wh.path("silver", table)
         if partition_cols:
-            write_partitioned(cleaned, location, partition_cols)
+            write_partitioned(clean(bronze), location, partition_cols)
         else:
-            write_table(cleaned, location)
-        metrics = dq_obs.get
-        written = int(metrics["rows_tested"])
-        log_dq(wh, quality.rows_from_metrics(wh.spark, metrics, table, "silver", checks))
-        register_table(wh, table, "silver", location, written, cleaned.schema.json())
-        return int(read_obs.get["rows"]), written
+            write_table(clean(bronze), location)
+        return bronze.count(), _log_silver(wh, table)
 
     return _job(wh, S.RUN_NAMES[table], "silver", body)
 
 
 def bronze_to_silver(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame, bronze_products: DataFrame, as_of=None) -> None:
+    remove_path(wh.spark, wh.path("silver", "orders_kept"))  # the next incremental run starts it anew
     _silver_job(wh, "orders", bronze_orders, silver.clean_orders, ("year", "month", "day"))
     _silver_job(wh, "customers", bronze_customers, lambda b: silver.clean_customers(b, as_of))
     _silver_job(wh, "products", bronze_products, silver.clean_products)
 
 
-def _day_key(year, month, day):
-    return year * 10000 + month * 100 + day
-
+def landed_orders(wh: Warehouse, since: str | None = None, before: str | None = None) -> DataFrame:
+    """Bronze orders by landing folder: from ``since`` on, or ``before`` a date; files without one are in both."""
+    landed = read_orders(wh, keep_landing=True)
+    key = incremental.day_key("_landed_year", "_landed_month", "_landed_day")
 
-def touched_bronze(wh: Warehouse, landed_since: str) -> tuple[list[int], DataFrame | None]:
-    """(touched event days as yyyymmdd keys, the bronze rows of those days).
-    Both reads are pruned to landing folders: the new ones, then the event
-    day and the day after for every touched day."""
-    import datetime as _dt
+    def number(date: str):
+        d = F.to_date(F.lit(date))
+        return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
 
-    spark = wh.spark
-    landed = read_partitioned(spark, wh.path("bronze", "orders"))
-    since = F.to_date(F.lit(landed_since))
-    landing_key = _day_key(F.col("year"), F.col("month"), F.col("day"))
-    since_key = _day_key(F.year(since), F.month(since), F.dayofmonth(since))
-    event = F.to_date(F.try_to_timestamp("created_at"))
-    event_key = _day_key(F.year(event), F.month(event), F.dayofmonth(event))
-    days = [
-        r[0] for r in landed.filter(landing_key >= since_key).select(event_key.alias("k")).dropna().distinct().collect()
-    ]
-    if not days:
-        return [], None
-    as_dates = [_dt.date(k // 10000, k // 100 % 100, k % 100) for k in days]
-    landing_days = sorted(
-        {int(d.strftime("%Y%m%d")) for d in as_dates}
-        | {int((d + _dt.timedelta(days=1)).strftime("%Y%m%d")) for d in as_dates}
-    )
-    rows = landed.filter(landing_key.isin(landing_days)).filter(event_key.isin(days))
-    return sorted(days), rows.select(*[F.col(f.name).cast(f.dataType) for f in S.BRONZE_ORDERS.fields])
+    if since is not None:
+        landed = landed.where((key >= number(since)) | (key == 0))
+    if before is not None:
+        landed = landed.where(key < number(before))
+    return landed.select(*S.BRONZE_ORDERS.names)
 
 
 def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
-    """Incremental SV1: re-clean only the event days touched by order files
-    landed on or after ``landed_since`` and replace just those silver day
-    partitions (DYNAMIC overwrite); the rest of silver is untouched.
-
-    * the new landing folders are read with partition pruning;
-    * their event days are the (small, calendar-bounded) key set returned
-      to the driver;
-    * every copy of an order shares its event time, and a file lands at most
-      24 h after its events, so all rows of a touched event day sit in the
-      landing folders of that day or the next: those folders are read
-      (pruned again) and the whole day is deduplicated and cleaned, exactly
-      as the full job would;
-    * DQ checks and counts ride on the write as in the full job.
-    Returns the rewritten event days as yyyymmdd keys.
+    """Incremental SV1: merge the order files landed on or after ``landed_since``.
+
+    Only the new landing folders are read (partition pruning). The event days that they
+    change are rewritten, and nothing else; the result equals a full rebuild, however late
+    a copy lands (see ``incremental``). Returns the rewritten event days as yyyymmdd keys, 0
+    standing for rows without a readable date.
     """
-    spark = wh.spark
-    days, bronze = touched_bronze(wh, landed_since)
-    if not days:
-        return []
+    kept, location = wh.path("silver", "orders_kept"), wh.path("silver", "orders")
+    days: list[int] = []
 
     def body():
-        read_obs = Observation("read_orders_incremental")
-        observed = bronze.observe(read_obs, F.count(F.lit(1)).alias("rows"))
-        checks = quality.CHECK_SETS["orders"]()
-        cleaned, dq_obs = quality.observe_checks(silver.clean_orders(observed), checks, "dq_orders_incremental")
-        location = wh.path("silver", "orders")
-        write_partitioned(cleaned, location, ["year", "month", "day"], dynamic=True)
-        metrics = dq_obs.get
-        log_dq(wh, quality.rows_from_metrics(spark, metrics, "orders", "silver", checks))
-        # the catalog holds the whole table's row count (a parquet footer count)
-        register_table(wh, "orders", "silver", location, wh.read("silver", "orders").count(), cleaned.schema.json())
-        return int(read_obs.get["rows"]), int(metrics["rows_tested"])
+        if not path_exists(wh.spark, kept):
+            incremental.rebuild_kept(landed_orders(wh, before=landed_since), kept)
+        fresh = landed_orders(wh, since=landed_since)
+        days.extend(incremental.merge_orders(fresh, kept, location))
+        return fresh.count(), _log_silver(wh, "orders")
 
     try:
         _job(wh, S.RUN_NAMES["orders"] + "_incremental", "silver", body)
     finally:
         flush_catalog(wh)
-    return sorted(days)
+    return days
 
 
 def silver_to_gold_incremental(wh: Warehouse, days: list[int], as_of=None, vip_over=S.VIP_OVER,
                                premium_over=S.PREMIUM_OVER) -> None:
-    """Gold after an incremental silver run that rewrote ``days`` (yyyymmdd):
-
-    * product_performance: only the touched months are recomputed (silver read
-      pruned to those year/month folders) and their ``period`` folders are
-      replaced with a DYNAMIC overwrite;
-    * daily_sales: only the touched days are recomputed (pruned read) and
-      upserted on ``date`` (staged, since the table is read and replaced);
-    * customer_segments depends on ``as_of`` for every customer
-      (days_since_last), so it is rebuilt in full.
+    """Gold after an incremental silver run that rewrote ``days`` (yyyymmdd, 0 for no date):
+
+    * daily_sales: the touched days are recomputed from a pruned read and take the place of
+      their old rows, also where nothing is left of a day;
+    * product_performance: the touched months are recomputed and their ``period``
+      folders replaced, those without rows removed;
+    * customer_segments depends on ``as_of`` for every customer, so it is rebuilt in full.
     """
     if not days:
         return
     spark = wh.spark
     orders = wh.read("silver", "orders")
-    day_key = _day_key(F.col("year"), F.col("month"), F.col("day"))
     months = sorted({k // 100 for k in days})
-    month_key = F.col("year") * 100 + F.col("month")
-
-    def perf_body():
-        part = orders.filter(month_key.isin(months))
-        out = gold.product_performance(part, wh.read("silver", "products"))
-        write_partitioned(out, wh.path("gold", "product_performance"), ["period"], dynamic=True)
-        return part.count(), wh.read("gold", "product_performance", False).count()
+    touched = orders.filter(incremental.day_key().isin(days))
+    part = orders.filter(F.floor(incremental.day_key() / 100).cast("long").isin(months))
 
     def daily_body():
-        touched = orders.filter(day_key.isin(days))
-        fresh = gold.daily_sales(touched)
         current = wh.read("gold", "daily_sales")
-        merged = upsert(current, fresh.select(*current.columns), ["date"])
-        replace_table(merged, wh.path("gold", "daily_sales"))
-        return touched.filter(F.col("status") == "completed").count(), wh.read("gold", "daily_sales").count()
+        date = F.coalesce(F.date_format("date", "yyyyMMdd").cast("int"), F.lit(0))
+        untouched = current.filter(~date.isin(days))
+        replace_table(untouched.unionByName(gold.daily_sales(touched).select(*current.columns)), wh.path("gold", "daily_sales"))
+        return touched.filter(F.col("status") == "completed").count(), _register(wh, "daily_sales")
+
+    def perf_body():
+        out = gold.product_performance(part, wh.read("silver", "products"))
+        root = wh.path("gold", "product_performance")
+        write_partitioned(out, root, ["period"], dynamic=True)
+        left = {r[0] for r in part.select(incremental.day_key().alias("k")).distinct().collect()}  # a number a day
+        gone = set(months) - {k // 100 for k in left}
+        drop_partitions(spark, root, [{"period": f"{m // 100:04d}-{m % 100:02d}" if m else None} for m in gone])
+        return part.count(), _register(wh, "product_performance", False)
 
     _job(wh, S.RUN_NAMES["daily_sales"] + "_incremental", "gold", daily_body)
     _job(wh, S.RUN_NAMES["product_performance"] + "_incremental", "gold", perf_body)
@@ -177,18 +148,22 @@ def silver_to_gold_incremental(wh: Warehouse, days: list[int], as_of=None, vip_o
     flush_catalog(wh)
 
 
+def _register(wh: Warehouse, table: str, infer: bool = True) -> int:
+    """Count a committed gold table (Parquet footers) and queue its catalog entry."""
+    now = wh.read("gold", table, infer)
+    rows = now.count()
+    register_table(wh, table, "gold", wh.path("gold", table), rows, now.schema.json())
+    return rows
+
+
 def _gold_job(wh: Warehouse, table: str, read_rows: Callable[[], int], build: Callable[[], DataFrame], partition_cols=()):
     def body():
-        out_obs = Observation(f"gold_{table}")
-        df = build().observe(out_obs, F.count(F.lit(1)).alias("rows"))
         location = wh.path("gold", table)
         if partition_cols:
-            write_partitioned(df, location, partition_cols)
+            write_partitioned(build(), location, partition_cols)
         else:
-            write_table(df, location)
-        written = int(out_obs.get["rows"])
-        register_table(wh, table, "gold", location, written, df.schema.json())
-        return read_rows(), written
+            write_table(build(), location)
+        return read_rows(), _register(wh, table, not partition_cols)
 
     return _job(wh, S.RUN_NAMES[table], "gold", body)
 
@@ -212,13 +187,11 @@ def build_models(wh: Warehouse) -> None:
     """SNK7: materialise the three gold models (create or replace)."""
     for name, build in (
         ("revenue_trends", lambda: models.revenue_trends(wh.read("gold", "daily_sales"))),
-        ("top_products", lambda: models.top_products(wh.read("gold", "product_performance", False))),
-        ("customer_ltv", lambda: models.customer_ltv(wh.read("gold", "customer_segments"))),
+        ("top_products", lambda: models.top_products(wh.read("gold", "product_performance", False), stored=True)),
+        ("customer_ltv", lambda: models.customer_ltv(wh.read("gold", "customer_segments"), stored=True)),
     ):
-        obs = Observation(f"model_{name}")
-        df = build().observe(obs, F.count(F.lit(1)).alias("rows"))
-        write_table(df, wh.path("gold", name))
-        register_table(wh, name, "gold", wh.path("gold", name), int(obs.get["rows"]), df.schema.json())
+        write_table(build(), wh.path("gold", name))
+        _register(wh, name, name != "top_products")
 
 
 def land_bronze(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame, bronze_products: DataFrame,
@@ -238,21 +211,24 @@ def land_bronze(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataF
     write_table(bronze_products, wh.path("bronze", f"products/snapshot_{snapshot}.parquet"))
 
 
+def read_orders(wh: Warehouse, keep_landing: bool = False) -> DataFrame:
+    """SRC1: all landed order files, whatever numeric types or missing columns their footers have.
+
+    Orders are read at the table root rather than by a year=*/month=*/day=* leaf glob, which
+    Spark would expand level by level on the driver. The landing-date partition columns are
+    kept under other names (``keep_landing``) so that a filter on them prunes folders; silver derives its own
+    year/month/day from event time.
+    """
+    landing = ["year", "month", "day"] if keep_landing else []
+    landed = read_drifting(wh.spark, wh.path("bronze", "orders"), S.BRONZE_ORDERS, landing)
+    return landed.withColumnsRenamed({c: f"_landed_{c}" for c in landing})
+
+
 def read_bronze(wh: Warehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """SRC1-SRC3: the order files and all snapshots at once, each with an
-    explicit schema (no inference pass over the footers).
-
-    Orders are read at the table root rather than by a year=*/month=*/day=*
-    leaf glob: a glob is expanded level by level on the driver, while a root
-    read lists partition folders with a parallel Spark job (about 10x faster
-    to plan on 2,400 day folders here).  The landing-date partition columns
-    are projected away -- silver derives year/month/day from event time --
-    but a filter on them before the projection would still prune folders."""
-    landed = read_partitioned(wh.spark, wh.path("bronze", "orders"))
-    orders = landed.select(*[F.col(f.name).cast(f.dataType) for f in S.BRONZE_ORDERS.fields])
-    customers = read_snapshots(wh.spark, wh.path("bronze", "customers/*.parquet"), S.BRONZE_CUSTOMERS)
-    products = read_snapshots(wh.spark, wh.path("bronze", "products/*.parquet"), S.BRONZE_PRODUCTS)
-    return orders, customers, products
+    """SRC1-SRC3: the order files and all snapshots at once, cast to the bronze schemas."""
+    customers = read_drifting(wh.spark, wh.path("bronze", "customers"), S.BRONZE_CUSTOMERS)
+    products = read_drifting(wh.spark, wh.path("bronze", "products"), S.BRONZE_PRODUCTS)
+    return read_orders(wh), customers, products
 
 
 def run_all(wh: Warehouse, bronze_orders: DataFrame, bronze_customers: DataFrame, bronze_products: DataFrame,

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
-from ledgerflow.sinks import append, latest_version, upsert, write_version
+from ledgerflow.sinks import append, latest_version, prune_versions, upsert, write_version
 
 
 class Warehouse:
@@ -26,6 +26,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # the pipeline's calendar, see README
         self._seq = 0
         self.pending_catalog: list[tuple] = []
 
@@ -117,4 +118,5 @@ def flush_catalog(wh: Warehouse) -> None:
     )
     # a new immutable version; the previous one stays readable until it commits
     write_version(merged, root, version)
+    prune_versions(wh.spark, root)
     wh.pending_catalog.clear()

@@ -3,11 +3,9 @@
 * revenue_trends: 7-ROW rolling measures and a 30-ROW lag (row offsets, not
   calendar days).  A global window is used on purpose: the input is one row
   per day, so the single task holds a few thousand rows at any fact size.
-* top_products: ranks per period; a size check on the largest period picks
-  a per-period window (small periods) or the distributed RANK (range-sorted
-  on period, value and product id, so no task holds a whole month).
-* customer_ltv: three global quartiles over customer-grain data -- computed
-  with the distributed NTILE, never a single-partition window.
+* top_products: ranks per period from value counts, so no task holds a whole month.
+* customer_ltv: three global quartiles over customer-grain data, told by the few
+  cut rows at which a quartile begins, never by a single-partition window.
 
 The models' trailing ORDER BY has no effect on a materialised table, so it
 is not applied here (it would cost a range-sampling job and a shuffle); the
@@ -19,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.ranking import MAX_WINDOW_GROUP_ROWS, ntile_global, ranks_within
+from ledgerflow.operators.ranking import By, ntile_global, rank_within
+from ledgerflow.session import scratch_path
 
 
 def revenue_trends(daily: DataFrame) -> DataFrame:
@@ -45,29 +44,27 @@ def revenue_trends(daily: DataFrame) -> DataFrame:
     )
 
 
-def top_products(perf: DataFrame, num_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+def _once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a stored table: it is read several times, and its lineage may be long."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def top_products(perf: DataFrame, stored: bool = False) -> DataFrame:
     """G5.  DESC sorts put NULLs first, as the SQL models' database does.
 
-    The ranks are chosen by a size check on the largest period
-    (``ranks_within``): a per-period window while a period holds at most
-    ``max_group_rows`` products, the distributed RANK beyond that (no task
-    holds a whole period, and a hot tie group -- many products with the same
-    units -- is split).  The period revenue total is a per-period aggregate
-    joined back (one row per period) instead of a window over the period."""
+    The ranks and the period's revenue come from aggregates of ``perf`` joined back to it.
+    ``stored``: ``perf`` is a table already; else it is written once, since it is read
+    by each of them.
+    """
+    if not stored:
+        perf = _once(perf, "performance")
     totals = perf.groupBy("period").agg(F.sum("revenue").alias("_period_revenue"))
     totals = totals.select(F.col("period").alias("_t_period"), "_period_revenue")
-    base = perf.join(totals, perf["period"].eqNullSafe(totals["_t_period"]), "left").drop("_t_period")
-    ranked = ranks_within(
-        base,
-        ["period"],
-        [
-            (F.col("revenue").desc_nulls_first(), ["revenue"], "revenue_rank"),
-            (F.col("units_sold").desc_nulls_first(), ["units_sold"], "volume_rank"),
-        ],
-        ["product_id"],
-        MAX_WINDOW_GROUP_ROWS if max_group_rows is None else max_group_rows,
-        num_partitions,
-    )
+    ranked = rank_within(perf, ["period"], By("revenue"), "revenue_rank")
+    ranked = rank_within(ranked, ["period"], By("units_sold"), "volume_rank")
+    ranked = ranked.join(totals, ranked["period"].eqNullSafe(totals["_t_period"]), "left").drop("_t_period")
     period_total = F.nullif(F.col("_period_revenue"), F.lit(0)).cast("decimal(18,2)")
     share = F.round((F.col("revenue") * 100).cast("decimal(20,2)") / period_total, 2)
     return ranked.select(
@@ -78,22 +75,21 @@ def top_products(perf: DataFrame, num_partitions: int | None = None, max_group_r
     )
 
 
-def customer_ltv(segments: DataFrame, best_is_4: bool = False, num_partitions: int | None = None) -> DataFrame:
+def customer_ltv(segments: DataFrame, best_is_4: bool = False, stored: bool = False) -> DataFrame:
     """G6.  Quartiles are taken over DESC order as in the model, so quartile 4
     is the LOWEST spend / fewest orders / oldest order and 'champion' labels
     that group.  ``best_is_4=True`` flips the order so 4 is the best.
-    Ties inside a quartile boundary are broken by customer_id ascending."""
+    Ties inside a quartile boundary are broken by customer_id ascending.
+    ``stored``: ``segments`` is a table already; else the columns in use are written once."""
     base = segments.select("customer_id", "segment", "total_spent", "order_count", "last_order_at", "clv_score")
-
-    def spec(c, nulls_last=False):
-        col = F.col(c)
-        if best_is_4:
-            return col.asc_nulls_first() if not nulls_last else col.asc_nulls_last()
-        return col.desc_nulls_last() if nulls_last else col.desc_nulls_first()
-
-    q = ntile_global(base, 4, [spec("total_spent")], ["customer_id"], "monetary_quartile", num_partitions)
-    q = ntile_global(q, 4, [spec("order_count")], ["customer_id"], "frequency_quartile", num_partitions)
-    q = ntile_global(q, 4, [spec("last_order_at", nulls_last=True)], ["customer_id"], "recency_quartile", num_partitions)
+    q = base if stored else _once(base, "segments")
+    keys = q
+    for c, out, nulls_first in (
+        ("total_spent", "monetary_quartile", True),
+        ("order_count", "frequency_quartile", True),
+        ("last_order_at", "recency_quartile", False),
+    ):
+        q = ntile_global(q, 4, By(c, desc=not best_is_4, nulls_first=nulls_first), "customer_id", out, keys)
     m, f, r = F.col("monetary_quartile"), F.col("frequency_quartile"), F.col("recency_quartile")
     rfm_segment = (
         F.when((m == 4) & (f == 4), "champion")

@@ -1,9 +1,10 @@
 """Named queries over the driver tables: each is ``(spark, sf_dir) -> DataFrame``.
 
-Every query starts from the given parquet tables (through the bronze adapter)
-and runs the full lineage bronze -> silver -> gold -> model -> report lazily,
-so Catalyst sees and optimises the whole plan and the work grows with the
-tables.  Nothing here collects data to the driver.
+The silver, gold and model queries start from the given parquet tables (through the
+bronze adapter) and run their full lineage. The report queries and the table tests read
+the gold tables of a warehouse that the batch pipeline has built from the same
+tables, as the serving layer does. Building a query can run Spark jobs: the pipeline
+behind a warehouse, the staged input of a ranking model, the streams.
 """
 
 from __future__ import annotations
@@ -71,16 +72,6 @@ class Lineage:
     def customer_ltv(self):
         return models.customer_ltv(self.customer_segments())
 
-    def top_products_for(self, period: str | None = None):
-        """top_products restricted to one period (default: the latest).  Every
-        column of the model is computed within a period, so the period filter
-        commutes with it and is applied BEFORE the ranking (what Catalyst does
-        for a window partitioned by period, done by hand because the ranking
-        materialises its input)."""
-        perf = self.product_performance()
-        wanted = F.lit(period) if period else reports.latest_period(perf)
-        return models.top_products(perf.filter(F.col("period") == wanted))
-
 
 def present(df: DataFrame) -> DataFrame:
     """Comparison-friendly output types: exact decimals become doubles (cast
@@ -119,15 +110,6 @@ def _q(fn: Callable[[Lineage], DataFrame]) -> Callable[[SparkSession, str], Data
     return run
 
 
-def _table_tests(L: Lineage) -> DataFrame:
-    trends, top, ltv = L.revenue_trends(), L.top_products(), L.customer_ltv()
-    return (
-        quality.table_tests(trends, "revenue_trends", ["date", "total_revenue", "total_orders"], ["date"])
-        .unionByName(quality.table_tests(top, "top_products", ["product_id", "period", "revenue"]))
-        .unionByName(quality.table_tests(ltv, "customer_ltv", ["customer_id", "rfm_score"], ["customer_id"]))
-    )
-
-
 CORE_QUERIES: dict[str, Callable[[Lineage], DataFrame]] = {
     "clean_orders": lambda L: L.orders(),
     "clean_customers": lambda L: L.customers(),
@@ -141,17 +123,6 @@ CORE_QUERIES: dict[str, Callable[[Lineage], DataFrame]] = {
     "revenue_trends": lambda L: L.revenue_trends(),
     "top_products": lambda L: L.top_products(),
     "customer_ltv": lambda L: L.customer_ltv(),
-    "report_summary": lambda L: reports.summary(L.daily_sales(), L.customer_segments(), AS_OF),
-    "report_daily": lambda L: reports.recent_daily_sales(L.daily_sales(), AS_OF),
-    "report_trends": lambda L: reports.recent_trends(L.revenue_trends()),
-    "report_trends_fallback": lambda L: reports.trends_fallback(L.daily_sales()),
-    "report_top_products": lambda L: reports.top_products_report(L.top_products_for()),
-    "report_top_products_period": lambda L: reports.top_products_report(L.top_products_for(REPORT_PERIOD), REPORT_PERIOD),
-    "report_top_products_fallback": lambda L: reports.top_products_fallback(L.product_performance()),
-    "report_segments": lambda L: reports.segment_summary(L.customer_segments()),
-    "report_customer_ltv": lambda L: reports.customer_ltv_lookup(L.customer_ltv(), LOOKUP_CUSTOMER),
-    "report_category_rollup": lambda L: reports.category_rollup(L.top_products_for()),
-    "table_tests": _table_tests,
     "to_numeric_try": lambda L: _to_numeric(L),
 }
 
@@ -230,26 +201,121 @@ def _report_dq_pass_rate(spark, sf_dir):
     return reports.dq_pass_rate(batch_warehouse(spark, sf_dir).read("meta", "dq_results"))
 
 
+def _gold(spark, sf_dir, name):
+    return batch_warehouse(spark, sf_dir).read("gold", name, name not in ("product_performance", "top_products"))
+
+
+def _table_tests(spark, sf_dir):
+    """DQ6 / DQ7 over the materialised models."""
+    parts = [
+        quality.table_tests(_gold(spark, sf_dir, "revenue_trends"), "revenue_trends", ["date", "total_revenue", "total_orders"], ["date"]),
+        quality.table_tests(_gold(spark, sf_dir, "top_products"), "top_products", ["product_id", "period", "revenue"]),
+        quality.table_tests(_gold(spark, sf_dir, "customer_ltv"), "customer_ltv", ["customer_id", "rfm_score"], ["customer_id"]),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _capped_ltv(spark, sf_dir):
+    """SNK8: the serving-side guard on the CLV score (no NULL, at most 5,000,000)."""
+    from ledgerflow.sinks import cap
+
+    return _gold(spark, sf_dir, "customer_segments").select("customer_id", cap("clv_score", 5_000_000).cast("double").alias("clv_capped"))
+
+
+def _run_outcomes(spark, sf_dir):
+    """MD2: a run log with a job that succeeds and one that fails (a feed without its price column)."""
+    from ledgerflow.plans import jobs
+    from ledgerflow.plans.metadata import Warehouse
+    from ledgerflow.session import scratch_path
+
+    L = Lineage(spark, sf_dir)
+    wh = Warehouse(spark, scratch_path(spark, "outcomes"))
+    jobs._silver_job(wh, "customers", L.bronze_customers(), lambda b: silver.clean_customers(b, AS_OF))
+    try:
+        jobs._silver_job(wh, "products", L.bronze_products().drop("base_price"), silver.clean_products)
+    except Exception:  # the failure is what this query is about: it is logged and raised again
+        pass
+    log = wh.read("meta", "pipeline_runs")
+    return log.select("pipeline_name", "status", "rows_read", "rows_written", F.col("error_msg").isNotNull().alias("has_error"))
+
+
 def _roundtrip_partitioned(spark, sf_dir):
-    """SNK1 + SRC1: the silver orders table written partitioned by
-    year/month/day, re-written for one year with DYNAMIC partition overwrite
-    (other years untouched), then read back by partition discovery."""
+    """SNK1 + SRC1: the silver orders written partitioned by year/month/day, re-written for one
+    year with DYNAMIC partition overwrite (other years untouched), then read back by partition
+    discovery. It works on a copy of its own."""
+    from ledgerflow.session import scratch_path
     from ledgerflow.sinks import write_partitioned
     from ledgerflow.sources.tables import read_partitioned
 
-    wh = batch_warehouse(spark, sf_dir)
-    root = wh.path("silver", "orders")
-    last_year = read_partitioned(spark, root).filter(F.col("year") == 2001)
-    # rewrite that year from a staged copy (a path cannot be read and overwritten in one job)
-    from ledgerflow.session import scratch_path
-
-    staged = scratch_path(spark, "orders-2001")
-    last_year.write.parquet(staged)
-    write_partitioned(spark.read.parquet(staged), root, ["year", "month", "day"], dynamic=True)
+    root = scratch_path(spark, "roundtrip")
+    source = read_partitioned(spark, batch_warehouse(spark, sf_dir).path("silver", "orders"))
+    write_partitioned(source, root, ["year", "month", "day"])
+    write_partitioned(source.filter(F.col("year") == 2001), root, ["year", "month", "day"], dynamic=True)
     back = read_partitioned(spark, root)
     return back.select(*[c for c in back.columns if c != "_ingested_at"])
 
 
+def _land(rows: DataFrame, wh, date: str) -> None:
+    """Append order files in the landing folder of one date."""
+    y, m, d = (int(x) for x in date.split("-"))
+    rows.withColumns({"year": F.lit(y), "month": F.lit(m), "day": F.lit(d)}).write.mode("append").partitionBy(
+        "year", "month", "day"
+    ).parquet(wh.path("bronze", "orders"))
+
+
+def incremental_warehouse(spark, sf_dir):
+    """Silver and gold after a full run on a part of the orders and an incremental run on what landed later.
+
+    The first landing lacks the urgent orders and all of the last month. In their place it
+    has copies that later lose against the real order: some on a day of their own (which ends up empty), some without a
+    readable date. The second landing comes weeks after most of its event days.
+    """
+    from ledgerflow.plans import jobs
+    from ledgerflow.plans.metadata import Warehouse
+    from ledgerflow.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir, "incremental")
+    if key in _WAREHOUSES:
+        return _WAREHOUSES[key]
+    L = Lineage(spark, sf_dir)
+    bronze = L.bronze_orders()
+    late = (F.col("payment_method") == "1-URGENT") | (F.col("created_at") >= "2001-07-01")
+    after = F.col("product_id") + 1_000_000_000  # sorts behind the real order
+    wrong = bronze.where(late).withColumn("product_id", after)
+    empty_day = wrong.where("payment_method <> '1-URGENT'").withColumn("created_at", F.lit("1990-01-01T00:00:00+00:00"))
+    no_date = wrong.where("payment_method = '1-URGENT'").withColumn("created_at", F.lit("soon"))
+    wh = Warehouse(spark, scratch_path(spark, "incremental"))
+    jobs.land_bronze(wh, bronze.where(~late).unionByName(empty_day).unionByName(no_date), L.bronze_customers(), L.bronze_products())
+    jobs.bronze_to_silver(wh, *jobs.read_bronze(wh), AS_OF)
+    jobs.silver_to_gold(wh, AS_OF, D.DRIVER_VIP_OVER, D.DRIVER_PREMIUM_OVER)
+    _land(bronze.where(late), wh, "2001-08-20")
+    days = jobs.bronze_to_silver_incremental(wh, "2001-08-10")
+    jobs.silver_to_gold_incremental(wh, days, AS_OF, D.DRIVER_VIP_OVER, D.DRIVER_PREMIUM_OVER)
+    _WAREHOUSES[key] = wh
+    return wh
+
+
+def _read_drift(spark, sf_dir):
+    """SRC7: order files as different writers land them: money as double, an integer discount of
+    0, decimals, and files without the payment method."""
+    from ledgerflow.plans import jobs
+    from ledgerflow.plans.metadata import Warehouse
+    from ledgerflow.session import scratch_path
+
+    bronze = Lineage(spark, sf_dir).bronze_orders()
+    wh = Warehouse(spark, scratch_path(spark, "drift"))
+    money = {c: F.col(c).cast("double") for c in ("unit_price", "discount", "total_amount")}
+    parts = [
+        bronze.where("created_at < '1997'").withColumns(money),
+        bronze.where("created_at >= '1997' and created_at < '1999' and discount = 0").withColumn("discount", F.lit(0)),
+        bronze.where("created_at >= '1997' and created_at < '1999' and discount <> 0"),
+        bronze.where("created_at >= '1999'").drop("payment_method"),
+    ]
+    for part in parts:
+        _land(part, wh, "2001-08-02")
+    return jobs.read_orders(wh)
+
+
 def _upsert_gold(spark, sf_dir):
     """SNK4: product_performance built from the orders before 2000-12-15 is
     the target (its 2000-12 figures are partial); the full rebuild for the
@@ -266,6 +332,22 @@ def _upsert_gold(spark, sf_dir):
 
 
 WAREHOUSE_QUERIES = {
+    "report_summary": lambda s, d: reports.summary(_gold(s, d, "daily_sales"), _gold(s, d, "customer_segments"), AS_OF),
+    "report_daily": lambda s, d: reports.recent_daily_sales(_gold(s, d, "daily_sales"), AS_OF),
+    "report_trends": lambda s, d: reports.recent_trends(_gold(s, d, "revenue_trends")),
+    "report_trends_fallback": lambda s, d: reports.trends_fallback(_gold(s, d, "daily_sales")),
+    "report_top_products": lambda s, d: reports.top_products_report(_gold(s, d, "top_products")),
+    "report_top_products_period": lambda s, d: reports.top_products_report(_gold(s, d, "top_products"), REPORT_PERIOD),
+    "report_top_products_fallback": lambda s, d: reports.top_products_fallback(_gold(s, d, "product_performance")),
+    "report_segments": lambda s, d: reports.segment_summary(_gold(s, d, "customer_segments")),
+    "report_customer_ltv": lambda s, d: reports.customer_ltv_lookup(_gold(s, d, "customer_ltv"), LOOKUP_CUSTOMER),
+    "report_category_rollup": lambda s, d: reports.category_rollup(_gold(s, d, "top_products")),
+    "report_capped_ltv": _capped_ltv,
+    "report_run_outcomes": _run_outcomes,
+    "table_tests": _table_tests,
+    "incremental_orders": lambda s, d: incremental_warehouse(s, d).read("silver", "orders").drop("_ingested_at"),
+    "incremental_daily_sales": lambda s, d: incremental_warehouse(s, d).read("gold", "daily_sales"),
+    "read_drift": _read_drift,
     "report_runs": _report_runs,
     "report_catalog": _report_catalog,
     "report_dq": _report_dq,
@@ -294,33 +376,30 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def _stream_clean(spark, sf_dir):
-    """ST1: bronze orders land in two arrivals -- everything, then the last
-    month again (late re-delivery) -- and the incremental job runs after each
-    on the same checkpoint.  Order-level columns are compared (which copy of
-    a duplicated order survives depends on arrival order)."""
+    """ST1: bronze orders arrive newest first, in several files and two runs, with a re-delivered
+    month and orders years late; each run takes micro-batches of a few files. Silver equals the batch job's."""
     from ledgerflow.session import scratch_path
     from ledgerflow.streaming import stream_clean_orders
 
     landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "stream-silver", "ckpt-st1"))
     bronze = Lineage(spark, sf_dir).bronze_orders()
-    bronze.write.parquet(f"{landing}/arrival_1")
-    stream_clean_orders(spark, f"{landing}/*", out, ckpt).awaitTermination()
-    bronze.filter(F.col("created_at") >= "2001-07-01").write.parquet(f"{landing}/arrival_2")
-    stream_clean_orders(spark, f"{landing}/*", out, ckpt).awaitTermination()
-    return spark.read.parquet(out).select("order_id", "customer_id", "created_at", "country", "payment_method")
+    bronze.where("created_at >= '1998'").coalesce(2).write.parquet(f"{landing}/arrival_1")
+    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=1).awaitTermination()
+    bronze.where("created_at < '1998' or created_at >= '2001-07'").coalesce(2).write.parquet(f"{landing}/arrival_2")
+    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=2).awaitTermination()
+    return spark.read.parquet(out).drop("_ingested_at")
 
 
 def _stream_daily(spark, sf_dir):
-    """ST2 (exact mode): the pipeline's silver orders streamed; each
-    micro-batch recomputes the days it touched and upserts them into an
-    epoch-versioned gold table -- the result is the full daily_sales."""
+    """ST2: the pipeline's silver orders streamed in several micro-batches; each recomputes the days it
+    touched and exchanges them in an epoch-versioned gold table -- the result is the full daily_sales."""
     from ledgerflow.session import scratch_path
     from ledgerflow.streaming import latest_version, stream_daily_sales
 
     wh = batch_warehouse(spark, sf_dir)
     dst, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "ckpt-st2")
     schema = wh.read("silver", "orders").schema
-    stream_daily_sales(spark, wh.path("silver", "orders"), dst, ckpt, schema, exact=True).awaitTermination()
+    stream_daily_sales(spark, wh.path("silver", "orders"), dst, ckpt, schema, max_files_per_trigger=1500).awaitTermination()
     return spark.read.parquet(latest_version(spark, dst))
 
 

@@ -1,7 +1,11 @@
 from ledgerflow.sinks.writers import (  # noqa: F401
     append,
     cap,
+    drop_partitions,
     latest_version,
+    path_exists,
+    prune_versions,
+    remove_path,
     replace_table,
     upsert,
     write_partitioned,

@@ -75,31 +75,74 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], update_co
 
 
 def replace_table(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path`` itself:
-    the result is first written to a staging table in the shared checkpoint
-    folder (cuts the lineage), then copied over."""
-    staging = scratch_path(df.sparkSession, "staging")
-    df.write.mode("error").parquet(staging)
-    df.sparkSession.read.parquet(staging).write.mode("overwrite").parquet(path)
-
-
-def latest_version(spark, root: str, before: int | None = None, prefix: str = "version=") -> str | None:
-    """Folder of the newest committed version (``<prefix><n>`` with a
-    _SUCCESS marker) under ``root``; with ``before``, the newest strictly older
-    one.  Only a directory listing on the driver."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    """Overwrite ``path`` with ``df`` even when ``df`` reads ``path`` itself.
+
+    The result is first written whole next to the table; then the old folder is
+    exchanged for it by two renames, so a failed job leaves either the old
+    or the new table in place (or, between the renames, both side by side)."""
+    spark = df.sparkSession
+    fresh, old = f"{path.rstrip('/')}__new", f"{path.rstrip('/')}__old"
+    df.write.mode("overwrite").parquet(fresh)
+    fs, target = _hadoop(spark, path)
+    _, new = _hadoop(spark, fresh)
+    _, aside = _hadoop(spark, old)
+    fs.delete(aside, True)
+    if fs.exists(target):
+        fs.rename(target, aside)
+    fs.rename(new, target)
+    fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
+
+
+def _versions(spark, root: str, prefix: str) -> list[int]:
+    """Committed versions (``<prefix><n>`` with a _SUCCESS marker), oldest first; a listing on the driver."""
+    fs, path = _hadoop(spark, root)
     if not fs.exists(path):
-        return None
+        return []
     found = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            n = int(name[len(prefix):])
-            if before is None or n < before:
-                found.append(n)
-    return f"{root.rstrip('/')}/{prefix}{max(found)}" if found else None
+        if st.isDirectory() and name.startswith(prefix) and path_exists(spark, f"{root.rstrip('/')}/{name}/_SUCCESS"):
+            found.append(int(name[len(prefix):]))
+    return sorted(found)
+
+
+def latest_version(spark, root: str, before: int | None = None, prefix: str = "version=") -> str | None:
+    """Folder of the newest committed version under ``root``; with ``before``, the newest strictly older one."""
+    found = [n for n in _versions(spark, root, prefix) if before is None or n < before]
+    return f"{root.rstrip('/')}/{prefix}{found[-1]}" if found else None
+
+
+def _hadoop(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark, path: str) -> bool:
+    fs, p = _hadoop(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark, path: str) -> None:
+    """Delete a table or folder of this pipeline (nothing if it is not there)."""
+    fs, p = _hadoop(spark, path)
+    fs.delete(p, True)
+
+
+def drop_partitions(spark, root: str, partitions: Sequence[dict]) -> None:
+    """Remove partitions that have become empty: a dynamic overwrite only replaces partitions that have rows.
+    Each is {column: value}, None for the partition of NULLs."""
+    for values in partitions:
+        name = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in values.items())
+        remove_path(spark, f"{root.rstrip('/')}/{name}")
+
+
+def prune_versions(spark, root: str, keep: int = 2, prefix: str = "version=") -> None:
+    """Delete all but the newest ``keep`` committed versions (older ones have no readers left)."""
+    found = _versions(spark, root, prefix)
+    for n in found[:-keep]:
+        remove_path(spark, f"{root.rstrip('/')}/{prefix}{n}")
 
 
 def write_version(df: DataFrame, root: str, version: int, prefix: str = "version=") -> None:

@@ -2,9 +2,8 @@
 orders / customers / products feeds the pipeline consumes.
 
 Everything is a lazy DataFrame over the given parquet files, so the work of
-every downstream query grows with the tables.  Only ``nation`` is broadcast
-explicitly: it is a fixed 25-row dimension.  All other joins are left to the
-planner (AQE broadcasts a side only after measuring it at runtime).
+every downstream query grows with the tables.  All joins are left to the
+planner (a side is broadcast only after its size is known).
 """
 
 from __future__ import annotations
@@ -33,8 +32,6 @@ DRIVER_VIP_OVER = 1_000_000
 DRIVER_PREMIUM_OVER = 600_000
 # ---------------------------------------------------------------------------
 
-NATION_ROWS = 25  # TPC-H nation is a fixed-size dimension
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -50,7 +47,7 @@ def _when_map(col, mapping: dict, default=None):
 def _customer_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    return cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey, "left")
+    return cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
 
 
 def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +71,7 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"),
-        (ext / qty.cast("decimal(20,0)")).cast(S.MONEY).alias("unit_price"),
+        F.try_divide(ext, qty.cast("decimal(20,0)")).cast(S.MONEY).alias("unit_price"),
         qty.alias("quantity"),
         disc.alias("discount"),
         F.round(ext * (F.lit(1) - disc), 2).cast(S.MONEY).alias("total_amount"),

@@ -4,7 +4,7 @@
   year/month/day (or period) columns come from the directory names and a
   filter on them prunes directories;
 * an explicit schema avoids schema inference over every footer;
-* ``read_with_drift`` handles files whose footers disagree on a column type
+* ``read_drifting`` handles files whose footers disagree on a column type
   (e.g. integer vs double discount), which ``mergeSchema`` and an enforced
   schema both reject: files are grouped by footer schema, each group is read
   with its own schema and cast to the target, and the groups are unioned.
@@ -49,8 +49,8 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def footer_schemas(spark: SparkSession, root: str) -> DataFrame:
-    """(path, schema_json) per file, read by executors (footers only)."""
+def footer_schemas(files: DataFrame) -> DataFrame:
+    """(path, footer) of each file in ``files`` (column path), read by executors (footers only)."""
     import json
 
     import pandas as pd
@@ -74,32 +74,54 @@ def footer_schemas(spark: SparkSession, root: str) -> DataFrame:
                 out.append(json.dumps([[f.name, str(f.type)] for f in sch if f.name != "__index_level_0__"]))
             yield pd.DataFrame({"path": pdf["path"], "footer": out})
 
-    return list_files(spark, root).select("path").mapInPandas(read_footers, "path string, footer string")
+    return files.select("path").mapInPandas(read_footers, "path string, footer string")
 
 
-def read_with_drift(
-    spark: SparkSession, root: str, target: T.StructType, groups: Sequence[Sequence[str]] | None = None
-) -> DataFrame:
-    """SRC7: read files whose column types drifted, cast to ``target``.
+def _by_footer(files: DataFrame) -> DataFrame:
+    """One row a distinct footer: its files, the most frequent footer first."""
+    return (
+        footer_schemas(files).groupBy("footer").agg(F.count("*").alias("n"), F.collect_list("path").alias("paths"))
+        .orderBy(F.desc("n"), "footer")
+    )
+
+
+def read_files(files: DataFrame, target: T.StructType) -> DataFrame | None:
+    """The rows of some files (column path), each group of equal footers with its own schema, cast to ``target``."""
+    out = None
+    for row in _by_footer(files).toLocalIterator():
+        part = _cast(files.sparkSession.read.parquet(*row.paths), target, ())
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _cast(part: DataFrame, target: T.StructType, extra: Sequence[str]) -> DataFrame:
+    have = set(part.columns)
+    cols = []
+    for f in target.fields:
+        c = F.col(f"`{f.name}`") if f.name in have else F.lit(None)
+        if isinstance(f.dataType, T.DecimalType) and f.name in have and isinstance(part.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+            c = c.cast("string")  # the shortest decimal text of a float is the number that was meant
+        cols.append(c.cast(f.dataType).alias(f.name))
+    return part.select(*cols, *[F.col(c).cast("int").alias(c) for c in extra])
+
+
+def read_drifting(spark: SparkSession, root: str, target: T.StructType, partition_cols: Sequence[str] = ()) -> DataFrame:
+    """SRC1-SRC3, SRC7: all files under ``root``, cast to ``target``, whatever types their footers have.
 
-    ``groups`` (lists of file paths with one footer schema each) may be
-    given; otherwise they are computed by ``footer_schemas`` -- only the
-    distinct (footer, path) listing reaches the driver, never row data.
+    Executors read the footers and group the files by footer; one row a distinct
+    footer comes to the driver. With one footer, the root is read as usual. With several, each
+    group is read with its own schema (a column that a file lacks is NULL) and
+    cast. Partition columns in ``partition_cols`` are kept and can be filtered on.
     """
-    if groups is None:
-        rows = footer_schemas(spark, root).collect()  # one row per FILE (metadata)
-        by_schema: dict[str, list[str]] = {}
-        for r in rows:
-            by_schema.setdefault(r["footer"], []).append(r["path"])
-        groups = list(by_schema.values())
+    groups = _by_footer(list_files(spark, root))
+    first = groups.select("footer").limit(2).collect()
+    if not first:
+        return spark.createDataFrame([], T.StructType([*target.fields, *[T.StructField(c, T.IntegerType()) for c in partition_cols]]))
+    reader = spark.read.option("basePath", root) if partition_cols else spark.read.option("recursiveFileLookup", "true")
+    if len(first) == 1:
+        return _cast(reader.parquet(root), target, partition_cols)
     out = None
-    for paths in groups:
-        part = spark.read.parquet(*paths)
-        part = part.select(
-            *[
-                (F.col(f.name).cast(f.dataType) if f.name in part.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-                for f in target.fields
-            ]
-        )
+    for row in groups.toLocalIterator():
+        part = _cast(reader.parquet(*row.paths), target, partition_cols)
         out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], target)
+    return out

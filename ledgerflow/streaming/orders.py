@@ -1,48 +1,40 @@
 """ST1-ST2: incremental versions of the orders jobs (Structured Streaming).
 
-The source lands a file per batch with up to 24 h of event-time lag and the
-batch jobs reprocess everything on each run.  Here:
-
-* ST1 ``stream_clean_orders``: bronze files -> silver, deduplicating order
-  ids with bounded state: ``withWatermark(created_at, 25 hours)`` +
-  ``dropDuplicatesWithinWatermark``.  A duplicate that arrives after the
-  watermark has passed its event time is not caught (the one difference to
-  the batch job, which dedupes over all history).  The survivor is the first
-  copy to arrive, not the batch job's ordered choice.
-* ST2 ``stream_daily_sales``: completed orders -> per-day count and revenue
-  (exact, held in state) and ``approx_count_distinct`` customers (exact
-  distinct is not supported by streaming aggregation), in UPDATE mode; each
-  micro-batch upserts its changed days into the gold table through
-  ``foreachBatch``, so days still open under the watermark are visible
-  after an ``availableNow`` run.  ``exact=True`` instead recomputes the
-  touched days from the silver table in ``foreachBatch`` (exact distinct
-  customers and top category; reads pruned to the touched day folders).
-
-State size: ST1 keeps one entry per order id seen within the watermark
-(25 h of orders).  On a cluster that is a large state, for which the
-RocksDB provider (``spark.sql.streaming.stateStore.providerClass``) is the
-usual choice; it is a session setting, so it is left to the deployment
-(locally it was not faster on this data).
-
-The gold table of ST2 is versioned by epoch (``epoch=<n>`` folders): a
-micro-batch reads the previous version and writes the next, so a retried
-epoch rewrites the same folder (idempotent) and no path is read and
-overwritten by the same job.
+The source lands a file per batch, with copies and late orders that may arrive at any
+time. Both streams only say what has arrived; the tables are brought up to date
+in ``foreachBatch`` by the same functions as the batch jobs, so nothing is dropped for being late:
+
+* ST1 ``stream_clean_orders``: the micro-batch is merged into silver by order id over all
+  days (``plans.incremental``). After every micro-batch silver equals a full rebuild of what has
+  landed, on every column, in whatever order the files came. There is no watermark, and
+  the state is a table (the kept copy of each order) instead of a state store.
+* ST2 ``stream_daily_sales``: the micro-batch names the days it touched; those days are
+  recomputed from the silver table and take the place of their old rows in the gold table.
+
+The gold table of ST2 is versioned by epoch (``epoch=<n>`` folders): a micro-batch reads the
+previous version and writes the next, so a retried epoch rewrites the same folder and
+no path is read and overwritten by the same job. A retried ST1 batch merges the same rows
+again, which changes nothing.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerflow import schemas as S
-from ledgerflow.functions import parse_ts
-from ledgerflow.operators.silver import finish_orders
+from ledgerflow.operators.gold import daily_sales
+from ledgerflow.plans.incremental import day_key, merge_orders
 from ledgerflow.sinks import latest_version as _latest
-from ledgerflow.sinks import upsert, write_version
+from ledgerflow.sinks import path_exists, prune_versions, write_version
+from ledgerflow.sources.tables import read_files
 
-WATERMARK = "25 hours"  # must exceed the 24 h event-time lag of the source
+#: What Spark's binaryFile source offers; only the path is read here.
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+#: Files of one micro-batch: bounds the work that a failure repeats.
+FILES_PER_BATCH = 10_000
 
 
 def stream_clean_orders(
@@ -50,49 +42,25 @@ def stream_clean_orders(
     src: str,
     dst: str,
     checkpoint: str,
-    schema=S.BRONZE_ORDERS,
-    max_files_per_trigger: int | None = None,
-    watermark: str = WATERMARK,
-    files_per_day: int = 2,
-    hot_key_spread: int = 8,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """ST1: run once over everything available (``availableNow``).
-
-    Before the date-partitioned file sink, rows are hash-partitioned on
-    (year, month, day, salt) with ``files_per_day`` salt values (a hash of
-    order_id): each micro-batch writes at most that many files per day, and
-    a day that dominates a batch is still split over that many tasks.
-    (Without it every task writes a file into every day it touches.)
-
-    Hot duplicate groups: one order id may arrive as a large share of all
-    rows (a group of copies).  A single ``dropDuplicatesWithinWatermark`` on
-    order_id would shuffle all copies to one task, so the dedupe runs in two
-    stages: first on (order_id, input partition id mod ``hot_key_spread``) --
-    the copies spread over that many tasks and shrink to at most that many
-    rows -- then on order_id.  ``hot_key_spread=0`` uses a single stage."""
-    reader = spark.readStream.schema(schema)
+    """ST1: merge everything that has landed under ``src`` since the last run (``availableNow``).
+
+    The stream itself reads only the names of the new files; the batch then reads those
+    files with ``read_files``, which copes with footers of different types. The kept table is
+    ``<dst>_kept``.
+    """
+    reader = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.parquet(src)
-    timed = raw.withColumn("created_at", parse_ts("created_at")).withWatermark("created_at", watermark)
-    if hot_key_spread and hot_key_spread > 1:
-        timed = (
-            timed.withColumn("_spread", F.pmod(F.spark_partition_id(), F.lit(hot_key_spread)))
-            .dropDuplicatesWithinWatermark(["order_id", "_spread"])
-            .drop("_spread")
-        )
-    deduped = timed.dropDuplicatesWithinWatermark(["order_id"])
-    out = finish_orders(deduped)
-    salt = F.pmod(F.xxhash64("order_id"), F.lit(files_per_day))
-    out = out.repartition("year", "month", "day", salt)
-    return (
-        out.writeStream.format("parquet")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("year", "month", "day")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start(dst)
-    )
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        rows = read_files(batch.select("path"), S.BRONZE_ORDERS)
+        if rows is not None:
+            merge_orders(rows, f"{dst.rstrip('/')}_kept", dst)
+
+    names = reader.schema(_BINARY_FILE).load(src).select("path")
+    return names.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
@@ -100,28 +68,18 @@ def latest_version(spark: SparkSession, root: str, before: int | None = None) ->
     return _latest(spark, root, before, prefix="epoch=")
 
 
-def daily_totals(orders: DataFrame, watermark: str = WATERMARK) -> DataFrame:
-    """Streaming per-day aggregate of completed orders."""
-    return (
-        orders.filter(F.col("status") == "completed")
-        .withWatermark("created_at", watermark)
-        .groupBy(F.window("created_at", "1 day"))
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.approx_count_distinct("customer_id").alias("approx_unique_customers"),
-        )
-        .select(F.to_date(F.col("window.start")).alias("date"), "total_orders", "total_revenue", "approx_unique_customers")
-    )
-
-
-def _upsert_version(batch: DataFrame, dst: str, epoch_id: int, keys: list[str]) -> None:
-    session = batch.sparkSession
-    # base = newest epoch BEFORE this one: a retried epoch rebuilds from the
-    # same base and rewrites its own folder, never reading what it overwrites
+def _replace_days(fresh: DataFrame, dst: str, epoch_id: int, days: list[int], open_days: DataFrame) -> None:
+    """The next version: the previous one without ``days`` and without days that silver no longer has, and ``fresh``."""
+    session = fresh.sparkSession
+    # the newest epoch BEFORE this one: a retried epoch never reads what it overwrites
     current = latest_version(session, dst, before=epoch_id)
-    merged = batch if current is None else upsert(session.read.parquet(current), batch, keys)
-    write_version(merged, dst, epoch_id, prefix="epoch=")
+    if current is not None:
+        old = session.read.parquet(current)
+        key = F.coalesce(F.date_format("date", "yyyyMMdd").cast("int"), F.lit(0))
+        old = old.filter(~key.isin(days)).withColumn("k", key).join(open_days, "k", "left_semi").drop("k")
+        fresh = old.unionByName(fresh)
+    write_version(fresh, dst, epoch_id, prefix="epoch=")
+    prune_versions(session, dst, prefix="epoch=")
 
 
 def stream_daily_sales(
@@ -129,50 +87,27 @@ def stream_daily_sales(
     silver_src: str,
     dst: str,
     checkpoint: str,
-    silver_schema,
-    max_files_per_trigger: int | None = None,
-    exact: bool = False,
+    silver_schema: T.StructType,
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """ST2: stream the silver orders table into an upserted gold table.
-
-    ``exact=False``: streaming windowed totals (count and revenue exact,
-    distinct customers approximate), emitted in update mode.
-    ``exact=True``: each micro-batch only names the days it touched; those
-    days are recomputed with the batch ``daily_sales`` from the silver table
-    (a literal filter on year/month/day prunes the read to the touched day
-    folders) and upserted -- exact distinct customers and top category, no
-    streaming state.  The touched-day keys are one integer per calendar day
-    in the batch.
+    """ST2: follow the silver orders table with an up-to-date daily_sales table.
+
+    Each micro-batch names the days whose files are new; they are recomputed with the batch
+    ``daily_sales`` (a literal filter on year/month/day prunes the read to those
+    folders). The day keys are one integer per calendar day in the batch.
     """
     reader = spark.readStream.schema(silver_schema).option("basePath", silver_src)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(silver_src)
-
-    if exact:
-        from ledgerflow.operators.gold import daily_sales
-
-        def day_key(df: DataFrame):
-            return F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
-
-        def recompute(batch: DataFrame, epoch_id: int) -> None:
-            session = batch.sparkSession
-            # the touched days as yyyymmdd keys: one small integer per calendar
-            # day in the batch (a key set, not data).  A literal predicate on
-            # partition columns is pruned statically; a semi-join against a
-            # small unfiltered table does not trigger dynamic pruning.
-            keys = [r[0] for r in batch.select(day_key(batch).alias("k")).dropna().distinct().collect()]
-            if not keys:
-                return
-            silver_now = session.read.option("basePath", silver_src).schema(silver_schema).parquet(silver_src)
-            touched = silver_now.filter(day_key(silver_now).isin(keys))
-            _upsert_version(daily_sales(touched), dst, epoch_id, ["date"])
-
-        stream = src.select("year", "month", "day").writeStream.outputMode("append").foreachBatch(recompute)
-    else:
-        stream = (
-            daily_totals(src)
-            .writeStream.outputMode("update")
-            .foreachBatch(lambda batch, epoch_id: _upsert_version(batch, dst, epoch_id, ["date"]))
-        )
+
+    def recompute(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        days = [r[0] for r in batch.select(day_key().alias("k")).distinct().collect()]
+        if not days or not path_exists(session, silver_src):
+            return
+        silver_now = session.read.option("basePath", silver_src).schema(silver_schema).parquet(silver_src)
+        open_days = silver_now.select(day_key().alias("k")).distinct()
+        _replace_days(daily_sales(silver_now.filter(day_key().isin(days))), dst, epoch_id, days, open_days)
+
+    stream = reader.parquet(silver_src).select("year", "month", "day").writeStream.outputMode("append").foreachBatch(recompute)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

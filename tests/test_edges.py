@@ -196,13 +196,13 @@ def test_e22_catalog_upsert_keeps_location(spark):
 
 def test_e23_type_drift_read(spark):
     from ledgerflow.session import scratch_path
-    from ledgerflow.sources.tables import read_with_drift
+    from ledgerflow.sources.tables import read_drifting
 
     root = scratch_path(spark, "drift")
     spark.createDataFrame([(1, 0)], "id long, discount long").write.parquet(f"{root}/a")
     spark.createDataFrame([(2, 0.05)], "id long, discount double").write.parquet(f"{root}/b")
     target = T.StructType([T.StructField("id", T.LongType()), T.StructField("discount", T.DoubleType())])
-    got = sorted(tuple(r) for r in read_with_drift(spark, root, target).collect())
+    got = sorted(tuple(r) for r in read_drifting(spark, root, target).collect())
     assert got == [(1, 0.0), (2, 0.05)]
 
 

@@ -4,7 +4,9 @@ result equals a full rebuild."""
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from ledgerflow.plans import jobs, registry
+from fixtures import order, orders_df
+from ledgerflow.operators import silver
+from ledgerflow.plans import incremental, jobs, registry
 from ledgerflow.plans.metadata import Warehouse
 from ledgerflow.session import scratch_path
 
@@ -72,14 +74,77 @@ def test_incremental_gold_equals_full_rebuild(spark):
     assert _rows(perf) == _rows(L.product_performance())
 
 
-def test_incremental_reads_only_touched_landing_folders(spark):
-    L = registry.Lineage(spark, SF_SMALL)
-    wh = Warehouse(spark, scratch_path(spark, "incr-prune-wh"))
-    jobs.land_bronze(wh, L.bronze_orders(), L.bronze_customers(), L.bronze_products())
-    days, rows = jobs.touched_bronze(wh, "2001-07-20")
-    assert days and min(days) >= 20010720
-    rows.count()
-    plan = rows._jdf.queryExecution().executedPlan().toString()
-    scan = [ln for ln in plan.splitlines() if "FileScan" in ln][0]
-    part_filters = scan.split("PartitionFilters:")[1].split("PushedFilters")[0]
-    assert " INSET " in part_filters or " IN (" in part_filters  # landing folders pruned by day key
+def _land(wh, rows, date):
+    registry._land(rows, wh, date)
+
+
+def _silver_after(spark, first, second, since="2024-03-01"):
+    """(incremental silver, full rebuild, rewritten days) for orders landed in two steps."""
+    wh = Warehouse(spark, scratch_path(spark, "incr-edge"))
+    _land(wh, orders_df(spark, first), "2024-01-31")
+    jobs._silver_job(wh, "orders", jobs.read_orders(wh), silver.clean_orders, ("year", "month", "day"))
+    _land(wh, orders_df(spark, second), "2024-03-02")
+    days = jobs.bronze_to_silver_incremental(wh, since)
+    cols = [c for c in wh.read("silver", "orders").columns if c != "_ingested_at"]
+    full = silver.clean_orders(jobs.read_orders(wh), ingested_at=False).select(*cols)
+    return wh, _rows(wh.read("silver", "orders").select(*cols)), _rows(full), days
+
+
+def test_orders_that_land_weeks_late_stay(spark):
+    first = [order("a", created_at="2024-01-10T10:00:00+00:00"), order("late", created_at="2024-01-05T10:00:00+00:00")]
+    second = [order("z", created_at="2024-01-10T11:00:00+00:00"), order("c", created_at="2024-01-05T12:00:00+00:00")]
+    wh, got, full, days = _silver_after(spark, first, second)
+    assert got == full and len(got) == 4 and days == [20240105, 20240110]
+    # the same files again change nothing
+    assert jobs.bronze_to_silver_incremental(wh, "2024-03-01") == []
+
+
+def test_unreadable_dates_and_emptied_days(spark):
+    first = [order("k", created_at="2024-01-10T10:00:00+00:00"), order("e", product_id=9, created_at="2024-01-11T10:00:00+00:00")]
+    # "e" gets a copy that sorts first and is invalid: its day is empty afterwards; "n" has no date
+    second = [order("e", product_id=1, quantity=0, created_at="2024-01-11T10:00:00+00:00"), order("n", created_at="some day")]
+    wh, got, full, days = _silver_after(spark, first, second)
+    assert got == full and sorted(r[0] for r in got) == ["k", "n"] and days == [0, 20240111]
+
+
+def test_a_copy_that_moves_an_order_to_another_day(spark):
+    first = [order("m", product_id=9, created_at="2024-01-10T10:00:00+00:00"), order("o", created_at="2024-01-10T10:00:00+00:00")]
+    second = [order("m", product_id=1, created_at="2024-02-01T10:00:00+00:00")]
+    wh, got, full, days = _silver_after(spark, first, second)
+    assert got == full and days == [20240110, 20240201]
+
+
+def test_only_invalid_orders_is_a_successful_run(spark):
+    wh = Warehouse(spark, scratch_path(spark, "all-invalid"))
+    bad = orders_df(spark, [order("a", quantity=0), order("b", quantity=-1)])
+    jobs._silver_job(wh, "orders", bad, silver.clean_orders)
+    run = wh.read("meta", "pipeline_runs").collect()
+    assert [(r.status, r.rows_read, r.rows_written) for r in run] == [("success", 2, 0)]
+    assert wh.read("meta", "dq_results").count() == 5
+
+
+def test_a_failed_merge_is_repeated_without_loss(spark, monkeypatch):
+    first = [order("a", product_id=9, created_at="2024-01-10T10:00:00+00:00")]
+    second = [order("a", product_id=1, created_at="2024-01-12T10:00:00+00:00")]
+    wh = Warehouse(spark, scratch_path(spark, "incr-retry"))
+    _land(wh, orders_df(spark, first), "2024-01-31")
+    jobs._silver_job(wh, "orders", jobs.read_orders(wh), silver.clean_orders, ("year", "month", "day"))
+    _land(wh, orders_df(spark, second), "2024-03-02")
+    whole = incremental._replace_days
+    calls = []
+
+    def fail_second(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        whole(*args)
+
+    monkeypatch.setattr(incremental, "_replace_days", fail_second)
+    try:
+        jobs.bronze_to_silver_incremental(wh, "2024-03-01")
+    except RuntimeError:
+        pass
+    monkeypatch.setattr(incremental, "_replace_days", whole)
+    jobs.bronze_to_silver_incremental(wh, "2024-03-01")
+    got = wh.read("silver", "orders").collect()
+    assert [(r.order_id, r.product_id, r.day) for r in got] == [("a", 1, 12)]

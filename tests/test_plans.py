@@ -1,5 +1,6 @@
 """Plan-shape and invariant checks (scale properties, not just values)."""
 
+import datetime as dt
 import random
 from decimal import Decimal
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerflow.operators import quality
-from ledgerflow.operators.ranking import ntile_global
+from ledgerflow.operators.ranking import By, ntile_global, rank_within
 from ledgerflow.plans import registry
 
 
@@ -27,14 +28,11 @@ def test_dedupe_trims_hot_keys_before_shuffle(spark):
 def test_ltv_has_no_single_partition_over_customers(spark):
     L = registry.Lineage(spark, SF_SMALL)
     plan = _final_plan(L.customer_ltv())
-    # the only SinglePartition exchanges feed the per-partition offset tables,
-    # whose input is one row per partition id
-    for line in plan.splitlines():
+    lines = plan.splitlines()
+    # a single partition only ever holds the counts of the slices, or a subquery's one row of cuts
+    for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
-            idx = plan.splitlines().index(line)
-            below = "\n".join(plan.splitlines()[idx:idx + 3])
-            assert "_pid" in below, below
-    assert "ntile-recency_quartile" in plan  # reads the materialised, range-sorted table
+            assert "HashAggregate" in "\n".join(lines[i : i + 4]) or "ObjectHashAggregate" in "\n".join(lines[i : i + 4])
 
 
 def test_ntile_matches_builtin_with_ties(spark):
@@ -42,9 +40,8 @@ def test_ntile_matches_builtin_with_ties(spark):
     rows = [(i, rnd.choice([1, 2, 2, 3, 3, 3, None])) for i in range(997)]
     df = spark.createDataFrame(rows, "id long, v long").repartition(5)
     ref = df.withColumn("q", F.ntile(4).over(Window.orderBy(F.col("v").desc_nulls_first(), F.col("id"))))
-    for parts in (6, None):  # explicit count, and AQE-coalesced range partitions
-        ours = ntile_global(df, 4, [F.col("v").desc_nulls_first()], ["id"], "q", num_partitions=parts)
-        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    ours = ntile_global(df, 4, By("v"), "id", "q")
+    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
 
 
 def test_dq_is_one_pass(spark):
@@ -79,45 +76,28 @@ def test_invariants(spark):
 
 
 def test_rank_within_matches_builtin_rank(spark):
-    from ledgerflow.operators.ranking import rank_within
-
     rnd = random.Random(11)
-    # a tie group much larger than one partition, NULL keys and NULL values
-    rows = [(i, rnd.choice(["a", "b", None]), rnd.choice([5] * 30 + [1, 2, None])) for i in range(2000)]
-    df = spark.createDataFrame(rows, "id long, p string, v long").repartition(5)
-    for pcols in (["p"], []):
-        ours = rank_within(df, pcols, [F.col("v").desc_nulls_first()], ["v"], ["id"], "r", num_partitions=7)
-        w = Window.partitionBy(*pcols).orderBy(F.col("v").desc_nulls_first()) if pcols else Window.orderBy(F.col("v").desc_nulls_first())
-        ref = df.withColumn("r", F.rank().over(w))
-        assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
-
-
-def test_rank_within_keeps_timestamps_exact_across_dst(spark):
-    import datetime as dt
-
-    from ledgerflow.operators.ranking import rank_within
-
-    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-    try:
-        # 08:30 and 09:30 UTC on 2024-11-03 are both 01:30 local (the repeated hour)
-        df = spark.createDataFrame([(1, 5), (2, 5)], "id long, v long").withColumn(
-            "ts", F.when(F.col("id") == 1, F.timestamp_micros(F.lit(1730622600000000))).otherwise(F.timestamp_micros(F.lit(1730626200000000)))
-        )
-        out = rank_within(df, [], [F.col("v").desc()], ["v"], ["id"], "r", num_partitions=2)
-        got = sorted((r.id, r.micros) for r in out.select("id", F.unix_micros("ts").alias("micros")).collect())
-    finally:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert got == [(1, 1730622600000000), (2, 1730626200000000)]
-    assert dt.datetime(2024, 11, 3).year == 2024
-
-
-def test_top_products_window_and_distributed_paths_agree(spark):
-    from ledgerflow.plans import models
-
-    perf = registry.Lineage(spark, SF_SMALL).product_performance()
-    small = sorted(map(tuple, models.top_products(perf).collect()))
-    forced = sorted(map(tuple, models.top_products(perf, max_group_rows=0).collect()))
-    assert small == forced
+    # a large tie group, NULL groups and NULL values, numbers of every size, days, and a hot slice
+    rows = [
+        (i, rnd.choice(["a", "b", None]), rnd.choice([5] * 30 + [1, 2, None, -7]), rnd.uniform(-1e6, 1e6), dt.datetime(2024, 1, rnd.randint(1, 28), i % 24))
+        for i in range(1500)
+    ]
+    df = spark.createDataFrame(rows, "id long, p string, v long, x double, t timestamp").repartition(5)
+    df = df.withColumn("m", F.col("x").cast("decimal(14,2)"))
+    for column in ("v", "x", "t", "m"):
+        for pcols in (["p"], []):
+            for desc in (True, False):
+                order = F.col(column).desc_nulls_first() if desc else F.col(column).asc_nulls_last()
+                ours = rank_within(df, pcols, By(column, desc, desc), "r")
+                ref = df.withColumn("r", F.rank().over(Window.partitionBy(*pcols).orderBy(order)))
+                assert sorted(map(str, ours.collect())) == sorted(map(str, ref.collect()))
+
+
+def test_reports_read_gold_tables_with_pushed_filters(spark):
+    qs = registry.all_queries()
+    for name, wanted in (("report_customer_ltv", "EqualTo(customer_id,7)"), ("report_daily", "GreaterThanOrEqual(date"), ("report_top_products_period", "period")):
+        plan = qs[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert wanted in plan and "lineitem" not in plan and "/gold/" in plan, name
 
 
 def test_approx_distinct_is_opt_in_and_close(spark):
