@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow import schemas as S
@@ -19,29 +19,24 @@ Checks = Mapping[str, Column]
 
 # --- DQ3-DQ5: the three silver check sets (name -> predicate that must hold) ---
 def orders_checks() -> dict[str, Column]:
-    return {
-        "no_null_order_id": F.col("order_id").isNotNull(),
-        "positive_amount": F.col("total_amount") > 0,
-        "valid_status": F.col("status").isin(S.ORDER_STATUSES),
-        "valid_quantity": F.col("quantity").between(1, 100),
-        "non_negative_discount": F.col("discount").between(0, 1),
-    }
+    rules = [
+        F.col("order_id").isNotNull(),
+        F.col("total_amount") > 0,
+        F.col("status").isin(S.ORDER_STATUSES),
+        F.col("quantity").between(*S.QUANTITY_BOUNDS),
+        F.col("discount").between(*S.DISCOUNT_BOUNDS),
+    ]
+    return dict(zip(S.ORDER_CHECKS, rules, strict=True))
 
 
 def customers_checks() -> dict[str, Column]:
-    return {
-        "no_null_customer_id": F.col("customer_id").isNotNull(),
-        "valid_email": F.col("email").contains("@"),
-        "valid_segment": F.col("segment").isin(S.CUSTOMER_SEGMENTS),
-    }
+    rules = [F.col("customer_id").isNotNull(), F.col("email").contains(S.EMAIL_MARK), F.col("segment").isin(S.CUSTOMER_SEGMENTS)]
+    return dict(zip(S.CUSTOMER_CHECKS, rules, strict=True))
 
 
 def products_checks() -> dict[str, Column]:
-    return {
-        "no_null_product_id": F.col("product_id").isNotNull(),
-        "positive_price": F.col("base_price") > 0,
-        "valid_rating": F.col("rating").between(0, 5),
-    }
+    rules = [F.col("product_id").isNotNull(), F.col("base_price") > 0, F.col("rating").between(*S.RATING_BOUNDS)]
+    return dict(zip(S.PRODUCT_CHECKS, rules, strict=True))
 
 
 CHECK_SETS: dict[str, Callable[[], dict[str, Column]]] = {
@@ -83,27 +78,6 @@ def run_checks(df: DataFrame, table_name: str, layer: str, checks: Checks) -> Da
     )
 
 
-def observe_checks(df: DataFrame, checks: Checks, name: str = "dq") -> tuple[DataFrame, Observation]:
-    """Attach the check counts to a DataFrame as observed metrics, so they are
-    collected by whatever action writes it (no extra pass over the data)."""
-    obs = Observation(name)
-    return df.observe(obs, *_failure_counts(checks)), obs
-
-
-def rows_from_metrics(
-    spark: SparkSession, metrics: Mapping[str, int], table_name: str, layer: str, checks: Checks
-) -> DataFrame:
-    """DQ rows from observed metrics (a handful of numbers, not data)."""
-    tested = int(metrics["rows_tested"])
-    data = [(table_name, layer, n, tested, int(metrics[f"_f{i}"])) for i, n in enumerate(checks)]
-    df = spark.createDataFrame(data, "table_name string, layer string, check_name string, rows_tested long, rows_failed long")
-    return df.select(
-        "table_name", "layer", "check_name",
-        dq_status(F.col("rows_failed"), F.col("rows_tested")).alias("status"),
-        "rows_tested", "rows_failed",
-    )
-
-
 # --- DQ6 / DQ7: declarative table tests ---
 def table_tests(df: DataFrame, model: str, not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
     """One row per (column, test): failures = NULL rows (not_null) or keys that

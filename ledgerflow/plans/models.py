@@ -30,9 +30,9 @@ def revenue_trends(daily: DataFrame) -> DataFrame:
         "date", "total_orders", "total_revenue", "avg_order", "unique_customers", "top_category",
         F.round(F.sum(rev).over(last7) / F.count(rev).over(last7).cast("decimal(20,0)"), 2).alias("revenue_7d_avg"),
         F.round(F.sum(rev).over(last7), 2).alias("revenue_7d_sum"),
-        F.lag(rev, 30).over(by_date).alias("revenue_30d_ago"),
+        F.lag(rev, 30).over(by_date).alias("earlier"),
     )
-    ago = F.col("revenue_30d_ago")
+    ago = F.col("earlier")
     # narrow operands keep 18 fractional digits in the quotient: one exact rounding
     growth = F.when(
         ago > 0,
