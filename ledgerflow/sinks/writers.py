@@ -17,7 +17,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.session import scratch_path
 
 
 def write_partitioned(

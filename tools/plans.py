@@ -18,7 +18,7 @@ sys.path.insert(0, ROOT)
 KEYS = ["clean_orders", "daily_sales", "customer_segments", "customer_ltv", "top_products", "report_top_products"]
 NOTES = {
     "clean_orders": "dedupe: WindowGroupLimit Partial before the order_id exchange, Final after it; "
-    "nation broadcast by hint, other joins chosen by AQE at runtime.",
+    "joins chosen by AQE at runtime.",
     "daily_sales": "both aggregations reuse the order_id dedupe exchange (ReusedExchange); distinct customers "
     "are shuffled by (date, customer_id) before the per-day count; top category is a WindowGroupLimit per day.",
     "customer_segments": "partial/final hash aggregate per customer; the customer snapshot is the preserved side "
