@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.llm import kernels as K
 from ledgerflow.llm.common import filter_rows, pick, ship
@@ -85,7 +86,7 @@ def text_features(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def meta_features(source: str | None, lang: str | None, n_chars: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Hashed categories of the metadata: source, language, length class and source with language."""
-    size = "" if n_chars is None or n_chars < 0 else str(int(n_chars).bit_length())
+    size = str(n_chars.bit_length()) if isinstance(n_chars, int) and n_chars >= 0 else ""
     names = (f"s={source}", f"l={lang}", f"n={size}", f"sl={source}|{lang}")
     at = np.array(sorted({crc32(x.encode()) >> (32 - META_BITS) for x in names}), np.int64)
     return at, np.full(len(at), 0.5)
@@ -187,13 +188,14 @@ def co_train(text: Sparse, meta: Sparse, label: np.ndarray, fold: np.ndarray, ro
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, text and the metadata columns (null where the input has none)."""
-    have = {c.lower() for c in docs.columns}
+    """doc_id, text and the metadata columns (null where the input has none, or a length that is no whole number)."""
+    kinds = {f.name.lower(): f.dataType for f in docs.schema.fields}
+    usable = {c for c in META if c in kinds and (c != "n_chars" or isinstance(kinds[c], T.IntegralType))}
     cols = {"doc_id": (id_col, "long"), "text": (text_col, "string")}
-    cols |= {c: (c, "long" if c == "n_chars" else "string") for c in META if c in have}
+    cols |= {c: (c, "long" if c == "n_chars" else "string") for c in META if c in usable}
     out = pick(docs, **cols)
     for c in META:
-        if c not in have:
+        if c not in usable:
             out = out.withColumn(c, F.lit(None).cast("long" if c == "n_chars" else "string"))
     return out.select("doc_id", "text", *META)
 
