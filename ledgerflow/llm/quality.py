@@ -14,6 +14,7 @@ rows and whole texts in one scan.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 from zlib import crc32
@@ -228,19 +229,33 @@ def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             )
 
 
-def _unpack(cells: pa.ChunkedArray) -> Sparse:
+def _unpack(cells: list[pa.Array]) -> Sparse:
     """The packed rows as one matrix, without a Python object for each number."""
-    cells = cells.combine_chunks() if len(cells) else pa.array([], pa.binary())
-    size = np.array([len(c.as_buffer()) // 8 for c in cells], np.int64)
+    flat = [c for part in cells for c in part]
+    size = np.array([len(c.as_buffer()) // 8 for c in flat], np.int64)
     ends = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
     cols, vals = np.empty(ends[-1], np.int32), np.empty(ends[-1], np.float32)
-    for c, a, b in zip(cells, ends[:-1], ends[1:], strict=True):
+    for c, a, b in zip(flat, ends[:-1], ends[1:], strict=True):
         raw = np.frombuffer(c.as_buffer(), np.uint8)
         cols[a:b] = raw[: 4 * (b - a)].view("<i4")
         vals[a:b] = raw[4 * (b - a) :].view("<f4")
     return Sparse(ends, cols, vals)
 
 
+def _co_train_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One task over the whole (bounded) sample: the fitted model as one pickled row."""
+    kept = list(batches)
+    if not kept:
+        return
+    label, fold = (np.concatenate([b.column(c).to_numpy(zero_copy_only=False) for b in kept]) for c in ("label", "fold"))
+    # by content, so that the fit does not depend on the order in which the rows arrive
+    key = [(c.as_py(), a, b) for k in kept for c, a, b in zip(k.column("text"), k.column("label").to_pylist(), k.column("fold").to_pylist(), strict=True)]
+    order = np.array(sorted(range(len(key)), key=key.__getitem__))
+    text, meta = (_unpack([b.column(c) for b in kept]).rows(order) for c in ("text", "meta"))
+    model = co_train(text, meta, label[order], fold[order])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> QualityModel | None:
     """Co-train on the labelled documents and a pool of unlabelled ones; None without both classes.
 
@@ -264,9 +279,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # an unlabelled row whose id is labelled beyond the sample is as good for the pool as any other
     sample = sample.withColumn("label", F.coalesce("label", F.lit(-1))).withColumn("fold", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)).cast("int"))
     sample = sample.withColumn("fold", F.coalesce("fold", F.lit(1))).limit(2 * (MAX_LABELLED + POOL))
-    got = sample.select("label", "fold", "text", *META).mapInArrow(_sample_features, "label int, fold int, text binary, meta binary").toArrow()
-    label, fold = got.column("label").to_numpy(), got.column("fold").to_numpy()
-    return co_train(_unpack(got.column("text")), _unpack(got.column("meta")), label, fold)
+    features = sample.select("label", "fold", "text", *META).mapInArrow(_sample_features, "label int, fold int, text binary, meta binary")
+    fitted = features.repartition(1).mapInArrow(_co_train_sample, "model binary").collect()
+    return pickle.loads(fitted[0].model) if fitted else None
 
 
 def score(docs: DataFrame, model: QualityModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
