@@ -150,7 +150,7 @@ def _ltv_input(spark, rows):
 
 def test_e17_quartile_sizes(spark):
     rows = [(i, "regular", Decimal(100 * i), i, dt.datetime(2024, 1, i), Decimal(1)) for i in range(1, 7)]
-    ltv = models.customer_ltv(_ltv_input(spark, rows), num_partitions=3)
+    ltv = models.customer_ltv(_ltv_input(spark, rows))
     sizes = sorted(ltv.groupBy("monetary_quartile").count().collect())
     assert [r["count"] for r in sizes] == [2, 2, 1, 1]
     # DESC order: the largest spender is in quartile 1
