@@ -7,7 +7,7 @@ multinomial naive Bayes over hashed words scores them.
 
 The word frequencies come from the visible text of all pages, the class counts from all
 URLs that name a seed word (block) or none (allow). Both are Spark aggregates; what is broadcast is
-the ``LEXICON`` most frequent words and two numbers for each of ``2**BITS`` word buckets,
+at most ``LEXICON`` words, the most frequent ones, and two numbers for each of ``2**BITS`` word buckets,
 whatever the number of pages.
 """
 
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerflow.llm.common import pick, ship
+from ledgerflow.llm.common import materialize, pick, ship
 
 #: Words a host can be split into: the most frequent of the pages' text (the bound on what is broadcast).
 LEXICON = 50_000
@@ -159,11 +159,24 @@ class UrlModel:
 
 
 def word_counts(texts: DataFrame, col: str, most: int = LEXICON) -> dict[str, int]:
-    """The most frequent words (a-z) of the visible text of all pages."""
+    """The most frequent words (a-z) of the visible text of all pages, at most ``most``.
+
+    Words are taken by classes of frequency (eighths of a power of two), the highest first, as long
+    as whole classes fit. So the driver gets one count a class and the words it keeps, and
+    no task sends candidates of its own.
+    """
     visible = F.regexp_replace(F.lower(col), r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ")
     words = texts.select(F.explode(F.split(visible, "[^a-z]+")).alias("word"))
     counts = words.where(f"length(word) between 2 and {LONGEST_WORD}").groupBy("word").agg(F.count("*").alias("n"))
-    return {r.word: r.n for r in counts.orderBy(F.desc("n"), "word").limit(most).collect()}
+    counts = materialize(counts.withColumn("class", F.floor(F.log2("n") * 8)), "words")
+    taken, lowest = 0, None
+    for r in sorted(counts.groupBy("class").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["class"]):
+        taken += r.words
+        if taken > most:
+            break
+        lowest = r["class"]
+    kept = counts.limit(0) if lowest is None else counts.where(F.col("class") >= lowest)
+    return {r.word: r.n for r in kept.collect()}
 
 
 def train(pages: DataFrame, url_col: str = "url", text_col: str = "html", seeds: tuple[str, ...] | list[str] = tuple(SEED_WORDS)) -> UrlModel:
