@@ -1,13 +1,11 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
-Seeds are word ``SEED``-grams of the test items (letters and digits only, A-Z
-lower-cased). A first scan of the corpus counts in how many documents each seed occurs. Each
-item then keeps its rare seeds: those no more frequent than a few times its own
-rarer quarter, so an item that has leaked into very many documents keeps
-its seeds, and word runs that are common anyway drop out. A second scan joins the documents
-to the items on the rare seeds and aligns the passage around each match with
-the whole item; the local alignment score, as a share of the item's best possible
-score, finds exact, edited and paraphrased copies.
+Seeds are all word ``SEED``-grams of the test items (letters and digits only, A-Z
+lower-cased), however many documents have them. One scan joins the documents to the items on the
+seeds and aligns the passage around each match with the whole item; the local alignment score, as
+a share of the item's best possible score, finds exact, edited and paraphrased copies.
+Before it is aligned, a passage is left out only if its words alone show that it cannot
+reach the threshold (an upper bound of the score), so common word runs cost little and lose nothing.
 
 The item index is broadcast in blocks of at most ``BLOCK_BYTES`` of item text; a larger
 benchmark takes more scans, not more memory. Texts are never shuffled.
@@ -30,10 +28,10 @@ SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
 #: Share of the item's best score from which a document counts as contaminated.
 THRESHOLD = 0.5
-#: A seed is rare up to this many documents, or this many times the item's rarer quarter.
-RARE_DOCS, RARE_TIMES = 4, 4
 #: Item text in one broadcast.
 BLOCK_BYTES = 8 << 20
+#: Seed matches, and words of passages, that are looked at together (a larger single one is taken whole).
+POSTINGS, CELLS = 1 << 20, 1 << 18
 
 SCHEMA = "doc_id long, item_id long, score double, first_word long, n_words long, exact boolean"
 
@@ -52,10 +50,13 @@ class Index:
     def __post_init__(self) -> None:
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[self.seeds & np.uint64((1 << 20) - 1)] = True
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        #: Seed number and item of each posting, in rising order.
+        self.key = np.repeat(np.arange(len(self.seeds)), np.diff(self.begin)) * len(self.ids) + self.item
 
     @staticmethod
-    def build(items: list[tuple[int, np.ndarray]], keep: set[tuple[int, int]] | None = None) -> Index:
-        """Of (item id, words); keep: the (item position, seed hash) pairs in use, else all."""
+    def build(items: list[tuple[int, np.ndarray]]) -> Index:
+        """Of (item id, words)."""
         hashes, item, offset = [], [], []
         for i, (_, words) in enumerate(items):
             h = K.window_hashes(words, SEED)
@@ -64,9 +65,6 @@ class Index:
             offset.append(np.arange(len(h)))
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         at, off = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (item, offset))
-        if keep is not None:
-            use = np.array([(i, s) in keep for i, s in zip(at.tolist(), h.tolist(), strict=True)], bool)
-            h, at, off = h[use], at[use], off[use]
         order = np.argsort(h, kind="stable")
         seeds, begin = np.unique(h[order], return_index=True)
         return Index([i for i, _ in items], [w for _, w in items], seeds, np.append(begin, len(h)), at[order], off[order])
@@ -110,34 +108,73 @@ def align(item: np.ndarray, windows: np.ndarray, valid: np.ndarray) -> tuple[np.
     return best, end_i, end_j
 
 
-def _candidates(index: Index, row: np.ndarray, at: np.ndarray, seed: np.ndarray, bounds: np.ndarray) -> set[tuple[int, int, int, int]]:
-    """(row, item, window from, window to) around the matches of each row with each item."""
-    n = index.begin[seed + 1] - index.begin[seed]
-    post = np.repeat(index.begin[seed] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-    rows, pos, item, off = np.repeat(row, n), np.repeat(at, n), index.item[post], index.offset[post]
-    diagonal = pos - off
-    order = np.lexsort((diagonal, item, rows))
-    out = set()
-    last: tuple | None = None
-    for r, i, d in zip(rows[order].tolist(), item[order].tolist(), diagonal[order].tolist(), strict=True):
-        size = len(index.words[i])
-        slack = size // 2 + 4
-        if last and last[:2] == (r, i) and d - last[3] <= slack:
-            last = (r, i, last[2], d)
-            continue
-        if last:
-            out.add(_window(index, last, bounds))
-        last = (r, i, d, d)
-    if last:
-        out.add(_window(index, last, bounds))
-    return out
-
-
-def _window(index: Index, found: tuple[int, int, int, int], bounds: np.ndarray) -> tuple[int, int, int, int]:
-    r, i, low, high = found
-    size = len(index.words[i])
-    slack = size // 2 + 4
-    return r, i, max(int(bounds[r]), low - slack), min(int(bounds[r + 1]), high + size + slack)
+def _candidates(
+    index: Index, row: np.ndarray, at: np.ndarray, seed: np.ndarray, bounds: np.ndarray, some: tuple[int, int] | None = None
+) -> Iterator[np.ndarray]:
+    """Rows of (row, item, window from, window to) around the matches of each row with each item (of ``some`` positions).
+
+    In pieces of at most ``POSTINGS`` matches, unless one row has more with one item.
+    """
+    lo, hi = some or (0, len(index.ids))
+    begin = np.searchsorted(index.key, seed * len(index.ids) + lo)
+    n = np.searchsorted(index.key, seed * len(index.ids) + hi) - begin
+    use = n > 0
+    row, at, seed, begin, n = row[use], at[use], seed[use], begin[use], n[use]
+    if not len(row):
+        return
+    if n.sum() > POSTINGS and row[0] != row[-1]:
+        cut = np.searchsorted(row, row[len(row) // 2]) or np.searchsorted(row, row[0], side="right")
+        for part in (slice(cut), slice(cut, None)):
+            yield from _candidates(index, row[part], at[part], seed[part], bounds, (lo, hi))
+        return
+    if n.sum() > POSTINGS and hi - lo > 1:
+        for part in ((lo, (lo + hi) // 2), ((lo + hi) // 2, hi)):
+            yield from _candidates(index, row, at, seed, bounds, part)
+        return
+    post = np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    r, i = np.repeat(row, n), index.item[post]
+    diagonal = np.repeat(at, n) - index.offset[post]
+    order = np.lexsort((diagonal, i, r))
+    r, i, diagonal = r[order], i[order], diagonal[order]
+    slack = index.size[i] // 2 + 4
+    new = np.ones(len(r), bool)
+    new[1:] = (r[1:] != r[:-1]) | (i[1:] != i[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
+    first = np.flatnonzero(new)
+    high = diagonal[np.append(first[1:], len(r)) - 1]
+    r, i, low, slack = r[first], i[first], diagonal[first], slack[first]
+    yield np.column_stack([r, i, np.maximum(bounds[r], low - slack), np.minimum(bounds[r + 1], high + index.size[i] + slack)])
+
+
+def _possible(item: np.ndarray, windows: np.ndarray, valid: np.ndarray, least: float) -> np.ndarray:
+    """Which windows may score ``least``: the others cannot, whatever the order of their words.
+
+    A window word that the item lacks costs a mismatch or a gap and any other gains a match at
+    most, so no score is above the largest sum of a run of these; nor above a match for each word in common.
+    """
+    known, times = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(known, windows), len(known) - 1)
+    shared = valid & (known[at] == windows)
+    total = np.cumsum(np.where(shared, MATCH, -min(GAP, -MISMATCH)), axis=1)
+    run = (total - np.minimum(np.minimum.accumulate(total, axis=1), 0)).max(1)
+    have = np.bincount((np.arange(len(windows))[:, None] * len(known) + at)[shared], minlength=len(windows) * len(known))
+    common = np.minimum(have.reshape(len(windows), len(known)), times).sum(1)
+    return np.minimum(run, MATCH * common) >= least
+
+
+def _blocks(words: np.ndarray, wins: np.ndarray, size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(windows of one item, their words, what is no padding), windows of like width together."""
+    wins = wins[np.argsort(wins[:, 3] - wins[:, 2], kind="stable")]
+    width = np.maximum(wins[:, 3] - wins[:, 2], size)
+    lo = 0
+    while lo < len(wins):
+        hi = lo + 1
+        while hi < len(wins) and (hi + 1 - lo) * width[hi] <= CELLS:
+            hi += 1
+        some = wins[lo:hi]
+        place = some[:, 2:3] + np.arange((some[:, 3] - some[:, 2]).max())
+        valid = place < some[:, 3:4]
+        yield some, np.where(valid, words[np.minimum(place, len(words) - 1)], np.uint64(0)), valid
+        lo = hi
 
 
 def find(index: Index, data: np.ndarray, offs: np.ndarray, threshold: float) -> list[tuple[int, int, float, int, int, bool]]:
@@ -145,72 +182,29 @@ def find(index: Index, data: np.ndarray, offs: np.ndarray, threshold: float) ->
     best: dict[tuple[int, int], tuple[float, int, int, bool]] = {}
     for lo, hi in K.slices(offs):
         words, bounds = K.word_hashes(data, offs[lo : hi + 1], alnum=True)
-        by_item: dict[int, list[tuple[int, int, int]]] = {}
-        row, at, seed = index.matches(words, bounds)
-        for r, i, a, b in sorted(_candidates(index, row, at, seed, bounds)) if len(row) else ():
-            by_item.setdefault(i, []).append((r, a, b))
-        for i, wins in by_item.items():
-            item = index.words[i]
-            full = MATCH * len(item)
-            for k in range(0, len(wins), 256):
-                some = wins[k : k + 256]
-                width = max(b - a for _, a, b in some)
-                block, valid = np.zeros((len(some), width), np.uint64), np.zeros((len(some), width), bool)
-                for q, (_, a, b) in enumerate(some):
-                    block[q, : b - a], valid[q, : b - a] = words[a:b], True
-                score, end_i, end_j = align(item, block, valid)
-                for q in np.flatnonzero(score >= threshold * full):
-                    r, a, _ = some[q]
-                    back = block[q : q + 1, : end_j[q]][:, ::-1]
-                    n = int(align(item[: end_i[q]][::-1], back, np.ones_like(back, bool))[2][0])
-                    first = a + int(end_j[q]) - n
-                    key, value = (lo + r, index.ids[i]), (float(score[q]) / full, first - int(bounds[r]), n, bool(score[q] == full))
-                    if key not in best or value[0] > best[key][0]:
-                        best[key] = value
+        for wins in _candidates(index, *index.matches(words, bounds), bounds):
+            wins = wins[np.argsort(wins[:, 1], kind="stable")]
+            for mine in np.split(wins, np.flatnonzero(np.diff(wins[:, 1])) + 1):
+                i = int(mine[0, 1])
+                item = index.words[i]
+                full = MATCH * len(item)
+                for some, block, valid in _blocks(words, mine, len(item)):
+                    use = np.flatnonzero(_possible(item, block, valid, threshold * full))
+                    if not len(use):
+                        continue
+                    some, block = some[use], block[use]
+                    score, end_i, end_j = align(item, block, valid[use])
+                    for q in np.flatnonzero(score >= threshold * full):
+                        r, a = int(some[q, 0]), int(some[q, 2])
+                        back = block[q : q + 1, : end_j[q]][:, ::-1]
+                        n = int(align(item[: end_i[q]][::-1], back, np.ones_like(back, bool))[2][0])
+                        first = a + int(end_j[q]) - n
+                        key, value = (lo + r, index.ids[i]), (float(score[q]) / full, first - int(bounds[r]), n, bool(score[q] == full))
+                        if key not in best or (value[0], -value[1]) > (best[key][0], -best[key][1]):
+                            best[key] = value
     return [(r, i, *v) for (r, i), v in sorted(best.items())]
 
 
-def _document_counts(shared):
-    """mapInArrow function: how many of the task's rows have each seed."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        total = np.zeros(len(index.seeds), np.int64)
-        for batch in batches:
-            data, offs = K.text_buffers(batch.column("text"))
-            for lo, hi in K.slices(offs):
-                words, bounds = K.word_hashes(data, offs[lo : hi + 1], alnum=True)
-                row, _, seed = index.matches(words, bounds)
-                if len(row):
-                    total += np.bincount(np.unique(row * len(total) + seed) % len(total), minlength=len(total))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["seed", "n"])
-
-    return run
-
-
-def rare_index(texts: DataFrame, items: list[tuple[int, np.ndarray]]) -> Index:
-    """The items' index of rare seeds, after counting all their seeds over all documents."""
-    every = Index.build(items)
-    shared = texts.sparkSession.sparkContext.broadcast(every)
-    counts = texts.select("text").mapInArrow(_document_counts(shared), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect()
-    df = np.zeros(len(every.seeds), np.int64)
-    for r in counts:
-        df[r.seed] = r.n
-    of_posting = np.repeat(df, np.diff(every.begin))
-    seed_of = np.repeat(every.seeds, np.diff(every.begin))
-    keep: set[tuple[int, int]] = set()
-    order = np.argsort(every.item, kind="stable")
-    cuts = np.searchsorted(every.item[order], np.arange(len(items) + 1))
-    for i in range(len(items)):
-        at = order[cuts[i] : cuts[i + 1]]
-        if len(at):
-            quarter = np.sort(of_posting[at])[(len(at) - 1) // 4]
-            for p in at[of_posting[at] <= max(RARE_DOCS, RARE_TIMES * quarter)]:
-                keep.add((i, int(seed_of[p])))
-    return Index.build(items, keep)
-
-
 def _item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, np.ndarray]]]:
     """The items with at least SEED words, in blocks of about BLOCK_BYTES of text."""
     items = pick(benchmark, item_id=(id_col, "long"), text=(text_col, "string")).where("item_id is not null and text is not null").distinct()
@@ -253,7 +247,7 @@ def contaminated(
     texts = text_and_id(docs, id_col, text_col)
     out = None
     for items in _item_blocks(benchmark, item_col, item_text_col):
-        shared = spark.sparkContext.broadcast(rare_index(texts, items))
+        shared = spark.sparkContext.broadcast(Index.build(items))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -276,10 +270,9 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows (all columns) that hold no passage of a test item; see ``contaminated``."""
     ship(docs.sparkSession)
-    texts = text_and_id(docs, id_col, text_col)
     at = docs.columns.index(text_col)
     for items in _item_blocks(benchmark, item_col, "text"):
-        shared = docs.sparkSession.sparkContext.broadcast(rare_index(texts, items))
+        shared = docs.sparkSession.sparkContext.broadcast(Index.build(items))
 
         def keep(batch: pa.RecordBatch, shared=shared) -> np.ndarray:
             data, offs = K.text_buffers(batch.column(at))

@@ -4,10 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import ann, components, decontam, minhash, sharding
+from ledgerflow.llm import kernels as K
 
 
 def _components(n, links):
@@ -160,6 +162,41 @@ def test_planted_passages_are_found_and_clean_documents_left_alone(spark):
     assert decontam.contaminated(docs.limit(0), bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [5, 50, 5000])
+def test_partial_and_edited_copies_are_found_however_often_they_leaked(spark, copies):
+    rnd = random.Random(copies)
+    items = [[f"i{k}w{j}" for j in range(40)] for k in range(2)]
+    passage = items[0][7:33]  # 26 of 40 words
+    edited = [f"edit{j}" if j % 8 == 4 else w for j, w in enumerate(items[1])]
+    say = lambda: [f"z{rnd.randint(0, 999)}" for _ in range(rnd.randint(0, 30))]
+    rows = [(d, " ".join(say() + (passage if d % 2 else edited) + say())) for d in range(2 * copies)]
+    rows += [(-1 - d, " ".join(say() + items[0][d : d + 6])) for d in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == {(d, 0 if d % 2 else 1) for d in range(2 * copies)}
+    assert {round(s, 9) for (_, i), s in got.items() if i == 0} == {0.65}
+    assert sorted(r.doc_id for r in decontam.drop_contaminated(docs, bench).collect()) == list(range(-30, 0))
+
+
+def test_no_passage_that_scores_enough_is_ruled_out(monkeypatch):
+    rnd = np.random.default_rng(7)
+    item = [rnd.integers(0, 9, rnd.integers(3, 20)).astype(np.uint64) for _ in range(60)]
+    for w in item:
+        windows = rnd.integers(0, 12, (20, 30)).astype(np.uint64)
+        valid = np.arange(30) < rnd.integers(3, 31, (20, 1))
+        score, _, _ = decontam.align(w, windows, valid)
+        for least in (len(w) * 0.6, len(w), len(w) * 1.6):
+            assert decontam._possible(w, windows, valid, least)[score >= least].all()
+    texts = [" ".join(f"w{v}" for v in rnd.integers(0, 6, n)) for n in rnd.integers(0, 90, 40)]
+    data, offs = K.text_buffers(pa.array(texts))
+    index = decontam.Index.build(list(enumerate(item[:20])) + [(50, K.word_hashes(data, offs[9:11], alnum=True)[0])])
+    want = decontam.find(index, data, offs, 0.5)
+    monkeypatch.setattr(decontam, "POSTINGS", 40)
+    monkeypatch.setattr(decontam, "CELLS", 200)
+    assert decontam.find(index, data, offs, 0.5) == want and want
+
+
 def test_item_blocks_give_the_same_pairs(spark, monkeypatch):
     rnd = random.Random(2)
     items = [(i, " ".join(f"w{rnd.randint(0, 500)}" for _ in range(20))) for i in range(12)]
