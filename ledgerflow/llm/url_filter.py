@@ -32,8 +32,8 @@ LONGEST_WORD = 24
 BITS = 16
 #: Added to every bucket's count; small, since URLs hold few words.
 SMOOTHING = 0.01
-#: Segmentations that a worker keeps.
-CACHE_ENTRIES = 200_000
+#: Segmentations that a worker keeps, and the longest name among them.
+CACHE_ENTRIES, CACHE_LENGTH = 200_000, 256
 
 #: Words that mark an unwanted site, to learn from; each also belongs to the lexicon.
 SEED_WORDS = (
@@ -101,9 +101,11 @@ class Lexicon:
         """The most probable words of a name; letters in no word come out as runs."""
         got = self.seen.get(label)
         if got is None:
-            if len(self.seen) >= CACHE_ENTRIES:
-                self.seen.clear()
-            got = self.seen[label] = [w for part in _WORD.findall(label) for w in self._viterbi(part)]
+            got = [w for part in _WORD.findall(label) for w in self._viterbi(part)]
+            if len(label) <= CACHE_LENGTH:
+                if len(self.seen) >= CACHE_ENTRIES:
+                    self.seen.clear()
+                self.seen[label] = got
         return got
 
     def _viterbi(self, name: str) -> list[str]:
@@ -121,26 +123,29 @@ class Lexicon:
                     c = self.unknown  # one letter outside every word
                 if best[begin] + c < best[end]:
                     best[end], back[end] = best[begin] + c, begin
-        words, end = [], n
-        while end:
-            words.append(name[back[end] : end])
-            end = back[end]
+        cuts = [n]
+        while cuts[-1]:
+            cuts.append(back[cuts[-1]])
+        cuts.reverse()
         out: list[str] = []
-        loose = False
-        for word in reversed(words):  # neighbouring letters outside every word are one run
-            known = word in self.cost
-            if out and loose and not known:
-                out[-1] += word
-            else:
-                out.append(word)
-            loose = not known
+        loose = None
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):  # neighbouring letters outside every word are one run
+            if name[begin:end] not in self.cost:
+                loose = begin if loose is None else loose
+                continue
+            if loose is not None:
+                out.append(name[loose:begin])
+                loose = None
+            out.append(name[begin:end])
+        if loose is not None:
+            out.append(name[loose:])
         return out
 
 
 def url_words(lexicon: Lexicon, host: str, path: str) -> list[str]:
     """Words of a URL: the split host labels and the path's words (lower case, numbers as ``#``)."""
     words = [w for label in host.split(".") for w in lexicon.split(label)]
-    words += [w for part in _WORD.findall(path.lower()) for w in (["#"] if part.isdigit() else lexicon.split(part[:256]))]
+    words += [w for part in _WORD.findall(path.lower()) for w in (["#"] if part.isdigit() else lexicon.split(part))]
     return ["#" if w.isdigit() else w for w in words]
 
 
@@ -223,8 +228,8 @@ def judge(pages: DataFrame, model: UrlModel, rules: list[Rule], id_col: str = "p
     """page_id, host, path, rule, verdict and block_odds (log odds of the method) of every row.
 
     Defined cases: a null URL, or one without ``://``, has an empty host and path and is allowed, with
-    null odds; repeated rows and null ids come out as they went in; extra columns are ignored; a
-    path word is segmented up to 256 letters and a host label whole.
+    null odds; repeated rows and null ids come out as they went in; extra columns are ignored;
+    host labels and path words are segmented whole, whatever their length.
     """
     spark = pages.sparkSession
     ship(spark)

@@ -187,3 +187,20 @@ def test_concatenated_names_are_blocked_by_their_words(spark):
     model = url_filter.train(frame)
     assert model.lexicon.split("freebets") == ["free", "bets"]
     assert model.block_odds("wincasino.org", "/x/1") > 0 > model.block_odds("gardenbooks.org", "/x/1")
+
+
+def test_long_path_words_are_segmented_whole(spark):
+    filler = "gardennewsbooks" * 20  # 300 letters
+    pages = [(i, f"http://example.org/{'books' if i % 2 else 'casino'}/{i}", "<p>garden news books win free bets casino</p>") for i in range(200)]
+    pages += [(1000, f"http://example.org/{filler}freebetscasino", "<p>news</p>"), (1001, f"http://example.org/{filler}", "<p>news</p>")]
+    pages += [(1002, "http://example.org/" + "xq" * 200_000 + "casino", "<p>news</p>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    model = url_filter.train(frame)
+    assert url_filter.url_words(model.lexicon, "", "/" + filler + "freebetscasino")[-3:] == ["free", "bets", "casino"]
+    assert url_filter.url_words(model.lexicon, "", "/" + "xq" * 200_000 + "casino") == ["xq" * 200_000, "casino"]
+    got = {r.page_id: r for r in url_filter.judge(frame, model, []).collect()}
+    assert got[1000].block_odds > got[1001].block_odds and got[1002].verdict == "block"
+    assert not any(len(label) > url_filter.CACHE_LENGTH for label in model.lexicon.seen)
+    # in training, too: the URL with a seed word after 256 letters counts as one to block
+    late = spark.createDataFrame([(i, f"http://example.org/{filler}{'casino' if i < 3 else ''}", "<p>garden news books</p>") for i in range(9)], frame.schema)
+    assert abs(url_filter.train(late).prior - np.log((3 + 1) / (6 + 1))) < 1e-12
