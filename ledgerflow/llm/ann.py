@@ -158,9 +158,9 @@ def _probes(shared, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h = shared.value
         for batch in batches:
-            for qid, q in zip(batch.column("id").to_pylist(), _matrix(batch.column("vec"), dim), strict=True):
+            for query, q in zip(batch.column("query").to_pylist(), _matrix(batch.column("vec"), dim), strict=True):
                 keys = np.unique(np.concatenate([h.probe_keys(q, t, h.probes) for t in range(len(h.lines))]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), qid))], names=["key", "id"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), query))], names=["key", "query"])
 
     return run
 
@@ -200,11 +200,13 @@ class _Best:
             none = np.zeros(0, np.int64)
             return none, none, np.zeros(0)
         q, ids, d = (np.concatenate(x) for x in zip(*self.held, strict=True))
-        order = np.lexsort((ids, d, q))
+        order = np.lexsort((d, ids, q))
         q, ids, d = q[order], ids[order], d[order]
-        new = np.ones(len(q), bool)  # one candidate from several tables, or repeated rows
-        new[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1]) | (d[1:] != d[:-1])
+        new = np.ones(len(q), bool)  # the nearest of an id: it comes from several tables, or has several vectors
+        new[1:] = (q[1:] != q[:-1]) | (ids[1:] != ids[:-1])
         q, ids, d = q[new], ids[new], d[new]
+        order = np.lexsort((ids, d, q))
+        q, ids, d = q[order], ids[order], d[order]
         place = np.arange(len(q)) - np.searchsorted(q, q)
         keep = place < self.k
         last = place == self.k - 1
@@ -270,11 +272,11 @@ def _search(dim: int, k: int):
 def _meet(probes: DataFrame, index: DataFrame, vectors: DataFrame, cells: int, dim: int, k: int) -> DataFrame:
     """(query_id, vec_id, score) of the nearest candidates of each query in each cell.
 
-    probes: key, part, id; index: key, part, id, vec (a row for each block it is in).
+    probes: key, part, query; index: key, part, id, vec (a row for each block it is in); vectors: query, id, vec.
     """
     cell = F.pmod(F.xxhash64("key", "part"), F.lit(cells)).cast("int")
-    visits = probes.withColumn("cell", cell).groupBy("cell", "id").agg(F.collect_set(F.xxhash64("key", "part")).alias("keys"))
-    left = visits.join(vectors, "id").select("cell", F.lit(0).alias("kind"), "id", "vec", "keys")
+    visits = probes.withColumn("cell", cell).groupBy("cell", "query").agg(F.collect_set(F.xxhash64("key", "part")).alias("keys"))
+    left = visits.join(vectors, "query").select("cell", F.lit(0).alias("kind"), "id", "vec", "keys")
     right = index.select(cell.alias("cell"), F.lit(1).alias("kind"), "id", "vec", F.array(F.xxhash64("key", "part")).alias("keys"))
     return (
         left.unionAll(right)
@@ -299,8 +301,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
 
     Defined cases: null ids, null, empty and zero vectors, and vectors with a null, NaN or infinite component take no part,
     nor do vectors whose length is not the most frequent one (the longer of equally frequent ones);
-    repeated rows count once, and an id with several vectors counts with the nearest of
-    them; extra columns are ignored; an empty table gives no rows.
+    repeated rows count once, and an id with several vectors, asking or found, counts with the nearest
+    pair of them; extra columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -318,10 +320,11 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     sample = good.orderBy(F.xxhash64("id"), "id").limit(min(FIT_ROWS, max(FIT_VALUES // dim, 256))).select("vec").toArrow()
     hashing = fit(_matrix(sample.column("vec"), dim), rows, k)
     shared = spark.sparkContext.broadcast(hashing)
-    asked = good.where(is_query).dropDuplicates(["id"])
+    # every vector of an id asks for itself; should two have one hash, both visit what either does
+    asked = good.where(is_query).dropDuplicates(["id", "vec"]).withColumn("query", F.xxhash64("id", "vec"))
 
     index = good.mapInArrow(_index(shared, dim), f"key long, id long, vec array<{element}>")
-    probes = materialize(asked.mapInArrow(_probes(shared, dim), "key long, id long"), "probes")
+    probes = materialize(asked.mapInArrow(_probes(shared, dim), "key long, query long"), "probes")
     filled = good.mapInArrow(_index_keys(shared, dim), "key long").groupBy("key").agg(F.count("*").alias("n"))
     asking = probes.groupBy("key").agg(F.count("*").alias("m"))
     grid = materialize(
@@ -330,9 +333,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
         ),
         "grid",
     )
-    row, col = F.pmod(F.xxhash64("id"), F.col("down")), F.pmod(F.xxhash64("id"), F.col("across"))
+    row, col = F.pmod(F.xxhash64("query"), F.col("down")), F.pmod(F.xxhash64("id"), F.col("across"))
     blocks = probes.join(grid, "key").select(
-        "key", "id", F.explode(F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda c: row * F.col("across") + c)).alias("part")
+        "key", "query", F.explode(F.transform(F.sequence(F.lit(0), F.col("across") - 1), lambda c: row * F.col("across") + c)).alias("part")
     )
     placed = index.join(grid, "key").select(
         "key", "id", "vec", F.explode(F.transform(F.sequence(F.lit(0), F.col("down") - 1), lambda r: r * F.col("across") + col)).alias("part")
@@ -340,12 +343,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     cells = max(1, -(-rows * TABLES // CELL_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     best = materialize(_top(_meet(blocks, placed, asked, cells, dim, k), k), "nearest")
     # too few found: an exact search of those queries, in blocks over all rows
-    counted = asked.select("id").join(best.groupBy("query_id").agg(F.count("*").alias("n")).withColumnRenamed("query_id", "id"), "id", "left")
+    counted = asked.select("id").distinct().join(best.groupBy("query_id").agg(F.count("*").alias("n")).withColumnRenamed("query_id", "id"), "id", "left")
     short = materialize(counted.where(F.coalesce("n", F.lit(0)) < min(k, rows - 1)).select("id"), "short")
     if short.isEmpty():
         return best
     spread = max(1, -(-rows // CELL_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    everywhere = short.select(F.lit(0).cast("long").alias("key"), "id", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
+    again = asked.join(short, "id", "left_semi")
+    everywhere = again.select(F.lit(0).cast("long").alias("key"), "query", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("part"))
     all_rows = good.select(F.lit(0).cast("long").alias("key"), "id", "vec", F.pmod(F.xxhash64("id"), F.lit(spread)).cast("int").alias("part"))
-    exact = _top(_meet(everywhere, all_rows, asked, spread, dim, k), k)
+    exact = _top(_meet(everywhere, all_rows, again, spread, dim, k), k)
     return best.join(short.withColumnRenamed("id", "query_id"), "query_id", "left_anti").unionAll(exact)

@@ -242,6 +242,23 @@ def test_neighbours_reach_the_recall_and_give_exact_scores(spark):
     assert hits / total >= 0.9
 
 
+@pytest.mark.parametrize("few", [False, True])
+def test_an_id_with_several_vectors_takes_one_place(spark, monkeypatch, few):
+    if few:  # too few candidates: the exact search
+        monkeypatch.setattr(ann.Hashing, "probe_keys", lambda self, q, table, probes: np.array([-1 - table]))
+    rng = np.random.default_rng(11)
+    ids = np.concatenate([np.repeat(np.arange(1, 5), 40), np.arange(5, 80), [0, 0, 0, 100, 100]])
+    x = np.concatenate([0.01 * rng.normal(size=(160, 4)), rng.normal(size=(75, 4)), np.zeros((1, 4)) + 0.02, rng.normal(size=(4, 4))])
+    frame = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(frame.unionAll(frame.limit(50)).repartition(3), F.col("id") % 100 == 0).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, round(r.score, 9)))
+    assert set(got) == {0, 100}
+    for q, near in got.items():
+        want = _brute_nearest(ids, x, q, 10)
+        assert sorted(near) == [(n, int(v), round(float(d), 9)) for n, (d, v) in enumerate(want, 1)]
+
+
 def test_few_vectors_give_all_candidates(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 5.0]), (2, [100.0, 3.0]), (100, [-7.0, 1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
