@@ -8,8 +8,8 @@ Candidates of all tables are merged and ranked by their exact distance.
 
 Width, M and the number of probes are fitted on a bounded sample (``FIT_ROWS`` rows): the
 width from its distances, M from the number of vectors, and the least number of
-probes that reaches ``TARGET`` recall against brute force on the sample. All
-rows are indexed.
+probes that reaches ``TARGET`` recall against brute force on the sample. If none does, M is
+lowered, and at two projections the cells are widened until one does. All rows are indexed.
 
 Buckets and queries meet in *search cells* (hashes of bucket keys). A bucket
 with more than ``BUCKET_ROWS`` rows, or visited by more than ``BUCKET_QUERIES`` queries, is cut into
@@ -116,7 +116,8 @@ def fit(sample: np.ndarray, rows: int, k: int, seed: int = 8) -> Hashing:
     width = 1.06 * float(np.median(positive)) if len(positive) else 1.0
     near = np.argsort(d, axis=1, kind="stable")
     near = [[j for j in row if j != i][:k] for i, row in enumerate(near[:, : k + 1])]
-    for m in range(int(np.clip(round(np.log2(max(rows, 2)) / 2.6), 2, 16)), 1, -1):
+    m = int(np.clip(round(np.log2(max(rows, 2)) / 2.6), 2, 16))
+    while True:
         tables = Hashing(rng.normal(size=(TABLES, dim, m)), rng.uniform(size=(TABLES, m)), width, MAX_PROBES)
         keys = tables.index_keys(sample)
         rank = []
@@ -124,9 +125,12 @@ def fit(sample: np.ndarray, rows: int, k: int, seed: int = 8) -> Hashing:
             seen = [{key: r for r, key in reversed(list(enumerate(tables.probe_keys(sample[i], t, MAX_PROBES).tolist())))} for t in range(TABLES)]
             rank += [min(seen[t].get(int(keys[j, t]), MAX_PROBES) for t in range(TABLES)) for j in js]
         need = np.sort(rank)[max(0, int(np.ceil(TARGET * len(rank))) - 1)] + 1 if rank else 1
-        if need <= MAX_PROBES or m == 2:
+        if need <= MAX_PROBES or not np.isfinite(width):
             return Hashing(tables.lines, tables.shift, width, int(min(need, MAX_PROBES)))
-    raise AssertionError("unreachable")
+        if m > 2:
+            m -= 1
+        else:
+            width *= 2  # in the end all of a table's rows are in reach
 
 
 def _matrix(column: pa.Array, dim: int) -> np.ndarray:

@@ -259,6 +259,20 @@ def test_an_id_with_several_vectors_takes_one_place(spark, monkeypatch, few):
         assert sorted(near) == [(n, int(v), round(float(d), 9)) for n, (d, v) in enumerate(want, 1)]
 
 
+def test_outliers_beside_a_tight_cluster_reach_the_recall(spark):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([0.01 * rng.normal(size=(1500, 8)), 0.2 * rng.normal(size=(500, 8))])
+    ids = rng.permutation(len(x))
+    frame = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in ann.nearest(frame, F.col("id") % 10 == 0).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = [len(found[q] & {v for _, v in _brute_nearest(ids, x, q, 10)}) / 10 for q in range(0, 2000, 10)]
+    assert len(found) == 200 and np.mean(hits) >= 0.95
+    far = [h for q, h in zip(range(0, 2000, 10), hits, strict=True) if np.flatnonzero(ids == q)[0] >= 1500]
+    assert np.mean(far) >= 0.85
+
+
 def test_few_vectors_give_all_candidates(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.0, 5.0]), (2, [100.0, 3.0]), (100, [-7.0, 1.0])]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
