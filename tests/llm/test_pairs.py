@@ -95,6 +95,17 @@ def test_one_document_of_each_group_stays(spark):
     assert minhash.drop_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id_are_judged_by_themselves(spark):
+    say = lambda w, n=30: " ".join(f"{w}{i}" for i in range(n))
+    rows = [(1, say("a")), (3, say("a")), (3, say("b")), (3, say("b")), (3, say("c")), (3, ""), (3, None), (4, say("c") + " more")]
+    rows += [(5, say("d")), (5, say("d") + " more"), (6, say("d").upper()), (7, say("e")), (None, say("a")), (2, say("f")), (8, say("f")), (8, say("g"))]
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).repartition(parts)
+        got = sorted((r.doc_id or -1, (r.text or "").split()[:1]) for r in minhash.drop_duplicates(docs).collect())
+        first = {-1: "a", 1: "a", 2: "f", 5: "d", 7: "e", 8: "g"}
+        assert got == sorted([(i, [w + "0"]) for i, w in first.items()] + [(3, ["b0"]), (3, ["c0"]), (3, [])])
+
+
 def test_connected_components_of_chains_and_hubs(spark):
     rnd = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 80)] + [(7, 7), (300, 301), (301, 300)]
