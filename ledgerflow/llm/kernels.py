@@ -188,7 +188,7 @@ def signatures(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def gram_counts(raw: np.ndarray, orders: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sparse counts of the hashed byte n-grams of one text: (buckets, counts).
+    """Sparse counts of the hashed n-grams of one text's bytes or code points: (buckets, counts).
 
     Runs of the given orders are hashed to ``2**bits`` buckets. A long text is
     counted slice by slice with an overlap, so memory does not grow with it.
@@ -214,6 +214,21 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+def lower_points(raw: np.ndarray) -> np.ndarray:
+    """Code points of a UTF-8 text in lower case (uint32), or its bytes if all are ASCII: these are the same numbers."""
+    if not len(raw) or raw.max() < 128:
+        return lower_bytes(raw)
+    parts, lo = [], 0
+    while lo < len(raw):
+        hi = min(lo + SLICE_BYTES, len(raw))
+        while hi < len(raw) and hi > lo + 1 and raw[hi] & 0xC0 == 0x80:  # not within a character
+            hi -= 1
+        text = raw[lo:hi].tobytes().decode("utf-8", "replace").lower()
+        parts.append(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32))
+        lo = hi
+    return np.concatenate(parts)
+
+
 def lower_bytes(raw: np.ndarray) -> np.ndarray:
     """ASCII letters in lower case, everything else as it is."""
     return _LOWER[raw]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ledgerflow.llm import kernels as K
 from ledgerflow.llm.common import filter_rows, materialize, pick, ship, text_and_id
 
-#: Orders (bytes of lower-cased UTF-8) and buckets of the n-grams.
+#: Orders (characters in lower case) and buckets of the n-grams.
 ORDERS = (2, 3)
 BITS = 14
 #: Added to every count.
@@ -62,7 +62,7 @@ def _sums():
         for batch in batches:
             data, offs = K.text_buffers(batch.column("text"))
             for lang, lo, hi in zip(batch.column("lang").to_pylist(), offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-                at, n = K.gram_counts(K.lower_bytes(data[lo:hi]), ORDERS, BITS)
+                at, n = K.gram_counts(K.lower_points(data[lo:hi]), ORDERS, BITS)
                 if lang not in total:
                     total[lang] = np.zeros(1 << BITS, np.int64)
                 total[lang][at] += n
@@ -121,7 +121,7 @@ def predict_arrow(model: LanguageModel | None, column: pa.Array) -> tuple[list[s
         known = [i for i in range(lo, hi) if offs[i + 1] > offs[i] and _some_letter(data, offs[i], offs[i + 1])]
         if not known:
             continue
-        joint = model.scores([K.gram_counts(K.lower_bytes(data[offs[i] : offs[i + 1]]), ORDERS, BITS) for i in known])
+        joint = model.scores([K.gram_counts(K.lower_points(data[offs[i] : offs[i + 1]]), ORDERS, BITS) for i in known])
         best = joint.argmax(1)
         joint -= joint.max(1, keepdims=True)
         score[known] = 1 / np.exp(joint).sum(1)

@@ -57,6 +57,35 @@ def test_language_score_is_the_brute_force_posterior(spark):
     assert abs(score[0] - want.max() / want.sum()) < 1e-12
 
 
+def test_language_grams_are_runs_of_characters(monkeypatch):
+    def grams(text):
+        at, n = langid.K.gram_counts(langid.K.lower_points(np.frombuffer(text.encode(), np.uint8)), langid.ORDERS, langid.BITS)
+        return dict(zip(at.tolist(), n.tolist(), strict=True))
+
+    for text in ("ÉTÉ ПРИВЕТ Ελλάδα", "今日は晴れ😀です", "ASCII only", "", "é"):
+        points = np.array([ord(c) for c in text.lower()], np.uint32)
+        at, n = langid.K.gram_counts(points, langid.ORDERS, langid.BITS)
+        assert grams(text) == dict(zip(at.tolist(), n.tolist(), strict=True))
+        assert sum(grams(text).values()) == sum(max(0, len(text) - k + 1) for k in langid.ORDERS)
+    assert grams("ПРИВЕТ ÉTÉ") == grams("привет été")
+    whole = grams("привет 今日は été 😀 " * 50)
+    monkeypatch.setattr(langid.K, "SLICE_BYTES", 7)
+    assert grams("привет 今日は été 😀 " * 50) == whole
+
+
+def test_capitals_of_other_scripts_tell_the_language(spark):
+    import pyarrow as pa
+
+    rnd = random.Random(4)
+    words = {"ru": "что это как его для все".split(), "uk": "що це як його для всі".split(), "el": "και το της για από με".split()}
+    rows = [(" ".join(rnd.choices(words[lang], k=12)), lang) for lang in ("ru", "uk", "el") * 20]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    plain = langid.predict_arrow(model, pa.array([t for t, _ in rows]))
+    loud = langid.predict_arrow(model, pa.array([t.upper() for t, _ in rows]))
+    assert plain[0] == [lang for _, lang in rows] == loud[0]
+    assert [s for s, (_, lang) in zip(loud[1], rows, strict=True) if lang != "el"] == [s for s, (_, lang) in zip(plain[1], rows, strict=True) if lang != "el"]
+
+
 def test_held_out_language_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = Q.QUERIES["op1_language_id"](spark, SF).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
