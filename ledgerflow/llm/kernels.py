@@ -25,10 +25,12 @@ def _odd(rng: np.random.Generator, n: int) -> np.ndarray:
 _RNG = np.random.default_rng(20240131)
 #: One random value a byte; ASCII white space is 0, and A-Z share the values of a-z.
 _BYTE = _odd(_RNG, 256)
-_BYTE[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE[_SPACE] = 0
+#: As above with A-Z apart from a-z.
+_BYTE_CASE = _BYTE.copy()
+_BYTE[65:91] = _BYTE[97:123]
 #: As above with every ASCII character that is no letter or digit as a separator.
 _BYTE_ALNUM = np.where([b >= 128 or chr(b).isalnum() for b in range(256)], _BYTE, 0).astype(np.uint64)
 _BASE = int(_odd(_RNG, 1)[0])
@@ -111,16 +113,16 @@ def _words(data: np.ndarray, offs: np.ndarray, byte: np.ndarray = _BYTE) -> tupl
     return mix(sums * down[starts]), starts
 
 
-def word_hashes(data: np.ndarray, offs: np.ndarray, alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offs: np.ndarray, alnum: bool = False, case: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words ``[^\\x20\\x09-\\x0D]+`` (A-Z lower-cased) of some rows.
 
-    alnum: all ASCII punctuation separates words, too.
+    alnum: all ASCII punctuation separates words, too. case: A-Z stay as they are.
 
     Returns (hashes, bounds): row i has the words bounds[i]:bounds[i+1]. A row
     longer than a slice is cut at white space, so the working memory stays a
     few slices plus eight bytes a word.
     """
-    byte = _BYTE_ALNUM if alnum else _BYTE
+    byte = _BYTE_ALNUM if alnum else _BYTE_CASE if case else _BYTE
     base = offs[0]
     if offs[-1] - base > 2 * SLICE_BYTES and len(offs) == 2:
         parts, lo, end = [], int(base), int(offs[-1])

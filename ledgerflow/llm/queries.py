@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerflow.llm import ann, decontam, langid, minhash, packing, quality, sharding, token_counts, token_matrix, url_filter
+from ledgerflow.llm import (
+    ann,
+    decontam,
+    filter_audit,
+    langid,
+    minhash,
+    packing,
+    quality,
+    sharding,
+    substring,
+    token_counts,
+    token_matrix,
+    url_filter,
+    whitening,
+)
 from ledgerflow.llm.common import table
 
 
@@ -73,6 +87,21 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op11_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 50-word passages that an earlier one holds."""
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings on the first four whitened components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_cost_balanced_packing": op2_cost_balanced_packing,
@@ -84,6 +113,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multiprobe_neighbours": op8_multiprobe_neighbours,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_minimax_shards": op10_minimax_shards,
+    "op11_filter_interactions": op11_filter_interactions,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_filter_interactions": filter_audit.ORACLE_SQL}
