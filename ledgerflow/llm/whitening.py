@@ -20,6 +20,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from ledgerflow.llm.common import materialize, pick
 
@@ -48,9 +49,9 @@ def _numbered(rows: DataFrame, name: str) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, values: Column, dim: int) -> BlockMatrix:
-    """Indexed rows (at, values) as a BlockMatrix with all columns in each block."""
+    """Indexed rows (at, values) as a BlockMatrix with all columns in each block; kept, as a product reads its blocks several times."""
     indexed = MLUtils.convertVectorColumnsFromML(rows.select("at", array_to_vector(values).alias("v")), "v")
-    return IndexedRowMatrix(indexed, numCols=dim).toBlockMatrix(max(1, BLOCK_VALUES // dim), dim)
+    return IndexedRowMatrix(indexed, numCols=dim).toBlockMatrix(max(1, BLOCK_VALUES // dim), dim).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _product(left: BlockMatrix, right: BlockMatrix, splits: int) -> BlockMatrix:
