@@ -7,6 +7,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.session import checkpoint_root, scratch_path
 
-__all__ = ["checkpoint_root", "filter_rows", "materialize", "pick", "scratch_path", "ship", "table", "text_and_id"]
+__all__ = ["checkpoint_root", "filter_rows", "materialize", "pick", "scratch_path", "ship", "small_batches", "table", "text_and_id"]
 
 _SHIPPED = "spark.ledgerflow.llm.shipped"
 
@@ -57,6 +58,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Within, whole texts go to Python and back in batches of at most ``rows`` rows (jobs that run inside, not returned plans)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def pick(df: DataFrame, **cols: tuple[str, str]) -> DataFrame:
     """Just the columns asked for: ``pick(df, out_name=(column, type))``.
 

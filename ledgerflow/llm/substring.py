@@ -1,8 +1,8 @@
 """Substring dedup by suffix automata: words of passages that an earlier document holds go.
 
 A *window* is a run of ``window`` words of one document. A word goes if a window over it also
-starts in a document with a smaller id. The decision is made by suffix automata over words: each
-is built on one *reference shard* and sent to the tasks that hold the documents for it; these stream
+starts in a document with a smaller id. The decision is made by suffix automata over words: a *reference
+shard* goes to every task that holds documents for it and becomes its automaton there; the documents stream
 through it for their matching statistics, and a match of ``window`` words or more whose smallest owner is an
 earlier document marks the span.
 
@@ -17,7 +17,7 @@ document can visit every automaton. Two bounds keep both in proportion to what i
 
 A window goes to the shard of its seed's home, both as reference and as query, so a copied document
 visits the automaton of its original and few others. Shards hold about ``SHARD_WINDOWS`` windows; documents
-for one shard are dealt over as many tasks as their words need, each with the whole automaton. Hashes only
+for one shard are dealt over as many parts as their words need, each with the whole shard. Hashes only
 select; words are compared as they are in the automaton.
 """
 
@@ -32,14 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import kernels as K
-from ledgerflow.llm.common import materialize, pick, ship
+from ledgerflow.llm.common import materialize, pick, ship, small_batches
 
 WINDOW = 50
 #: Words of a home document that make one block.
 BLOCK_WORDS = 1 << 16
 #: Reference windows of a shard, on average, and query words that one task streams through it.
-SHARD_WINDOWS, PART_WORDS = 1 << 17, 1 << 20
-#: Rows of a document batch that a task works on at a time.
+SHARD_WINDOWS, PART_WORDS = 1 << 15, 1 << 19
+#: Bytes of rows that a task collects before it hands them on.
+OUT_BYTES = 1 << 21
 _SPAN = "unit long, doc_id long, version long, first long, words binary"
 
 
@@ -120,14 +121,21 @@ def _candidate_windows(window: int):
     """mapInArrow function: candidate documents -> (hash, doc_id), one row for each window with a shared seed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(ids))], names=["hash", "doc_id"])
+
         for batch in batches:
-            hashes, ids = [], []
+            hashes, ids, size = [], [], 0
             for doc_id, _, text, _ in _texts(batch, window):
                 found = text.window_hashes()[text.unit != 0]
                 hashes.append(found)
                 ids.append(np.full(len(found), doc_id))
+                size += 16 * len(found)
+                if size > OUT_BYTES:
+                    yield out()
+                    hashes, ids, size = [], [], 0
             if hashes:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes)), pa.array(np.concatenate(ids))], names=["hash", "doc_id"])
+                yield out()
 
     return run
 
@@ -135,20 +143,27 @@ def _candidate_windows(window: int):
 def _span_rows(window: int, reference: bool):
     """mapInArrow function: candidate documents -> spans; all windows with a shared seed, or the reference ones (column hashes)."""
 
+    kinds = {"unit": pa.int64(), "doc_id": pa.int64(), "version": pa.int64(), "first": pa.int64(), "words": pa.binary()}
+
+    def rows(out: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values(), strict=True)], names=list(kinds))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
+            out, size = [], 0
             for doc_id, version, text, one in _texts(batch, window):
                 chosen = text.unit != 0
                 if reference:
                     chosen &= np.isin(text.window_hashes(), one["hashes"].values.to_numpy(zero_copy_only=False))
-                out += [(unit, doc_id, version, first, words) for unit, first, words in text.spans(chosen)]
+                for unit, first, words in text.spans(chosen):
+                    out.append((unit, doc_id, version, first, words))
+                    size += len(words)
+                if size > OUT_BYTES:
+                    yield rows(out)
+                    out, size = [], 0
             if out:
-                columns = list(zip(*out, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["unit", "doc_id", "version", "first", "words"]
-                )
+                yield rows(out)
 
     return run
 
@@ -202,45 +217,20 @@ class SuffixAutomaton:
                 owner[up] = owner[state]
         self.nxt, self.link, self.length, self.owner = nxt, link, length, owner
 
-    def dump(self) -> bytes:
-        """The automaton as Arrow IPC bytes: words, links, lengths, owners and transitions."""
-        counts = np.array([sum(1 for s in t if s >= 0) for t in self.nxt], np.int64)
-        keys = np.fromiter((s for t in self.nxt for s in t if s >= 0), np.int32)
-        to = np.fromiter((t[s] for t in self.nxt for s in t if s >= 0), np.int32)
-        sink = pa.BufferOutputStream()
-        parts = [pa.array(list(self.symbols), pa.binary()), pa.array(self.link), pa.array(self.length), pa.array(self.owner), pa.array(counts), pa.array(keys), pa.array(to)]
-        schema = pa.schema([(str(i), pa.list_(p.type)) for i, p in enumerate(parts)])
-        with pa.ipc.new_stream(sink, schema) as writer:
-            one = [pa.ListArray.from_arrays(pa.array([0, len(p)], pa.int32()), p) for p in parts]
-            writer.write_batch(pa.RecordBatch.from_arrays(one, schema=schema))
-        return sink.getvalue().to_pybytes()
-
-    @classmethod
-    def load(cls, blob: bytes) -> SuffixAutomaton:
-        batch = pa.ipc.open_stream(blob).read_next_batch()
-        words, link, length, owner, counts, keys, to = (batch.column(i).values for i in range(7))
-        self = cls.__new__(cls)
-        self.symbols = {w: i for i, w in enumerate(words.to_pylist())}
-        self.link, self.length, self.owner = link.to_pylist(), length.to_pylist(), owner.to_pylist()
-        width = len(self.symbols)
-        state = np.repeat(np.arange(len(counts)), counts.to_numpy())
-        self.steps = dict(zip((state * width + keys.to_numpy()).tolist(), to.to_numpy().tolist(), strict=True))
-        return self
-
     def matches(self, words: list[bytes], window: int) -> Iterator[tuple[int, int]]:
-        """(end word, smallest owner) wherever the matching statistic reaches ``window`` (on a loaded automaton)."""
-        steps, link, length, owner, symbols, width = self.steps, self.link, self.length, self.owner, self.symbols, len(self.symbols)
+        """(end word, smallest owner) wherever the matching statistic reaches ``window``."""
+        nxt, link, length, owner, symbols = self.nxt, self.link, self.length, self.owner, self.symbols
         state = matched = 0
         for i, word in enumerate(words):
             symbol = symbols.get(word)
             if symbol is None:
                 state = matched = 0
                 continue
-            to = steps.get(state * width + symbol)
+            to = nxt[state].get(symbol)
             while to is None and state:
                 state = link[state]
                 matched = length[state]
-                to = steps.get(state * width + symbol)
+                to = nxt[state].get(symbol)
             if to is None:
                 continue
             state = to
@@ -252,19 +242,14 @@ class SuffixAutomaton:
                 yield i, owner[state]
 
 
-def _build(key: tuple, table: pa.Table) -> pa.Table:
-    """applyInArrow function: the reference spans of a shard -> its automaton."""
-    spans = [(who, words.split()) for who, words in zip(table.column("doc_id").to_pylist(), table.column("words").to_pylist(), strict=True)]
-    return pa.table({"shard": [key[0].as_py()], "automaton": pa.array([SuffixAutomaton(spans).dump()], pa.binary())})
-
-
 def _stream(window: int):
-    """Cogrouped function: query spans of a (shard, part) and its automaton -> word spans to remove."""
+    """Cogrouped function: query spans of a (shard, part) and the shard's reference spans -> word spans to remove."""
 
-    def run(queries: pa.Table, automata: pa.Table) -> pa.Table:
+    def run(queries: pa.Table, reference: pa.Table) -> pa.Table:
         out: list[tuple[int, int, int, int]] = []
-        if queries.num_rows and automata.num_rows:
-            automaton = SuffixAutomaton.load(automata.column("automaton")[0].as_py())
+        if queries.num_rows and reference.num_rows:
+            owners, texts = reference.column("doc_id").to_pylist(), reference.column("words").to_pylist()
+            automaton = SuffixAutomaton([(who, text.split()) for who, text in zip(owners, texts, strict=True)])
             for row in range(queries.num_rows):
                 doc_id, version, first, text = (queries.column(c)[row].as_py() for c in ("doc_id", "version", "first", "words"))
                 begin = end = -1
@@ -315,17 +300,17 @@ def repeated_spans(texts: DataFrame, window: int = WINDOW) -> DataFrame:
     total = firsts.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
     shard = F.pmod("unit", F.lit(max(1, -(-total // SHARD_WINDOWS)))).alias("shard")
 
-    spans = texts.join(firsts, "doc_id").mapInArrow(_span_rows(window, True), _SPAN).select(shard, "doc_id", "words")
-    automata = materialize(spans.groupBy("shard").applyInArrow(_build, "shard long, automaton binary"), "substring-automata")
     queries = texts.mapInArrow(_span_rows(window, False), _SPAN).select(shard, "doc_id", "version", "first", "words")
     queries = materialize(queries, "substring-queries")
     n_words = F.sum(F.octet_length("words")) / 5  # words of four bytes and a blank
     parts = queries.groupBy("shard").agg(F.ceil(n_words / PART_WORDS).cast("long").alias("parts")).where("parts > 0")
     parts = materialize(parts, "substring-parts")
     dealt = queries.join(parts, "shard").withColumn("part", F.pmod(F.xxhash64("doc_id", "first"), "parts")).drop("parts")
-    copies = automata.join(parts, "shard").select("shard", "automaton", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+    reference = texts.join(firsts, "doc_id").mapInArrow(_span_rows(window, True), _SPAN).select(shard, "doc_id", "words")
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    reference = reference.join(parts, "shard").select("shard", "doc_id", "words", everywhere)
     return (
-        dealt.groupBy("shard", "part").cogroup(copies.groupBy("shard", "part"))
+        dealt.groupBy("shard", "part").cogroup(reference.groupBy("shard", "part"))
         .applyInArrow(_stream(window), "doc_id long, version long, from long, to long")
     )
 
@@ -358,14 +343,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     """
     ship(docs.sparkSession)
     text = F.col("text").cast("binary")
-    slim = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).select("doc_id", F.xxhash64("text").alias("version"), text.alias("text"))
+    slim = pick(docs, doc_id=(id_col, "long"), text=(text_col, "string")).select("doc_id", F.xxhash64("text").alias("version"), "text")
     result = "doc_id long, version long, n_words long, n_removed long, kept_sha256 string"
-    whole = slim.mapInArrow(_digests, result)
-    strings = slim.withColumn("text", F.col("text").cast("string"))
-    texts = materialize(candidates(strings, window).withColumn("text", F.col("text").cast("binary")), "substring-texts")
-    spans = repeated_spans(texts, window).groupBy("doc_id", "version").agg(F.collect_list("from").alias("from"), F.collect_list("to").alias("to"))
-    changed = texts.select("doc_id", "version", "text").dropDuplicates(["doc_id", "version"]).join(spans, ["doc_id", "version"])
-    changed = materialize(changed.select("doc_id", "version", "text", "from", "to").mapInArrow(_digests, result), "substring-changed")
+    with small_batches(docs.sparkSession):
+        whole = materialize(slim.withColumn("text", text).mapInArrow(_digests, result), "substring-digests")
+        texts = materialize(candidates(slim, window).withColumn("text", text), "substring-texts")
+        spans = repeated_spans(texts, window).groupBy("doc_id", "version").agg(F.collect_list("from").alias("from"), F.collect_list("to").alias("to"))
+        changed = texts.join(spans, ["doc_id", "version"]).select("doc_id", "version", "text", "from", "to").mapInArrow(_digests, result)
+        changed = materialize(changed.dropDuplicates(["doc_id", "version"]), "substring-changed")
     left = changed.select("doc_id", "version", F.col("n_removed").alias("gone"), F.col("kept_sha256").alias("kept"))
     return whole.join(left, ["doc_id", "version"], "left").select(
         "doc_id", "n_words", F.coalesce("gone", "n_removed").alias("n_removed"), F.coalesce("kept", "kept_sha256").alias("kept_sha256")
