@@ -85,41 +85,66 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return out
 
 
+def _lists(counts: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), values)
+
+
+def _matrix_column(matrix: np.ndarray) -> pa.Array:
+    """One binary value a row, over the matrix as it lies in memory."""
+    ends = np.arange(len(matrix) + 1, dtype=np.int32) * matrix[0].nbytes
+    return pa.BinaryArray.from_buffers(pa.binary(), len(matrix), [None, pa.py_buffer(ends), pa.py_buffer(matrix)])
+
+
 class _Rows:
+    """Sequences on their way out: pieces are only listed, and written into one matrix when a batch of rows is full."""
+
     def __init__(self, capacity: int, kind: str, pad_id: int) -> None:
         self.capacity, self.kind, self.pad = capacity, np.dtype(kind), pad_id
         self.clear()
 
     def clear(self) -> None:
-        self.seq, self.n, self.ids, self.pos = [], [], [], []
-        self.cu, self.docs, self.starts = [], [], []
+        self.seq, self.counts = [], []
+        self.docs, self.starts, self.ids = [], [], []
 
     def add(self, seq: int, pieces: list[tuple]) -> None:
         """pieces: (doc, start, ids as little-endian uint32)."""
-        sizes = [len(p[2]) // 4 for p in pieces]
-        ends = np.cumsum([0, *sizes])
-        row = np.full(self.capacity, self.pad, self.kind)
-        row[: ends[-1]] = np.frombuffer(b"".join([p[2] for p in pieces]), "<u4")
-        pos = np.zeros(self.capacity, "<u4")
-        pos[: ends[-1]] = np.arange(ends[-1]) - np.repeat(ends[:-1], sizes)
         self.seq.append(seq)
-        self.n.append(int(ends[-1]))
-        self.ids.append(row.tobytes())
-        self.pos.append(pos.astype("<u2" if self.capacity <= 65536 else "<u4").tobytes())
-        self.cu.append(ends.tolist())
-        self.docs.append([p[0] for p in pieces])
-        self.starts.append([p[1] for p in pieces])
+        self.counts.append(len(pieces))
+        for doc, start, ids in pieces:
+            self.docs.append(doc)
+            self.starts.append(start)
+            self.ids.append(ids)
 
     def full(self) -> bool:
         return len(self.seq) * self.capacity * 4 >= OUT_BYTES
 
     def take(self) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        cols = [self.seq, self.n, self.ids, self.pos, self.cu, self.docs, self.starts]
-        names = ["sequence_id", "n_tokens", "input_ids", "position_ids", "cu_seqlens", "doc_ids", "doc_starts"]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+        n, counts = len(self.seq), np.array(self.counts)
+        sizes = np.array([len(x) // 4 for x in self.ids])
+        first = np.cumsum(counts) - counts  # each row's first piece
+        begin = np.cumsum(sizes) - sizes  # of each piece, in all ids of the batch
+        row = np.repeat(np.arange(n), counts)
+        inside = begin - begin[first][row]  # of each piece, in its row
+        at = np.arange(sizes.sum())
+        place = at + np.repeat(row * self.capacity + inside - begin, sizes)
+        ids = np.full((n, self.capacity), self.pad, self.kind)
+        ids.ravel()[place] = np.frombuffer(b"".join(self.ids), "<u4")
+        positions = np.zeros((n, self.capacity), "<u2" if self.capacity <= 65536 else "<u4")
+        positions.ravel()[place] = at - np.repeat(begin, sizes)
+        ends = np.zeros(n + len(sizes), np.int32)  # a row has a 0 and the end of each piece
+        ends[np.arange(len(sizes)) + row + 1] = inside + sizes
+        used = np.add.reduceat(sizes, first)
+        columns = {
+            "sequence_id": pa.array(self.seq, pa.int64()),
+            "n_tokens": pa.array(used, pa.int32()),
+            "input_ids": _matrix_column(ids),
+            "position_ids": _matrix_column(positions),
+            "cu_seqlens": _lists(counts + 1, pa.array(ends)),
+            "doc_ids": _lists(counts, pa.array(self.docs, pa.int64())),
+            "doc_starts": _lists(counts, pa.array(self.starts, pa.int64())),
+        }
         self.clear()
-        return batch
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def _pack(path: str, capacity: int, final_id: int | None, pad_id: int, block_tokens: int):

@@ -9,17 +9,21 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
-#: Chunks kept by one Python worker (about 100 MB); beyond it the cache starts anew.
+#: Chunks of one generation of a Python worker's cache (about 100 MB); two are kept.
 CACHE_ENTRIES = 400_000
 #: Long texts are handed on in pieces of about this many bytes, cut at ASCII white space.
 PIECE_BYTES = 1 << 20
 
 #: The printable part of the first Unicode blocks: stable under NFC and lower-cased letter by letter.
 _PLAIN = re.compile("[!-~¡-¬®-ɏ]*")
+#: Whether a pattern names letters and digits only as members of bracketed classes.
+_CLASSES_ONLY = re.compile(r"(?:[^\[\]\\]|\\[^pP]|\[(?:[^\[\]\\]|\\[^pP]|\\p\{[LN]\})*\])*").fullmatch
 _SPACES = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
@@ -51,6 +55,14 @@ def text_pieces(data: np.ndarray, lo: int, hi: int) -> Iterator[bytes]:
         lo = end
 
 
+def _id_bytes(ids: list[int]) -> bytes:
+    """Little-endian uint32 (an array of a few numbers costs less than numpy's)."""
+    got = array("I", ids)
+    if sys.byteorder == "big":
+        got.byteswap()
+    return got.tobytes()
+
+
 class _Pieces(dict):
     """Piece of a word -> its ids as little-endian uint32 bytes, by the library's BPE model."""
 
@@ -60,29 +72,46 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= CACHE_ENTRIES:
             self.clear()
-        got = self[piece] = np.array([t.id for t in self.model.tokenize(to_alphabet(piece))], "<u4").tobytes()
+        got = self[piece] = _id_bytes([t.id for t in self.model.tokenize(to_alphabet(piece))])
         return got
 
 
 class _Chunks(dict):
-    """White-space separated chunk -> its ids as little-endian uint32 bytes."""
+    """White-space separated chunk -> its ids as little-endian uint32 bytes.
+
+    A full cache becomes the old generation, from which chunks that still occur come back.
+    """
 
     def __init__(self, tokenizer, pattern: str) -> None:
         import regex
 
         self.tokenizer, self.find, self.pieces = tokenizer, regex.compile(pattern).findall, _Pieces(tokenizer.model)
+        # in ASCII text the letters and digits are these
+        self.find_ascii = re.compile(pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")).findall if _CLASSES_ONLY(pattern) else self.find
+        self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= CACHE_ENTRIES:
+            self.old = dict(self)
             self.clear()
-        text = chunk.decode()
-        if _PLAIN.fullmatch(text) and "<|" not in text:
-            got = b"".join(map(self.pieces.__getitem__, self.find(text.lower())))
-        else:  # other scripts, control characters, special tokens: the library does it all
-            got = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        got = self.old.get(chunk)
+        if got is None:
+            got = self.encode(chunk)
         self[chunk] = got
         return got
 
+    def encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if text.isascii():
+            plain, find = text.isprintable(), self.find_ascii
+        else:
+            plain, find = _PLAIN.fullmatch(text), self.find
+        if plain and "<|" not in text:
+            found = find(text.lower())
+            return self.pieces[found[0]] if len(found) == 1 else b"".join([self.pieces[f] for f in found])
+        # other scripts, control characters, special tokens: the library does it all
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
 
 class Encoder:
     """Encodes texts as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` does."""
