@@ -106,16 +106,29 @@ def perturbations(inside: np.ndarray, most: int) -> Iterator[list[tuple[int, int
             yield moves
 
 
-def fit(sample: np.ndarray, rows: int, k: int, seed: int = 8) -> Hashing:
-    """Choose width, projections and probes for ``rows`` vectors like those of the sample."""
+def _neighbours(d: np.ndarray, ids: np.ndarray, k: int) -> list[list[int]]:
+    """For each row of distances the sample rows of its k nearest other ids, each id by its nearest row."""
+    near = []
+    for i, row in enumerate(np.argsort(d, axis=1, kind="stable")):
+        chosen: dict[int, int] = {}
+        for j in row.tolist():
+            if ids[j] != ids[i] and ids[j] not in chosen:
+                chosen[ids[j]] = j
+                if len(chosen) == k:
+                    break
+        near.append(list(chosen.values()))
+    return near
+
+
+def fit(sample: np.ndarray, rows: int, k: int, ids: np.ndarray | None = None, seed: int = 8) -> Hashing:
+    """Choose width, projections and probes for the vectors of ``rows`` ids like those of the sample (``ids``: whose they are)."""
     rng = np.random.default_rng(seed)
     n, dim = sample.shape
     some = sample[: min(n, FIT_QUERIES)]
     d = np.sqrt(np.maximum((some**2).sum(1)[:, None] + (sample**2).sum(1) - 2 * some @ sample.T, 0))
     positive = d[d > 1e-9]
     width = 1.06 * float(np.median(positive)) if len(positive) else 1.0
-    near = np.argsort(d, axis=1, kind="stable")
-    near = [[j for j in row if j != i][:k] for i, row in enumerate(near[:, : k + 1])]
+    near = _neighbours(d, np.arange(n) if ids is None else ids, k)
     m = int(np.clip(round(np.log2(max(rows, 2)) / 2.6), 2, 16))
     while True:
         tables = Hashing(rng.normal(size=(TABLES, dim, m)), rng.uniform(size=(TABLES, m)), width, MAX_PROBES)
@@ -160,11 +173,20 @@ def _index_keys(shared, dim: int):
 
 def _probes(shared, dim: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(np.concatenate(queries))], names=["key", "query"])
+
         h = shared.value
         for batch in batches:
+            keys, queries = [], []
             for query, q in zip(batch.column("query").to_pylist(), _matrix(batch.column("vec"), dim), strict=True):
-                keys = np.unique(np.concatenate([h.probe_keys(q, t, h.probes) for t in range(len(h.lines))]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), query))], names=["key", "query"])
+                keys.append(np.unique(np.concatenate([h.probe_keys(q, t, h.probes) for t in range(len(h.lines))])))
+                queries.append(np.full(len(keys[-1]), query))
+                if sum(map(len, keys)) >= BUFFER:
+                    yield out()
+                    keys, queries = [], []
+            if keys:
+                yield out()
 
     return run
 
@@ -303,9 +325,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     query's own id; with fewer than k candidates all of them come back. score is the distance in
     double precision of the vectors as they are; ties go to the smaller id.
 
-    Defined cases: null ids, null, empty and zero vectors, and vectors with a null, NaN or infinite component take no part,
-    nor do vectors whose length is not the most frequent one (the longer of equally frequent ones);
-    repeated rows count once, and an id with several vectors, asking or found, counts with the nearest
+    Defined cases: null ids, null, empty and zero vectors, and vectors with a null, NaN or infinite component take no part;
+    vectors of different lengths are no candidates for each other (each length is searched by itself);
+    repeated rows count once, in the fit as well, and an id with several vectors, asking or found, counts with the nearest
     pair of them; extra columns are ignored; an empty table gives no rows.
     """
     spark = vectors.sparkSession
@@ -316,19 +338,31 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     good = pick(vectors, id=(id_col, "long"), vec=(vec_col, f"array<{element}>")).where(
         "id is not null and vec is not null and forall(vec, v -> v is not null and not isnan(v) and abs(v) < double('infinity')) and exists(vec, v -> v <> 0)"
     )
-    sizes = good.groupBy(F.size("vec").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
-    if sizes is None:
+    sizes = good.groupBy(F.size("vec").alias("dim")).agg(F.count_distinct("id").alias("ids")).orderBy("dim").collect()  # a row a length
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dim, rows = sizes
-    good = good.where(F.size("vec") == dim)
-    sample = good.orderBy(F.xxhash64("id"), "id").limit(min(FIT_ROWS, max(FIT_VALUES // dim, 256))).select("vec").toArrow()
-    hashing = fit(_matrix(sample.column("vec"), dim), rows, k)
+    found = [_nearest(good.where(F.size("vec") == dim), is_query, dim, ids, k, element) for dim, ids in sizes]
+    if len(found) == 1:
+        return found[0]
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionAll(part)
+    return _top(every, k)
+
+
+def _nearest(good: DataFrame, is_query: Column, dim: int, rows: int, k: int, element: str) -> DataFrame:
+    """The result for the vectors (id, vec) of one length; ``rows``: how many ids they have."""
+    spark = good.sparkSession
+    once = good.dropDuplicates(["id", "vec"])
+    sample = once.orderBy(F.xxhash64("id"), "id", "vec").limit(min(FIT_ROWS, max(FIT_VALUES // dim, 256))).toArrow()
+    hashing = fit(_matrix(sample.column("vec"), dim), rows, k, sample.column("id").to_numpy())
     shared = spark.sparkContext.broadcast(hashing)
     # every vector of an id asks for itself; should two have one hash, both visit what either does
-    asked = good.where(is_query).dropDuplicates(["id", "vec"]).withColumn("query", F.xxhash64("id", "vec"))
+    asked = once.where(is_query).withColumn("query", F.xxhash64("id", "vec"))
 
     index = good.mapInArrow(_index(shared, dim), f"key long, id long, vec array<{element}>")
-    probes = materialize(asked.mapInArrow(_probes(shared, dim), "key long, query long"), "probes")
+    spread = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query")  # few bytes, much work
+    probes = materialize(spread.mapInArrow(_probes(shared, dim), "key long, query long"), "probes")
     filled = good.mapInArrow(_index_keys(shared, dim), "key long").groupBy("key").agg(F.count("*").alias("n"))
     asking = probes.groupBy("key").agg(F.count("*").alias("m"))
     grid = materialize(

@@ -272,13 +272,20 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         .select("doc_id", "label")
     )
     ids = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    n_rows = rows.count()
-    part = F.pmod(F.xxhash64("doc_id", F.lit(4)), F.lit(1 << 24)) < int((1 << 24) * min(1.0, POOL / max(n_rows, 1)))
+    # the pool is picked by id (a row without one by its text), out of all that differ in it
+    who = F.coalesce(F.xxhash64("doc_id", F.lit(4)), F.lit(0))
+    who = F.when(F.col("doc_id").isNull(), F.xxhash64("text", F.lit(4))).otherwise(who)
+    different = rows.select(F.count_distinct(who)).first()[0]
+    part = F.pmod(who, F.lit(1 << 24)) < int((1 << 24) * min(1.0, POOL / max(different, 1)))
     sample = rows.join(F.broadcast(ids), "doc_id", "left").where(F.col("label").isNotNull() | part)
     sample = sample.withColumn("unlabelled", F.col("label").isNull())
     # an unlabelled row whose id is labelled beyond the sample is as good for the pool as any other
     sample = sample.withColumn("label", F.coalesce("label", F.lit(-1))).withColumn("fold", F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)).cast("int"))
-    sample = sample.withColumn("fold", F.coalesce("fold", F.lit(1))).limit(2 * (MAX_LABELLED + POOL))
+    sample = sample.withColumn("fold", F.coalesce("fold", F.lit(1)))
+    # repeated rows once; should ids have many texts, the bound takes the same rows in whatever order they lie
+    columns = ["doc_id", "label", "fold", "text", *META]
+    order = [F.xxhash64("doc_id", "text"), *[F.col(c) for c in columns]]
+    sample = sample.select(*columns).distinct().orderBy(*order).limit(2 * (MAX_LABELLED + POOL))
     features = sample.select("label", "fold", "text", *META).mapInArrow(_sample_features, "label int, fold int, text binary, meta binary")
     fitted = features.repartition(1).mapInArrow(_co_train_sample, "model binary").collect()
     return pickle.loads(fitted[0].model) if fitted else None

@@ -28,7 +28,8 @@ from ledgerflow.llm.common import materialize, pick, ship
 
 #: Words a host can be split into: the most frequent of the pages' text (the bound on what is broadcast).
 LEXICON = 50_000
-LONGEST_WORD = 24
+#: A host label has at most 63 characters.
+LONGEST_WORD = 63
 BITS = 16
 #: Added to every bucket's count; small, since URLs hold few words.
 SMOOTHING = 0.01
@@ -166,22 +167,23 @@ class UrlModel:
 def word_counts(texts: DataFrame, col: str, most: int = LEXICON) -> dict[str, int]:
     """The most frequent words (a-z) of the visible text of all pages, at most ``most``.
 
-    Words are taken by classes of frequency (eighths of a power of two), the highest first, as long
-    as whole classes fit. So the driver gets one count a class and the words it keeps, and
-    no task sends candidates of its own.
+    Words are taken by classes of frequency (eighths of a power of two), the highest first; of the class
+    that does not fit whole, its share of words by hash (a little less than fits). So the driver gets one
+    count a class and the words it keeps, and no task sends candidates of its own.
     """
     visible = F.regexp_replace(F.lower(col), r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ")
     words = texts.select(F.explode(F.split(visible, "[^a-z]+")).alias("word"))
     counts = words.where(f"length(word) between 2 and {LONGEST_WORD}").groupBy("word").agg(F.count("*").alias("n"))
     counts = materialize(counts.withColumn("class", F.floor(F.log2("n") * 8)), "words")
-    taken, lowest = 0, None
+    room, whole, share = most, F.lit(True), F.lit(False)
     for r in sorted(counts.groupBy("class").agg(F.count("*").alias("words")).collect(), key=lambda r: -r["class"]):
-        taken += r.words
-        if taken > most:
+        if r.words > room:
+            part = max(0, room - 4 * room**0.5) / r.words  # the number that a share of the hashes holds varies
+            whole = F.col("class") > r["class"]
+            share = (F.col("class") == r["class"]) & (F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(part * (1 << 30)))
             break
-        lowest = r["class"]
-    kept = counts.limit(0) if lowest is None else counts.where(F.col("class") >= lowest)
-    return {r.word: r.n for r in kept.collect()}
+        room -= r.words
+    return {r.word: r.n for r in counts.where(whole | share).collect()}
 
 
 def train(pages: DataFrame, url_col: str = "url", text_col: str = "html", seeds: tuple[str, ...] | list[str] = tuple(SEED_WORDS)) -> UrlModel:

@@ -233,3 +233,36 @@ def test_long_path_words_are_segmented_whole(spark):
     # in training, too: the URL with a seed word after 256 letters counts as one to block
     late = spark.createDataFrame([(i, f"http://example.org/{filler}{'casino' if i < 3 else ''}", "<p>garden news books</p>") for i in range(9)], frame.schema)
     assert abs(url_filter.train(late).prior - np.log((3 + 1) / (6 + 1))) < 1e-12
+
+
+def test_quality_does_not_depend_on_the_order_of_repeated_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300).select("doc_id", "text", "lang", "source", "n_chars")
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    many = docs.withColumn("copy", F.explode(F.lit(list(range(60)))))
+    one, other = (many.orderBy(c).drop("copy") for c in ("copy", F.desc("doc_id")))
+    scores = []
+    for d in (docs, one, other):
+        rows = quality.classify(d, labels).select("doc_id", F.round("quality", 9), "keep").distinct().collect()
+        scores.append(sorted(map(tuple, rows)))
+    assert scores[0] == scores[1] == scores[2] and len(scores[0]) == 300
+
+
+def test_quality_with_null_ids_clashing_names_and_long_texts(spark):
+    rows = [(i, ("good plain words " if i % 2 else "buy $$$ now !!! ") * (i % 9 + 1), i) for i in range(60)] + [(None, "x", 1), (None, None, 2), (70, "word " * 400_000, 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, extra long").withColumns({"keep": F.lit("k"), "quality": F.lit(9)})
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 50)], "doc_id long, quality int")
+    assert quality.classify(docs, labels).count() == len(rows)
+    kept = quality.keep_good(docs, labels)
+    assert kept.columns == docs.columns and {r.extra for r in kept.collect()} >= {1, 3}
+
+
+def test_lexicon_has_no_cliff(spark):
+    def word(i):
+        return "".join(chr(97 + i // 26**p % 26) for p in range(4)) + "q"
+
+    long = "abcdefghijklmnopqrstuvwxyzabcd"
+    texts = [(" ".join(word(i) for i in range(k, 60_000, 40)) + f" the the {long}",) for k in range(40)]
+    counts = url_filter.word_counts(spark.createDataFrame(texts, "text string"), "text")
+    assert 49_000 <= len(counts) <= 50_000 and counts["the"] == 80 and counts[long] == 40
+    assert len(url_filter.word_counts(spark.createDataFrame(texts, "text string"), "text", 70_000)) == 60_002

@@ -270,6 +270,26 @@ def test_an_id_with_several_vectors_takes_one_place(spark, monkeypatch, few):
         assert sorted(near) == [(n, int(v), round(float(d), 9)) for n, (d, v) in enumerate(want, 1)]
 
 
+@pytest.mark.parametrize("copies", [1, 12])
+def test_repeated_rows_do_not_cost_recall(spark, copies):
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(3000, 8))
+    ids = np.arange(len(x))
+    frame = spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x, strict=True)], "vec_id long, embedding array<double>")
+    frame = frame.withColumn("copy", F.explode(F.lit(list(range(copies))))).drop("copy")
+    found = {}
+    for r in ann.nearest(frame, F.col("id") % 20 == 0).collect():
+        found.setdefault(r.query_id, []).append(r.vec_id)
+    hits = [len(set(found[q]) & {v for _, v in _brute_nearest(ids, x, q, 10)}) / 10 for q in range(0, 3000, 20)]
+    assert all(len(v) == len(set(v)) == 10 for v in found.values()) and np.mean(hits) >= 0.95
+
+
+def test_each_length_is_searched_by_itself(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.0, 5.0]), (0, [1.0, 1.0, 1.0]), (2, [1.0, 1.0, 1.5]), (1, [1.0, 1.0, 3.0]), (3, [1.0])]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 2, 0.5), (0, 2, 1, 2.0)]
+
+
 def test_outliers_beside_a_tight_cluster_reach_the_recall(spark):
     rng = np.random.default_rng(5)
     x = np.concatenate([0.01 * rng.normal(size=(1500, 8)), 0.2 * rng.normal(size=(500, 8))])
