@@ -3,10 +3,11 @@
 The silver dedupe keeps, of all copies of an order id, the first by a total order. That
 choice can be merged: the first of all copies is the first of (the kept old copy, the new copies). So
 next to silver there is a *kept* table with the chosen copy of every order id, before any
-row is dropped, partitioned by event day. New rows are merged into it by order id, over
+row is dropped (``plans.kept``). New rows are merged into it by order id, over
 all days: a copy may land days late, may move an order to another day, or may have no
-readable date (its own partition). Only the days whose kept rows changed are rewritten, in
-both tables, and a day that loses its last row loses its partition.
+readable date (its own partition). Its index confines the read to the buckets that may hold an id of the batch.
+Only the days whose kept rows changed are rewritten in silver, from their silver
+rows and the changed orders, and a day that loses its last row loses its partition.
 
 Merging the same rows twice changes nothing, so a failed run is simply repeated; silver
 is written before the kept table for that reason.
@@ -16,40 +17,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerflow import schemas as S
 from ledgerflow.functions import parse_ts
-from ledgerflow.operators.dedupe import keep_first
 from ledgerflow.operators.silver import finish_orders
+from ledgerflow.plans.kept import COLUMNS, DAY, KEPT, KeptOrders, choose
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks import drop_partitions, path_exists, write_partitioned
 
-DAY = ["year", "month", "day"]
-_COLUMNS = S.BRONZE_ORDERS.names
-KEPT = T.StructType(
-    [T.StructField(f.name, T.TimestampType() if f.name == "created_at" else f.dataType) for f in S.BRONZE_ORDERS.fields]
-    + [T.StructField(c, T.IntegerType()) for c in DAY]
-)
-
 
 def day_key(year="year", month="month", day="day"):
     """yyyymmdd as a number; 0 for rows without a readable date."""
     return F.coalesce(F.col(year) * 10000 + F.col(month) * 100 + F.col(day), F.lit(0))
 
 
-def _choose(rows: DataFrame) -> DataFrame:
-    """The kept copy of every order id, with its event day."""
-    first = keep_first(rows.select(*_COLUMNS).where("order_id is not null"), ["order_id"], S.ORDERS_DEDUPE_ORDER)
-    return first.withColumns({"year": F.year("created_at"), "month": F.month("created_at"), "day": F.dayofmonth("created_at")})
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], KEPT)
-    return spark.read.schema(KEPT).option("basePath", path).parquet(path)
-
-
 def _stage(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
@@ -70,28 +50,39 @@ def _parts(key: int) -> tuple[int | None, int | None, int | None]:
 
 def rebuild_kept(bronze: DataFrame, kept_path: str) -> None:
     """The kept table of everything in ``bronze`` (created_at as text)."""
-    write_partitioned(_choose(bronze.withColumn("created_at", parse_ts("created_at"))), kept_path, DAY)
+    chosen = _stage(choose(bronze.withColumn("created_at", parse_ts("created_at"))), "kept-all")
+    KeptOrders(bronze.sparkSession, kept_path).write_base(chosen)
+
+
+def _silver_days(spark: SparkSession, path: str, days: list[int]) -> DataFrame:
+    """The silver rows of some days (a literal filter on the partition columns); none if there is no table yet."""
+    schema = finish_orders(spark.createDataFrame([], KEPT).select(*COLUMNS)).schema
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(path).where(day_key().isin(days))
 
 
 def merge_orders(bronze: DataFrame, kept_path: str, silver_path: str) -> list[int]:
     """Merge newly landed rows; returns the rewritten event days (yyyymmdd, 0 for no date).
 
-    One number a calendar day comes to the driver; rows never do.
+    One number a calendar day, and one a bucket of the kept table, come to the driver; rows never do.
     """
     spark = bronze.sparkSession
-    new = _stage(_choose(bronze.withColumn("created_at", parse_ts("created_at"))), "landed")
-    kept = _read(spark, kept_path)
-    # a dedupe key is read from all days (one column), the rows only where it matches
-    old = _stage(kept.join(new.select("order_id"), "order_id", "left_semi").select(*kept.columns), "kept-before")
-    best = _stage(_choose(new.unionByName(old)), "kept-after")
-    changed = best.subtract(old)
-    before = old.join(changed.select("order_id"), "order_id", "left_semi")
-    days = sorted(r[0] for r in changed.select(day_key().alias("k")).union(before.select(day_key().alias("k"))).distinct().collect())
+    kept = KeptOrders(spark, kept_path)
+    new = _stage(choose(bronze.withColumn("created_at", parse_ts("created_at"))), "landed")
+    old = _stage(kept.lookup(new, _stage), "kept-before").withColumn("copy", F.struct(*KEPT.names))
+    best = choose(new.unionByName(old.drop("copy")))
+    was = old.select("order_id", "copy")
+    both = best.withColumn("now", F.struct(*KEPT.names)).join(was, "order_id", "left")
+    changed = _stage(both.where(~F.col("now").eqNullSafe(F.col("copy"))).select(*KEPT.names, F.col("copy").isNotNull().alias("known"),
+                                                                              *[F.col(f"copy.{c}").alias(f"old_{c}") for c in DAY]), "changed")
+    before = changed.where("known").select(day_key(*[f"old_{c}" for c in DAY]).alias("k"))
+    days = sorted(r[0] for r in changed.select(day_key().alias("k")).union(before).distinct().collect())
     if not days:
         return []
-    changed = _stage(changed, "changed")
-    rest = kept.where(day_key().isin(days)).join(changed.select("order_id"), "order_id", "left_anti")
-    rows = _stage(rest.select(*kept.columns).unionByName(changed), "days")
-    _replace_days(finish_orders(rows.select(*_COLUMNS)), silver_path, days)
-    _replace_days(rows, kept_path, days)
+    fresh = finish_orders(changed.select(*COLUMNS))
+    rest = _silver_days(spark, silver_path, days).join(changed.select("order_id"), "order_id", "left_anti")
+    rows = _stage(rest.select(*fresh.columns).unionByName(fresh), "days")
+    _replace_days(rows, silver_path, days)
+    kept.append(changed)
     return days

@@ -18,8 +18,10 @@ from pyspark.sql import functions as F
 from ledgerflow import schemas as S
 from ledgerflow.operators import gold, quality, silver
 from ledgerflow.plans import incremental, models
+from ledgerflow.plans.kept import KeptOrders
 from ledgerflow.plans.metadata import Warehouse, _now, flush_catalog, log_dq, log_run, register_table
-from ledgerflow.sinks import drop_partitions, path_exists, remove_path, replace_table, write_partitioned, write_table
+from ledgerflow.sinks import drop_partitions, remove_path, replace_table, write_partitioned, write_table
+from ledgerflow.sources.register import FooterRegister
 from ledgerflow.sources.tables import read_drifting
 
 
@@ -64,26 +66,26 @@ def bronze_to_silver(wh: Warehouse, bronze_orders: DataFrame, bronze_customers:
     _silver_job(wh, "products", bronze_products, silver.clean_products)
 
 
+def order_footers(wh: Warehouse) -> FooterRegister:
+    """The register of the landed order files' footers."""
+    return FooterRegister(wh.spark, wh.path("bronze", "orders"), wh.path("meta", "order_footers"))
+
+
 def landed_orders(wh: Warehouse, since: str | None = None, before: str | None = None) -> DataFrame:
-    """Bronze orders by landing folder: from ``since`` on, or ``before`` a date; files without one are in both."""
-    landed = read_orders(wh, keep_landing=True)
-    key = incremental.day_key("_landed_year", "_landed_month", "_landed_day")
+    """Bronze orders by landing folder: from ``since`` on, or ``before`` a date; files without one are in both.
+
+    Only the files of those folders are read, and only footers that no earlier run has registered."""
 
-    def number(date: str):
-        d = F.to_date(F.lit(date))
-        return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+    def number(date: str | None) -> int | None:
+        return None if date is None else int(date.replace("-", ""))
 
-    if since is not None:
-        landed = landed.where((key >= number(since)) | (key == 0))
-    if before is not None:
-        landed = landed.where(key < number(before))
-    return landed.select(*S.BRONZE_ORDERS.names)
+    return order_footers(wh).read(S.BRONZE_ORDERS, since=number(since), before=number(before))
 
 
 def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
     """Incremental SV1: merge the order files landed on or after ``landed_since``.
 
-    Only the new landing folders are read (partition pruning). The event days that they
+    Only the new landing folders are read, and of the kept table only the buckets that may hold their orders. The event days that they
     change are rewritten, and nothing else; the result equals a full rebuild, however late
     a copy lands (see ``incremental``). Returns the rewritten event days as yyyymmdd keys, 0
     standing for rows without a readable date.
@@ -92,7 +94,7 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
     days: list[int] = []
 
     def body():
-        if not path_exists(wh.spark, kept):
+        if not KeptOrders(wh.spark, kept).exists():
             incremental.rebuild_kept(landed_orders(wh, before=landed_since), kept)
         fresh = landed_orders(wh, since=landed_since)
         days.extend(incremental.merge_orders(fresh, kept, location))
@@ -220,7 +222,7 @@ def read_orders(wh: Warehouse, keep_landing: bool = False) -> DataFrame:
     year/month/day from event time.
     """
     landing = ["year", "month", "day"] if keep_landing else []
-    landed = read_drifting(wh.spark, wh.path("bronze", "orders"), S.BRONZE_ORDERS, landing)
+    landed = order_footers(wh).read(S.BRONZE_ORDERS, landing)
     return landed.withColumnsRenamed({c: f"_landed_{c}" for c in landing})
 
 

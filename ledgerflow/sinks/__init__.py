@@ -3,6 +3,7 @@ from ledgerflow.sinks.writers import (  # noqa: F401
     cap,
     drop_partitions,
     latest_version,
+    list_versions,
     path_exists,
     prune_versions,
     remove_path,

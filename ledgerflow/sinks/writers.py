@@ -93,22 +93,22 @@ def replace_table(df: DataFrame, path: str) -> None:
     spark.catalog.refreshByPath(path)
 
 
-def _versions(spark, root: str, prefix: str) -> list[int]:
-    """Committed versions (``<prefix><n>`` with a _SUCCESS marker), oldest first; a listing on the driver."""
+def list_versions(spark, root: str, prefix: str, marker: str | None = "_SUCCESS") -> list[int]:
+    """Committed versions (``<prefix><n>`` with a marker file; None: any), oldest first; a listing on the driver."""
     fs, path = _hadoop(spark, root)
     if not fs.exists(path):
         return []
     found = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(prefix) and path_exists(spark, f"{root.rstrip('/')}/{name}/_SUCCESS"):
+        if st.isDirectory() and name.startswith(prefix) and (marker is None or path_exists(spark, f"{root.rstrip('/')}/{name}/{marker}")):
             found.append(int(name[len(prefix):]))
     return sorted(found)
 
 
 def latest_version(spark, root: str, before: int | None = None, prefix: str = "version=") -> str | None:
     """Folder of the newest committed version under ``root``; with ``before``, the newest strictly older one."""
-    found = [n for n in _versions(spark, root, prefix) if before is None or n < before]
+    found = [n for n in list_versions(spark, root, prefix) if before is None or n < before]
     return f"{root.rstrip('/')}/{prefix}{found[-1]}" if found else None
 
 
@@ -139,7 +139,7 @@ def drop_partitions(spark, root: str, partitions: Sequence[dict]) -> None:
 
 def prune_versions(spark, root: str, keep: int = 2, prefix: str = "version=") -> None:
     """Delete all but the newest ``keep`` committed versions (older ones have no readers left)."""
-    found = _versions(spark, root, prefix)
+    found = list_versions(spark, root, prefix)
     for n in found[:-keep]:
         remove_path(spark, f"{root.rstrip('/')}/{prefix}{n}")
 

@@ -50,11 +50,9 @@ def list_files(spark: SparkSession, root: str) -> DataFrame:
 
 
 def footer_schemas(files: DataFrame) -> DataFrame:
-    """(path, footer) of each file in ``files`` (column path), read by executors (footers only)."""
+    """``files`` (column path, and others) with the footer of each file, read by executors (footers only)."""
     import json
 
-    import pandas as pd
-
     def read_footers(batches):
         import pyarrow.parquet as pq
         from pyarrow import fs as pafs
@@ -72,9 +70,9 @@ def footer_schemas(files: DataFrame) -> DataFrame:
             for p in pdf["path"]:
                 sch = open_schema(p)
                 out.append(json.dumps([[f.name, str(f.type)] for f in sch if f.name != "__index_level_0__"]))
-            yield pd.DataFrame({"path": pdf["path"], "footer": out})
+            yield pdf.assign(footer=out)
 
-    return files.select("path").mapInPandas(read_footers, "path string, footer string")
+    return files.mapInPandas(read_footers, T.StructType([*files.schema.fields, T.StructField("footer", T.StringType())]))
 
 
 def _by_footer(files: DataFrame) -> DataFrame:
@@ -89,12 +87,13 @@ def read_files(files: DataFrame, target: T.StructType) -> DataFrame | None:
     """The rows of some files (column path), each group of equal footers with its own schema, cast to ``target``."""
     out = None
     for row in _by_footer(files).toLocalIterator():
-        part = _cast(files.sparkSession.read.parquet(*row.paths), target, ())
+        part = cast_to(files.sparkSession.read.parquet(*row.paths), target, ())
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def _cast(part: DataFrame, target: T.StructType, extra: Sequence[str]) -> DataFrame:
+def cast_to(part: DataFrame, target: T.StructType, extra: Sequence[str] = ()) -> DataFrame:
+    """The columns of ``target`` (NULL where ``part`` lacks one), and ``extra`` as whole numbers."""
     have = set(part.columns)
     cols = []
     for f in target.fields:
@@ -119,9 +118,9 @@ def read_drifting(spark: SparkSession, root: str, target: T.StructType, partitio
         return spark.createDataFrame([], T.StructType([*target.fields, *[T.StructField(c, T.IntegerType()) for c in partition_cols]]))
     reader = spark.read.option("basePath", root) if partition_cols else spark.read.option("recursiveFileLookup", "true")
     if len(first) == 1:
-        return _cast(reader.parquet(root), target, partition_cols)
+        return cast_to(reader.parquet(root), target, partition_cols)
     out = None
     for row in groups.toLocalIterator():
-        part = _cast(reader.parquet(*row.paths), target, partition_cols)
+        part = cast_to(reader.parquet(*row.paths), target, partition_cols)
         out = part if out is None else out.unionByName(part)
     return out

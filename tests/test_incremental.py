@@ -148,3 +148,116 @@ def test_a_failed_merge_is_repeated_without_loss(spark, monkeypatch):
     jobs.bronze_to_silver_incremental(wh, "2024-03-01")
     got = wh.read("silver", "orders").collect()
     assert [(r.order_id, r.product_id, r.day) for r in got] == [("a", 1, 12)]
+
+
+def _bytes_read(df, folder):
+    """Bytes of the files that the scans under ``folder`` opened, from the metrics of a plan that has run."""
+    total = 0
+
+    def walk(node):
+        nonlocal total
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.startswith("Scan") and folder in node.toString():
+            total += node.metrics().apply("filesSize").value()
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return total
+
+
+def _size(path):
+    import os
+
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+
+def test_a_batch_opens_only_buckets_that_may_hold_its_orders(spark):
+    from ledgerflow.plans.kept import KeptOrders, choose
+
+    root = scratch_path(spark, "kept")
+    rows = orders_df(spark, [order("x")]).drop("order_id", "created_at")
+    many = spark.range(200_000).crossJoin(rows).withColumn("order_id", F.concat(F.lit("o"), "id")).withColumn(
+        "created_at", F.to_timestamp(F.lit("2024-01-01")) + F.make_dt_interval(F.pmod("id", F.lit(300)).cast("int"))
+    )
+    kept = KeptOrders(spark, root)
+    kept.write_base(choose(many))
+    # 0.1 % of the orders land: two are late copies
+    batch = spark.createDataFrame([(f"new{i}",) for i in range(198)] + [("o5",), ("o77777",)], "order_id string")
+    maybe = kept.may_hold(batch)
+    index_bytes = _bytes_read(maybe, "index")
+    assert {"o5", "o77777"} <= {r.order_id for r in maybe.collect()} and maybe.count() < 12
+    stages = {}
+
+    def stage(df, name):
+        stages[name] = incremental._stage(df, name)
+        return stages[name]
+
+    found = kept.lookup(batch, stage)
+    opened = _bytes_read(found, "/rows")
+    assert sorted(r.order_id for r in found.collect()) == ["o5", "o77777"]
+    whole = _size(f"{root}/base=0/rows")
+    assert opened < 0.1 * whole, (opened, whole)
+    print("kept table", whole, "opened", opened, "index", index_bytes)
+
+
+def test_deltas_become_part_of_the_base(spark, monkeypatch):
+    from ledgerflow.plans import kept as K
+
+    monkeypatch.setattr(K, "DELTA_ROWS", 3)
+    root = scratch_path(spark, "kept-deltas")
+    ts = lambda day: F.to_timestamp(F.lit(f"2024-01-{day:02d}"))
+    copy = lambda i, p, day: orders_df(spark, [order(i, product_id=p)]).withColumn("created_at", ts(day))
+    table = K.KeptOrders(spark, root)
+    assert not table.exists() and table.read().count() == 0
+    for n, (i, p) in enumerate([("a", 5), ("b", 5), ("a", 4), ("c", 1), ("d", 1), ("a", 3)]):
+        table.append(K.choose(copy(i, p, n + 1)))
+    assert table._base() is not None and len(table._deltas(table._base())) <= 3
+    assert sorted((r.order_id, r.product_id) for r in table.read().collect()) == [("a", 3), ("b", 5), ("c", 1), ("d", 1)]
+    ids = spark.createDataFrame([("a",), ("c",), ("zz",)], "order_id string")
+    assert sorted((r.order_id, r.product_id) for r in table.lookup(ids, incremental._stage).collect()) == [("a", 3), ("c", 1)]
+
+
+def test_a_half_written_kept_table_does_not_count(spark, monkeypatch):
+    first = [order("a", created_at="2024-01-10T10:00:00+00:00"), order("b", created_at="2024-01-11T10:00:00+00:00")]
+    second = [order("c", created_at="2024-01-10T12:00:00+00:00")]
+    wh = Warehouse(spark, scratch_path(spark, "incr-half"))
+    _land(wh, orders_df(spark, first), "2024-01-31")
+    jobs._silver_job(wh, "orders", jobs.read_orders(wh), silver.clean_orders, ("year", "month", "day"))
+    _land(wh, orders_df(spark, second), "2024-03-02")
+    kept = wh.path("silver", "orders_kept")
+    # what a run leaves that dies before its commit
+    spark.range(1).write.parquet(f"{kept}/base=0/rows/_temporary/0")
+    spark.range(1).write.parquet(f"{kept}/delta=4/_temporary/0")
+    jobs.bronze_to_silver_incremental(wh, "2024-03-01")
+    assert sorted(r.order_id for r in wh.read("silver", "orders").collect()) == ["a", "b", "c"]
+
+
+def test_only_footers_of_new_files_are_opened(spark, monkeypatch):
+    from ledgerflow.sources import register
+
+    wh = Warehouse(spark, scratch_path(spark, "register"))
+    opened = []
+    whole = register.footer_schemas
+
+    def counting(files):
+        opened.append(files.count())
+        return whole(files)
+
+    monkeypatch.setattr(register, "footer_schemas", counting)
+    _land(wh, orders_df(spark, [order("a"), order("b")]).coalesce(1), "2024-01-31")
+    _land(wh, orders_df(spark, [order("c")]).coalesce(1), "2024-02-01")
+    assert jobs.read_orders(wh).count() == 3
+    _land(wh, orders_df(spark, [order("d")]).coalesce(1).withColumn("discount", F.lit(0)), "2024-03-02")
+    fresh = jobs.landed_orders(wh, since="2024-03-01")
+    assert [r.order_id for r in fresh.collect()] == ["d"]
+    assert opened == [2, 1]
+    assert jobs.landed_orders(wh, before="2024-02-01").count() == 2
+    assert jobs.read_orders(wh).count() == 4 and opened == [2, 1, 0, 0]
+    kinds = jobs.order_footers(wh).entries()
+    assert kinds.count() == 3 and kinds.select("footer").distinct().count() == 2
