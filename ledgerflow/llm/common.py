@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.session import checkpoint_root, scratch_path
 
-__all__ = ["checkpoint_root", "filter_rows", "materialize", "pick", "scratch_path", "ship", "small_batches", "table", "text_and_id"]
+__all__ = ["checkpoint_root", "filter_rows", "materialize", "pick", "position", "scratch_path", "ship", "small_batches", "table", "text_and_id"]
 
 _SHIPPED = "spark.ledgerflow.llm.shipped"
 
@@ -70,6 +70,13 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def position(df: DataFrame, name: str) -> int:
+    """Where a column stands: the one called exactly so, else the first that differs in case only."""
+    if name in df.columns:
+        return df.columns.index(name)
+    return [c.lower() for c in df.columns].index(name.lower())
+
+
 def pick(df: DataFrame, **cols: tuple[str, str]) -> DataFrame:
     """Just the columns asked for: ``pick(df, out_name=(column, type))``.
 
@@ -77,10 +84,8 @@ def pick(df: DataFrame, **cols: tuple[str, str]) -> DataFrame:
     names that differ in case only, or that the operator uses for its result.
     A column is the one called exactly so, else the first that differs in case only.
     """
-    names = df.columns
-    lower = [c.lower() for c in names]
-    flat = df.toDF(*[f"c{i}" for i in range(len(names))])
-    at = {out: names.index(name) if name in names else lower.index(name.lower()) for out, (name, _) in cols.items()}
+    flat = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    at = {out: position(df, name) for out, (name, _) in cols.items()}
     return flat.select(*[F.col(f"c{at[out]}").cast(kind).alias(out) for out, (_, kind) in cols.items()])
 
 
@@ -92,7 +97,8 @@ def text_and_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def filter_rows(docs: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
     """The rows of ``docs`` (all columns, as they are) for which ``keep`` gives True, in one scan.
 
-    ``keep`` gets Arrow batches whose columns stand in the order of ``docs.columns``.
+    ``keep`` gets Arrow batches whose columns stand in the order of ``docs.columns``, which may clash in all but
+    their place. Nulls, repeated rows and very long values pass as they are; an empty table stays empty.
     """
     ship(docs.sparkSession)
     names = docs.columns

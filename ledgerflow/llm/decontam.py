@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import kernels as K
-from ledgerflow.llm.common import filter_rows, pick, ship, text_and_id
+from ledgerflow.llm.common import filter_rows, pick, position, ship, text_and_id
 
 SEED = 3
 MATCH, MISMATCH, GAP = 2, -1, 1
@@ -268,9 +268,13 @@ def contaminated(
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id"
 ) -> DataFrame:
-    """The rows (all columns) that hold no passage of a test item; see ``contaminated``."""
+    """The rows (all columns) that hold no passage of a test item; see ``contaminated``.
+
+    Defined cases: null and empty texts hold none and stay, whatever their id; repeated rows go or stay together; a
+    very long text is searched whole; without items all rows stay; other columns, also with clashing names, come back as they are.
+    """
     ship(docs.sparkSession)
-    at = docs.columns.index(text_col)
+    at = position(docs, text_col)
     for items in _item_blocks(benchmark, item_col, "text"):
         shared = docs.sparkSession.sparkContext.broadcast(Index.build(items))
 

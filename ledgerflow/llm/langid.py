@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import kernels as K
-from ledgerflow.llm.common import filter_rows, materialize, pick, ship, text_and_id
+from ledgerflow.llm.common import filter_rows, materialize, pick, position, ship, text_and_id
 
 #: Orders (characters in lower case) and buckets of the n-grams.
 ORDERS = (2, 3)
@@ -174,10 +174,14 @@ def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_
 
     Rows without a letter, and rows whose best language has a posterior below
     ``min_score``, go; the language named in the input has no say in it.
+
+    Defined cases: null and empty texts have no letter and go; null ids and a null lang are no reason to go; of
+    equally likely languages the first by name counts; repeated rows go or stay together; very long
+    texts count whole; other columns, also with clashing names, come back as they are; an empty table stays empty.
     """
     model = train_split(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
+    at = position(docs, text_col)
 
     def keep(batch: pa.RecordBatch) -> np.ndarray:
         langs, score = predict_arrow(shared.value, batch.column(at))

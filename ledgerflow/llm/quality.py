@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerflow.llm import kernels as K
-from ledgerflow.llm.common import filter_rows, pick, ship
+from ledgerflow.llm.common import filter_rows, pick, position, ship
 
 #: Most labelled rows that a fit uses, and about how many unlabelled ones.
 MAX_LABELLED = 3000
@@ -323,13 +323,18 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows (all columns) that the classifier does not reject."""
+    """The rows (all columns) that the classifier does not reject.
+
+    Defined cases as in ``score``: null and empty texts are judged by the constant and their metadata, null ids and
+    repeated rows like any other, very long texts whole; without a model all rows stay;
+    other columns, also with clashing names, come back as they are; an empty table stays empty.
+    """
     model = train(docs, labels, id_col, text_col)
     if model is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [c.lower() for c in docs.columns]
-    text = docs.columns.index(text_col)
+    text = position(docs, text_col)
     meta = tuple(names.index(c) if c in names else None for c in META)
 
     def keep(batch: pa.RecordBatch) -> np.ndarray:

@@ -1,5 +1,7 @@
 """The corpus pipeline, stage by stage, and the registered queries."""
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry
 import corpus_pipeline
 from ledgerflow.llm import decontam, langid, minhash, packing, quality
@@ -56,9 +58,25 @@ def test_an_empty_corpus_passes_through(spark):
     assert docs.count() == 0
 
 
+def test_stages_take_null_ids_clashing_names_repeated_and_long_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    text = docs.first().text
+    extra = spark.createDataFrame([(None, text), (None, None), (3, ""), (900, text + " more"), (901, " ".join([text] * 300))], "doc_id long, text string")
+    odd = docs.unionByName(extra, allowMissingColumns=True).unionByName(docs.limit(5))
+    names = [{"text": "Text"}.get(c, c) for c in odd.columns]
+    odd = odd.toDF(*names).withColumns({"keep": F.lit("k"), "c0": F.lit(1), "score": F.lit(2)})
+    odd = spark.createDataFrame(odd.collect(), odd.schema)
+    found = odd
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, found, SF)
+        if name != "cost_balanced_packing":
+            assert found.columns == odd.columns, name
+    assert found.count() > 0
+
+
 def test_one_query_for_each_operator_is_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in entry.oracle_sql()
     assert minhash.TREES * minhash.LEVELS <= minhash.SKETCH
