@@ -15,8 +15,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Chunks of one generation of a Python worker's cache (about 100 MB); two are kept.
-CACHE_ENTRIES = 400_000
+#: Chunks of one generation of a Python worker's cache (about 50 MB; two are kept), and word pieces (about 100 MB).
+CACHE_ENTRIES, PIECE_ENTRIES = 200_000, 400_000
 #: Long texts are handed on in pieces of about this many bytes, cut at ASCII white space.
 PIECE_BYTES = 1 << 20
 
@@ -70,7 +70,7 @@ class _Pieces(dict):
         self.model = model
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= PIECE_ENTRIES:
             self.clear()
         got = self[piece] = _id_bytes([t.id for t in self.model.tokenize(to_alphabet(piece))])
         return got
