@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm import kernels as K
 from ledgerflow.llm.common import ship, text_and_id
-from ledgerflow.llm.tokens import CACHE_ENTRIES, _word_pattern, resolve, text_pieces, to_alphabet
+from ledgerflow.llm.tokens import PIECE_ENTRIES as CACHE_ENTRIES
+from ledgerflow.llm.tokens import _word_pattern, resolve, text_pieces, to_alphabet
 
 _SHIFT = 20  # a pair of symbols is one number: left << 20 | right
 _MASK = (1 << 40) - 1
