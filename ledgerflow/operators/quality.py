@@ -64,8 +64,22 @@ def _failure_counts(checks: Checks) -> list[Column]:
 
 def run_checks(df: DataFrame, table_name: str, layer: str, checks: Checks) -> DataFrame:
     """DQ1 as a DataFrame: one row per check with rows_tested, rows_failed, status."""
+    return _report(df.agg(*_failure_counts(checks)), table_name, layer, checks)
+
+
+def part_counts(df: DataFrame, part: Column, checks: Checks) -> DataFrame:
+    """Rows tested and failed by part of a table (column ``part``): counts that add up to those of ``run_checks``."""
+    return df.groupBy(part.alias("part")).agg(*_failure_counts(checks))
+
+
+def total_checks(counts: DataFrame, table_name: str, layer: str, checks: Checks) -> DataFrame:
+    """DQ1 from the counts of all parts."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("rows_tested", *[f"_f{i}" for i in range(len(checks))])]
+    return _report(counts.agg(*sums), table_name, layer, checks)
+
+
+def _report(counts: DataFrame, table_name: str, layer: str, checks: Checks) -> DataFrame:
     names = list(checks)
-    counts = df.agg(*_failure_counts(checks))
     pairs = ", ".join(f"'{n}', _f{i}" for i, n in enumerate(names))
     rows = counts.selectExpr("rows_tested", f"stack({len(names)}, {pairs}) AS (check_name, rows_failed)")
     return rows.select(

@@ -20,7 +20,8 @@ from ledgerflow.operators import gold, quality, silver
 from ledgerflow.plans import incremental, models
 from ledgerflow.plans.kept import KeptOrders
 from ledgerflow.plans.metadata import Warehouse, _now, flush_catalog, log_dq, log_run, register_table
-from ledgerflow.sinks import drop_partitions, remove_path, replace_table, write_partitioned, write_table
+from ledgerflow.sinks import drop_partitions, latest_version, path_exists, prune_versions, remove_path, replace_table
+from ledgerflow.sinks import write_mark, write_partitioned, write_table, write_version
 from ledgerflow.sources.register import FooterRegister
 from ledgerflow.sources.tables import read_drifting
 
@@ -37,9 +38,44 @@ def _job(wh: Warehouse, name: str, layer: str, body: Callable[[], tuple[int, int
     return rows_read, rows_written
 
 
-def _log_silver(wh: Warehouse, table: str) -> int:
-    """DQ rows, row count and catalog entry of a committed silver table."""
-    checked = quality.run_checks(wh.read("silver", table), table, "silver", quality.CHECK_SETS[table]()).collect()  # a row a check
+def _order_counts(wh: Warehouse) -> str:
+    """Where the check counts of the silver orders are kept by event day (versioned)."""
+    return wh.path("meta", "order_check_counts")
+
+
+def touched_orders(wh: Warehouse, days: list[int]) -> DataFrame:
+    """The silver orders of some event days; reads only their folders."""
+    return wh.read("silver", "orders").where(incremental.day_key().isin(days))
+
+
+def _order_checks(wh: Warehouse, days: list[int] | None) -> DataFrame:
+    """DQ1 of the silver orders from stored counts by event day: those of ``days`` are counted anew, None for all.
+
+    The counts of the other days come from the last version, so an incremental run reads only what it has rewritten.
+    Without a version, or if a run has died between silver and its counts (its mark is there), all days are counted.
+    """
+    root, checks = _order_counts(wh), quality.orders_checks()
+    current = latest_version(wh.spark, root)
+    if days is None or current is None:
+        counts = quality.part_counts(wh.read("silver", "orders"), incremental.day_key(), checks)
+    elif days:
+        kept = wh.spark.read.parquet(current).where(~F.col("part").isin(days))
+        counts = kept.unionByName(quality.part_counts(touched_orders(wh, days), incremental.day_key(), checks))
+    else:
+        return quality.total_checks(wh.spark.read.parquet(current), "orders", "silver", checks)
+    version = 0 if current is None else int(current.rsplit("=", 1)[1]) + 1
+    write_version(counts, root, version)
+    prune_versions(wh.spark, root)
+    return quality.total_checks(wh.spark.read.parquet(latest_version(wh.spark, root)), "orders", "silver", checks)
+
+
+def _log_silver(wh: Warehouse, table: str, days: list[int] | None = None) -> int:
+    """DQ rows, row count and catalog entry of a committed silver table; ``days``: the only ones of the orders that have changed."""
+    if table == "orders":
+        found = _order_checks(wh, days)
+    else:
+        found = quality.run_checks(wh.read("silver", table), table, "silver", quality.CHECK_SETS[table]())
+    checked = found.collect()  # a row a check
     columns = "table_name string, layer string, check_name string, status string, rows_tested long, rows_failed long"
     log_dq(wh, wh.spark.createDataFrame(checked, columns))
     written = checked[0].rows_tested
@@ -97,8 +133,13 @@ def bronze_to_silver_incremental(wh: Warehouse, landed_since: str) -> list[int]:
         if not KeptOrders(wh.spark, kept).exists():
             incremental.rebuild_kept(landed_orders(wh, before=landed_since), kept)
         fresh = landed_orders(wh, since=landed_since)
+        mark = f"{_order_counts(wh)}_open"
+        whole = path_exists(wh.spark, mark)  # an earlier run has died before its counts were stored
+        write_mark(wh.spark, mark)
         days.extend(incremental.merge_orders(fresh, kept, location))
-        return fresh.count(), _log_silver(wh, "orders")
+        written = _log_silver(wh, "orders", None if whole else days)
+        remove_path(wh.spark, mark)
+        return fresh.count(), written
 
     try:
         _job(wh, S.RUN_NAMES["orders"] + "_incremental", "silver", body)
@@ -111,7 +152,7 @@ def silver_to_gold_incremental(wh: Warehouse, days: list[int], as_of=None, vip_o
                                premium_over=S.PREMIUM_OVER) -> None:
     """Gold after an incremental silver run that rewrote ``days`` (yyyymmdd, 0 for no date):
 
-    * daily_sales: the touched days are recomputed from a pruned read and take the place of
+    * daily_sales and the customer sketches: the touched days are recomputed from a pruned read and take the place of
       their old rows, also where nothing is left of a day;
     * product_performance: the touched months are recomputed and their ``period``
       folders replaced, those without rows removed;
@@ -126,6 +167,9 @@ def silver_to_gold_incremental(wh: Warehouse, days: list[int], as_of=None, vip_o
     part = orders.filter(F.floor(incremental.day_key() / 100).cast("long").isin(months))
 
     def daily_body():
+        stored = wh.read("gold", "daily_customers")
+        kept = stored.filter(~F.coalesce(F.date_format("date", "yyyyMMdd").cast("int"), F.lit(0)).isin(days))
+        replace_table(kept.unionByName(gold.daily_customers(touched)), wh.path("gold", "daily_customers"))
         current = wh.read("gold", "daily_sales")
         date = F.coalesce(F.date_format("date", "yyyyMMdd").cast("int"), F.lit(0))
         untouched = current.filter(~date.isin(days))
@@ -175,6 +219,7 @@ def silver_to_gold(wh: Warehouse, as_of=None, vip_over=S.VIP_OVER, premium_over=
     orders = wh.read("silver", "orders")
     completed = lambda: orders.filter(F.col("status") == "completed").count()
     _gold_job(wh, "daily_sales", completed, lambda: gold.daily_sales(orders))
+    write_table(gold.daily_customers(orders), wh.path("gold", "daily_customers"))
     _gold_job(
         wh, "product_performance", orders.count,
         lambda: gold.product_performance(orders, wh.read("silver", "products")), ("period",),

@@ -295,6 +295,27 @@ def incremental_warehouse(spark, sf_dir):
     return wh
 
 
+def _incremental_dq(spark, sf_dir):
+    """DQ1 after the incremental run, as it logged it: counts of the rewritten days and stored counts of the others."""
+    wh = incremental_warehouse(spark, sf_dir)
+    log = wh.read("meta", "dq_results").where("table_name = 'orders'")
+    last = log.select(F.max("run_at").alias("run_at"))
+    return log.join(last, "run_at").select("table_name", "layer", "check_name", "status", "rows_tested", "rows_failed")
+
+
+def _rolling_customers(spark, sf_dir):
+    """AGG9: distinct customers of 30 days from the stored sketches, beside the exact count from silver.
+
+    ``close`` says whether the estimate is within 5 % (three standard errors of the sketch) and one customer."""
+    wh = batch_warehouse(spark, sf_dir)
+    sketched = gold.rolling_customers(wh.read("gold", "daily_customers"))
+    done = wh.read("silver", "orders").where("status = 'completed'").select(F.to_date("created_at").alias("d"), "customer_id").distinct()
+    ends = F.explode(F.sequence("d", F.date_add("d", 29)))
+    exact = done.select(ends.alias("date"), "customer_id").groupBy("date").agg(F.count_distinct("customer_id").alias("customers_30d"))
+    near = F.abs(F.col("customers") - F.col("customers_30d")) <= F.col("customers_30d") * 0.05 + 1
+    return sketched.join(exact, "date").select("date", "customers_30d", near.alias("close"))
+
+
 def _read_drift(spark, sf_dir):
     """SRC7: order files as different writers land them: money as double, an integer discount of
     0, decimals, and files without the payment method."""
@@ -347,6 +368,8 @@ WAREHOUSE_QUERIES = {
     "table_tests": _table_tests,
     "incremental_orders": lambda s, d: incremental_warehouse(s, d).read("silver", "orders").drop("_ingested_at"),
     "incremental_daily_sales": lambda s, d: incremental_warehouse(s, d).read("gold", "daily_sales"),
+    "incremental_dq": _incremental_dq,
+    "report_rolling_customers": _rolling_customers,
     "read_drift": _read_drift,
     "report_runs": _report_runs,
     "report_catalog": _report_catalog,
@@ -403,5 +426,36 @@ def _stream_daily(spark, sf_dir):
     return spark.read.parquet(latest_version(spark, dst))
 
 
+def _stream_dedupe(spark, sf_dir):
+    """ST1 with state: a feed that delivers a part again, once while the state knows it and once as changed copies that lose."""
+    from ledgerflow.session import scratch_path
+    from ledgerflow.streaming import stream_deduped_orders
+
+    landing, out, ckpt = (scratch_path(spark, n) for n in ("landing-dd", "dedupe-silver", "ckpt-dd"))
+    bronze = Lineage(spark, sf_dir).bronze_orders()
+    bronze.coalesce(2).write.parquet(f"{landing}/arrival_1")
+    stream_deduped_orders(spark, landing, out, ckpt).awaitTermination()
+    again = bronze.where("created_at >= '2001'")
+    again.unionByName(again.withColumn("product_id", F.col("product_id") + 1_000_000_000)).coalesce(2).write.parquet(f"{landing}/arrival_2")
+    stream_deduped_orders(spark, landing, out, ckpt).awaitTermination()
+    return spark.read.parquet(out).drop("_ingested_at")
+
+
+def _stream_windows(spark, sf_dir):
+    """ST2 with state: the pipeline's silver orders as day windows in several micro-batches, closed in two steps."""
+    from ledgerflow.session import scratch_path
+    from ledgerflow.streaming import close_days, daily_figures, stream_day_windows
+
+    wh = batch_warehouse(spark, sf_dir)
+    windows, closed, ckpt = (scratch_path(spark, n) for n in ("windows", "windows-closed", "ckpt-windows"))
+    src, schema = wh.path("silver", "orders"), wh.read("silver", "orders").schema
+    stream_day_windows(spark, src, windows, ckpt, schema, max_files_per_trigger=1500).awaitTermination()
+    close_days(spark, windows, src, closed, schema, before=20000101)
+    close_days(spark, windows, src, closed, schema)
+    return daily_figures(spark, windows, src, closed)
+
+
+WAREHOUSE_QUERIES["stream_dedupe"] = _stream_dedupe
+WAREHOUSE_QUERIES["stream_windows"] = _stream_windows
 WAREHOUSE_QUERIES["stream_clean"] = _stream_clean
 WAREHOUSE_QUERIES["stream_daily"] = _stream_daily

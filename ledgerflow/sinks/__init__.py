@@ -3,12 +3,14 @@ from ledgerflow.sinks.writers import (  # noqa: F401
     cap,
     drop_partitions,
     latest_version,
+    list_days,
     list_versions,
     path_exists,
     prune_versions,
     remove_path,
     replace_table,
     upsert,
+    write_mark,
     write_partitioned,
     write_table,
     write_version,

@@ -123,6 +123,12 @@ def path_exists(spark, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_mark(spark, path: str) -> None:
+    """An empty file that says that something has begun."""
+    fs, p = _hadoop(spark, path)
+    fs.create(p, True).close()
+
+
 def remove_path(spark, path: str) -> None:
     """Delete a table or folder of this pipeline (nothing if it is not there)."""
     fs, p = _hadoop(spark, path)
@@ -137,6 +143,16 @@ def drop_partitions(spark, root: str, partitions: Sequence[dict]) -> None:
         remove_path(spark, f"{root.rstrip('/')}/{name}")
 
 
+def list_days(spark, root: str) -> list[int]:
+    """yyyymmdd of the day folders (year=/month=/day=) of a table, 0 for the one without a date; a listing, no scan."""
+    fs, path = _hadoop(spark, f"{root.rstrip('/')}/year=*/month=*/day=*")
+    found = []
+    for st in fs.globStatus(path) or []:
+        values = [part.partition("=")[2] for part in st.getPath().toString().rsplit("/", 3)[1:]]
+        found.append(int(values[0]) * 10000 + int(values[1]) * 100 + int(values[2]) if all(v.isdigit() for v in values) else 0)
+    return found
+
+
 def prune_versions(spark, root: str, keep: int = 2, prefix: str = "version=") -> None:
     """Delete all but the newest ``keep`` committed versions (older ones have no readers left)."""
     found = list_versions(spark, root, prefix)

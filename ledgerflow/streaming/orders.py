@@ -28,7 +28,7 @@ from ledgerflow import schemas as S
 from ledgerflow.operators.gold import daily_sales
 from ledgerflow.plans.incremental import day_key, merge_orders
 from ledgerflow.sinks import latest_version as _latest
-from ledgerflow.sinks import path_exists, prune_versions, write_version
+from ledgerflow.sinks import list_days, path_exists, prune_versions, write_version
 from ledgerflow.sources.tables import read_files
 
 #: What Spark's binaryFile source offers; only the path is read here.
@@ -63,12 +63,40 @@ def stream_clean_orders(
     return names.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def stream_deduped_orders(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    checkpoint: str,
+    horizon: str = "7 days",
+    max_files_per_trigger: int | None = FILES_PER_BATCH,
+) -> StreamingQuery:
+    """ST1 with bounded state, for feeds whose files share the bronze schema.
+
+    Feeds deliver files again. The state store holds the rows that arrived within ``horizon``; a row that is
+    equal to one of them in every column is dropped there and costs no merge. All other rows are merged by order id as in
+    ``stream_clean_orders``: new orders, changed copies, and copies that come when the state has forgotten theirs.
+    The watermark runs over the time of arrival, so no row is ever late, and state is bounded by what arrives in the
+    horizon. Silver equals the full rebuild with any horizon.
+    """
+    reader = spark.readStream.schema(S.BRONZE_ORDERS).option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = reader.parquet(src).withColumn("arrived", F.current_timestamp()).withWatermark("arrived", horizon)
+    fresh = rows.dropDuplicatesWithinWatermark(S.BRONZE_ORDERS.names).drop("arrived")
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        merge_orders(batch, f"{dst.rstrip('/')}_kept", dst)  # stages the batch first: the state is computed once
+
+    return fresh.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> str | None:
     """Folder of the newest committed epoch of an ST2 table."""
     return _latest(spark, root, before, prefix="epoch=")
 
 
-def _replace_days(fresh: DataFrame, dst: str, epoch_id: int, days: list[int], open_days: DataFrame) -> None:
+def _replace_days(fresh: DataFrame, dst: str, epoch_id: int, days: list[int], open_days: list[int]) -> None:
     """The next version: the previous one without ``days`` and without days that silver no longer has, and ``fresh``."""
     session = fresh.sparkSession
     # the newest epoch BEFORE this one: a retried epoch never reads what it overwrites
@@ -76,7 +104,7 @@ def _replace_days(fresh: DataFrame, dst: str, epoch_id: int, days: list[int], op
     if current is not None:
         old = session.read.parquet(current)
         key = F.coalesce(F.date_format("date", "yyyyMMdd").cast("int"), F.lit(0))
-        old = old.filter(~key.isin(days)).withColumn("k", key).join(open_days, "k", "left_semi").drop("k")
+        old = old.filter(~key.isin(days) & key.isin(open_days))
         fresh = old.unionByName(fresh)
     write_version(fresh, dst, epoch_id, prefix="epoch=")
     prune_versions(session, dst, prefix="epoch=")
@@ -106,8 +134,8 @@ def stream_daily_sales(
         if not days or not path_exists(session, silver_src):
             return
         silver_now = session.read.option("basePath", silver_src).schema(silver_schema).parquet(silver_src)
-        open_days = silver_now.select(day_key().alias("k")).distinct()
-        _replace_days(daily_sales(silver_now.filter(day_key().isin(days))), dst, epoch_id, days, open_days)
+        fresh = daily_sales(silver_now.filter(day_key().isin(days)))
+        _replace_days(fresh, dst, epoch_id, days, list_days(session, silver_src))
 
     stream = reader.parquet(silver_src).select("year", "month", "day").writeStream.outputMode("append").foreachBatch(recompute)
     return stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

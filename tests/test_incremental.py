@@ -1,6 +1,8 @@
 """Incremental silver orders: only touched event days are rewritten, and the
 result equals a full rebuild."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -261,3 +263,61 @@ def test_only_footers_of_new_files_are_opened(spark, monkeypatch):
     assert jobs.read_orders(wh).count() == 4 and opened == [2, 1, 0, 0]
     kinds = jobs.order_footers(wh).entries()
     assert kinds.count() == 3 and kinds.select("footer").distinct().count() == 2
+
+
+def _dq(wh):
+    log = wh.read("meta", "dq_results").where("table_name = 'orders'")
+    last = log.agg({"run_at": "max"}).first()[0]
+    rows = log.where(log.run_at == last).collect()
+    return sorted((r.check_name, r.status, r.rows_tested, r.rows_failed) for r in rows)
+
+
+def test_check_counts_are_kept_by_day(spark):
+    from fixtures import customer, customers_df, order, orders_df, product, products_df
+    from ledgerflow.operators import quality
+    from ledgerflow.plans import jobs, registry
+    from ledgerflow.plans.metadata import Warehouse
+    from ledgerflow.session import scratch_path
+    from ledgerflow.sinks import path_exists, write_mark
+
+    def scan():
+        found = quality.run_checks(wh.read("silver", "orders"), "orders", "silver", quality.orders_checks()).collect()
+        return sorted((r.check_name, r.status, r.rows_tested, r.rows_failed) for r in found)
+
+    wh = Warehouse(spark, scratch_path(spark, "dq-days"))
+    rows = [order(f"a{i}", quantity=500 if i % 2 else 1, created_at=f"2024-01-{10 + i}T00:00:00+00:00") for i in range(6)]
+    jobs.land_bronze(wh, orders_df(spark, [*rows, order("n", status="odd", created_at="?")]), customers_df(spark, [customer(1)]), products_df(spark, [product(1)]))
+    jobs.bronze_to_silver(wh, *jobs.read_bronze(wh))
+    assert _dq(wh) == scan()
+    # a copy that moves a bad row to another day, and one that repairs the row without a date
+    late = [order("a1", product_id=0, quantity=500, created_at="2024-01-20T00:00:00+00:00"), order("n", product_id=0, created_at="2024-01-10T00:00:00+00:00")]
+    registry._land(orders_df(spark, late), wh, "2024-02-01")
+    days = jobs.bronze_to_silver_incremental(wh, "2024-02-01")
+    assert days == [0, 20240110, 20240111, 20240120] and _dq(wh) == scan()
+    plan = jobs.touched_orders(wh, days)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*year.*20240110", plan)  # only the folders of those days are opened
+    # a run that lands nothing takes the stored counts; a mark left by a dead run has everything counted anew
+    assert jobs.bronze_to_silver_incremental(wh, "2024-03-01") == [] and _dq(wh) == scan()
+    counts = jobs._order_counts(wh)
+    wrong = spark.createDataFrame([(20240110, 99, 9, 9, 9, 9, 9)], "part int, rows_tested long, _f0 long, _f1 long, _f2 long, _f3 long, _f4 long")
+    jobs.write_version(wrong, counts, 90)
+    write_mark(spark, f"{counts}_open")
+    jobs.bronze_to_silver_incremental(wh, "2024-03-01")
+    assert _dq(wh) == scan() and not path_exists(spark, f"{counts}_open")
+
+
+def test_customer_sketches_union_over_windows(spark):
+    from fixtures import order, orders_df
+    from ledgerflow.operators import gold, silver
+
+    rows = [order(f"o{i}", customer_id=i % 7, created_at=f"2024-0{1 + i % 3}-{10 + i % 15}T00:00:00+00:00") for i in range(60)]
+    rows += [order("n", created_at=None), order("x", customer_id=99, status="cancelled")]
+    orders = silver.clean_orders(orders_df(spark, rows), ingested_at=False)
+    got = {str(r.date): r.customers for r in gold.rolling_customers(gold.daily_customers(orders), 30).collect()}
+    import datetime as dt
+
+    done = {(dt.date.fromisoformat(r[12][:10]), r[1]) for r in rows if r[12] and r[7 + 3] == "completed"}
+    want = {str(d): len({c for e, c in done if d - dt.timedelta(29) <= e <= d}) for d, _ in done}
+    assert got == want
+    none = silver.clean_orders(orders_df(spark, []), ingested_at=False)
+    assert gold.rolling_customers(gold.daily_customers(none)).count() == 0
