@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.ranking import By, ntile_global, rank_within
+from ledgerflow.operators.ranking import By, ntile_columns, rank_within
 from ledgerflow.session import scratch_path
 
 
@@ -83,13 +83,12 @@ def customer_ltv(segments: DataFrame, best_is_4: bool = False, stored: bool = Fa
     ``stored``: ``segments`` is a table already; else the columns in use are written once."""
     base = segments.select("customer_id", "segment", "total_spent", "order_count", "last_order_at", "clv_score")
     q = base if stored else _once(base, "segments")
-    keys = q
-    for c, out, nulls_first in (
-        ("total_spent", "monetary_quartile", True),
-        ("order_count", "frequency_quartile", True),
-        ("last_order_at", "recency_quartile", False),
-    ):
-        q = ntile_global(q, 4, By(c, desc=not best_is_4, nulls_first=nulls_first), "customer_id", out, keys)
+    orders = [
+        (By("total_spent", not best_is_4), "monetary_quartile"),
+        (By("order_count", not best_is_4), "frequency_quartile"),
+        (By("last_order_at", not best_is_4, nulls_first=False), "recency_quartile"),
+    ]
+    q = ntile_columns(q, 4, orders, "customer_id")
     m, f, r = F.col("monetary_quartile"), F.col("frequency_quartile"), F.col("recency_quartile")
     rfm_segment = (
         F.when((m == 4) & (f == 4), "champion")

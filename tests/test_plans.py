@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from ledgerflow.operators import quality
-from ledgerflow.operators.ranking import By, ntile_global, rank_within
+from ledgerflow.operators.ranking import By, _inside, _order_keys, narrowed, ntile_columns, ntile_global, rank_within
 from ledgerflow.plans import registry
 
 
@@ -67,6 +67,25 @@ def test_ltv_has_no_single_partition_over_customers(spark):
     assert not all(_makes_few_rows(n) for n in _single_partition_inputs(bad._jdf.queryExecution().executedPlan(), []))
 
 
+def test_quartiles_of_one_hot_day(spark):
+    """Every row on one day, a third of them at one instant, some null: no window over the day, same result as the built-in."""
+    rows = 60_000
+    instant = F.expr("timestamp_micros(946684800000000 + pmod(xxhash64(id), 3000000000))")
+    at = F.when(F.col("id") % 3 == 0, F.lit("2000-01-01 12:00:00").cast("timestamp")).when(F.col("id") % 7 != 1, instant)
+    paid, score = F.expr("cast(pmod(xxhash64(id, 1), 9000) / 100 as decimal(18,2))"), F.expr("pmod(xxhash64(id, 2), 1000) / 7")
+    path = spark.conf.get("spark.checkpoint.dir") + "/hot_day"
+    spark.range(rows).select("id", at.alias("at"), paid.alias("paid"), score.alias("score")).write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path)
+    orders = [(By("at", True, False), "q_at"), (By("paid"), "q_paid"), (By("score", False), "q_score")]
+    got = ntile_columns(df, 4, orders, "id").select("id", "q_at", "q_paid", "q_score")
+    by = {"q_at": F.col("at").desc_nulls_last(), "q_paid": F.col("paid").desc_nulls_first(), "q_score": F.col("score").asc_nulls_first()}
+    want = df.select("id", *[F.ntile(4).over(Window.orderBy(o, "id")).alias(c) for c, o in by.items()])
+    assert got.exceptAll(want).count() == 0 and got.count() == rows
+    keyed = _order_keys(df, [orders[0][0]], "id")
+    left = {n: [r.n for r in _inside(keyed, narrowed(keyed, 4, n)).groupBy("lo").agg(F.count_distinct("k").alias("n")).collect()] for n in (0, 1)}
+    assert max(left[0]) > rows / 3 and max(left[1]) < rows / 500  # values that one task looks at
+
+
 def test_ntile_matches_builtin_with_ties(spark):
     rnd = random.Random(7)
     rows = [(i, rnd.choice([1, 2, 2, 3, 3, 3, None])) for i in range(997)]
