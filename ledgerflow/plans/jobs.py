@@ -21,7 +21,7 @@ from ledgerflow.plans import incremental, models
 from ledgerflow.plans.kept import KeptOrders
 from ledgerflow.plans.metadata import Warehouse, _now, flush_catalog, log_dq, log_run, register_table
 from ledgerflow.sinks import drop_partitions, latest_version, path_exists, prune_versions, remove_path, replace_table
-from ledgerflow.sinks import write_mark, write_partitioned, write_table, write_version
+from ledgerflow.sinks import write_clustered, write_mark, write_partitioned, write_table, write_version
 from ledgerflow.sources.register import FooterRegister
 from ledgerflow.sources.tables import read_drifting
 
@@ -231,13 +231,16 @@ def silver_to_gold(wh: Warehouse, as_of=None, vip_over=S.VIP_OVER, premium_over=
 
 
 def build_models(wh: Warehouse) -> None:
-    """SNK7: materialise the three gold models (create or replace)."""
+    """SNK7: materialise the three gold models (create or replace); customer_ltv is laid out for lookups by customer."""
     for name, build in (
         ("revenue_trends", lambda: models.revenue_trends(wh.read("gold", "daily_sales"))),
         ("top_products", lambda: models.top_products(wh.read("gold", "product_performance", False), stored=True)),
         ("customer_ltv", lambda: models.customer_ltv(wh.read("gold", "customer_segments"), stored=True)),
     ):
-        write_table(build(), wh.path("gold", name))
+        if name == "customer_ltv":
+            write_clustered(build(), wh.path("gold", name), "customer_id")
+        else:
+            write_table(build(), wh.path("gold", name))
         _register(wh, name, name != "top_products")
 
 

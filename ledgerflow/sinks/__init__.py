@@ -10,6 +10,7 @@ from ledgerflow.sinks.writers import (  # noqa: F401
     remove_path,
     replace_table,
     upsert,
+    write_clustered,
     write_mark,
     write_partitioned,
     write_table,

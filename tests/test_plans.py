@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from ledgerflow.operators import quality
 from ledgerflow.operators.ranking import By, _inside, _order_keys, narrowed, ntile_columns, ntile_global, rank_within
 from ledgerflow.plans import registry
+from ledgerflow.sinks import write_clustered
 
 
 def _final_plan(df):
@@ -86,6 +87,30 @@ def test_quartiles_of_one_hot_day(spark):
     assert max(left[0]) > rows / 3 and max(left[1]) < rows / 500  # values that one task looks at
 
 
+def _scanned(df):
+    """(rows found, rows that the Parquet scan decoded)."""
+    found = len(df.collect())
+    node = df._jdf.queryExecution().executedPlan()
+    while not node.nodeName().startswith("Scan"):
+        node = node.children().apply(0)
+    return found, node.metrics().apply("numOutputRows").value()
+
+
+def test_lookup_in_a_clustered_table_reads_one_row_group(spark):
+    path, rows = spark.conf.get("spark.checkpoint.dir") + "/clustered", 120_000
+    ids = spark.range(0, 2 * rows, 2).select(F.col("id").alias("customer_id"), F.md5(F.col("id").cast("string")).alias("x"))
+    nobody = ids.limit(1).withColumn("customer_id", F.lit(None).cast("long"))
+    write_clustered(ids.orderBy(F.rand(1)).unionByName(nobody), path, "customer_id", row_group_mb=1)
+    table = spark.read.parquet(path)
+    assert table.count() == rows + 1
+    for key in (0, 1234, rows, 2 * rows - 2):
+        found, decoded = _scanned(table.where(F.col("customer_id") == key))
+        assert found == 1 and decoded <= 30_000  # one of at least five row groups
+    # not there, though inside the range of a row group: its Bloom filter says so, and nothing is decoded
+    assert [_scanned(table.where(F.col("customer_id") == key)) for key in (1235, 3 * rows)] == [(0, 0), (0, 0)]
+    assert table.where("customer_id is null").count() == 1
+
+
 def test_ntile_matches_builtin_with_ties(spark):
     rnd = random.Random(7)
     rows = [(i, rnd.choice([1, 2, 2, 3, 3, 3, None])) for i in range(997)]
