@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +28,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
         spark.conf.set("spark.sql.session.timeZone", "UTC")  # the pipeline's calendar, see README
-        self._seq = 0
+        self._seq = time.time_ns() // 1000  # later processes go on with higher numbers
         self.pending_catalog: list[tuple] = []
 
     def path(self, layer: str, name: str) -> str:
