@@ -122,7 +122,7 @@ def narrowed(rows: DataFrame, n: int, levels: int = LEVELS) -> DataFrame:
     slices = rows.groupBy("c", "f", "s").agg(*ends)  # bounded by the grid of slices
     total = F.sum("n").over(Window.partitionBy("c"))
     starts = [F.struct(F.lit(i).alias("p"), (F.floor(total / n) * i + F.least(F.lit(i), total % n)).alias("off")) for i in range(1, n)]
-    # of buckets that begin at one row (fewer rows than buckets), and after the last, none is lost: their cut is the same or is not reached
+    # with fewer rows than buckets, the last ones begin behind the last row: in no slice, so they have no cut and stay empty
     ranges = _wanted(slices.withColumn("wants", F.array(*starts)), ["c"], ["f", "s"]).select("c", "f", "lo", "hi", "wants")
     for _ in range(levels):
         width = (F.col("hi") - F.col("lo")).cast("double")
