@@ -30,10 +30,12 @@ def day_key(year="year", month="month", day="day"):
     return F.coalesce(F.col(year) * 10000 + F.col(month) * 100 + F.col(day), F.lit(0))
 
 
-def _stage(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
+def _stage(df: DataFrame, name: str, spark: SparkSession | None = None) -> DataFrame:
+    """Write and reread an intermediate result, with ``spark`` in that session."""
+    spark = spark or df.sparkSession
+    path = scratch_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _replace_days(rows: DataFrame, path: str, days: list[int]) -> None:
@@ -62,14 +64,16 @@ def _silver_days(spark: SparkSession, path: str, days: list[int]) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path).where(day_key().isin(days))
 
 
-def merge_orders(bronze: DataFrame, kept_path: str, silver_path: str) -> list[int]:
+def merge_orders(bronze: DataFrame, kept_path: str, silver_path: str, spark: SparkSession | None = None) -> list[int]:
     """Merge newly landed rows; returns the rewritten event days (yyyymmdd, 0 for no date).
 
     One number a calendar day, and one a bucket of the kept table, come to the driver; rows never do.
+    A micro-batch with state has a session without adaptive execution, in which ``rebalance`` does nothing and every task
+    writes a file a day: ``spark`` is the session for everything after the batch itself is staged.
     """
-    spark = bronze.sparkSession
+    spark = spark or bronze.sparkSession
     kept = KeptOrders(spark, kept_path)
-    new = _stage(choose(bronze.withColumn("created_at", parse_ts("created_at"))), "landed")
+    new = _stage(choose(bronze.withColumn("created_at", parse_ts("created_at"))), "landed", spark)
     old = _stage(kept.lookup(new, _stage), "kept-before").withColumn("copy", F.struct(*KEPT.names))
     best = choose(new.unionByName(old.drop("copy")))
     was = old.select("order_id", "copy")

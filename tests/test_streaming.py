@@ -152,3 +152,16 @@ def test_sketches_of_state_add_up(spark):
     got = day_figures(partials(rows)).first()
     assert (got.total_orders, str(got.total_revenue), str(got.avg_order), got.top_category) == (60_000, "75000.00", "1.25", "0")
     assert abs(got.unique_customers - 20_000) < 1_000
+
+
+def test_a_stream_with_state_writes_few_files(spark):
+    import glob
+
+    landing, out, ck = (scratch_path(spark, n) for n in ("t-few-landing", "t-few-silver", "t-few-ck"))
+    rows = [order(f"o{i}", created_at=f"2024-{i % 6 + 1:02d}-{i % 28 + 1:02d}T10:00:00+00:00") for i in range(4000)]
+    orders_df(spark, rows).repartition(4).write.parquet(f"{landing}/1")
+    stream_deduped_orders(spark, landing, out, ck).awaitTermination()
+    days = len(glob.glob(f"{out}/*/*/*"))
+    # not a file a day from each task, which is what a session without adaptive execution writes
+    assert days == 84 and len(glob.glob(f"{out}/*/*/*/*.parquet")) < 2 * days
+    assert _rows(spark.read.parquet(out)) == _rows(silver.clean_orders(orders_df(spark, rows), ingested_at=False))
