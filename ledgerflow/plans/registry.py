@@ -398,6 +398,17 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return out
 
 
+def _arrive(rows: DataFrame, path: str) -> int:
+    """Land one arrival of a feed, a file from each task that makes its rows; returns the number of files.
+
+    A ``coalesce`` before the write would run the joins behind the rows in as few tasks as files, whatever the size.
+    """
+    from ledgerflow.sources.tables import list_files
+
+    rows.write.parquet(path)
+    return list_files(rows.sparkSession, path).count()
+
+
 def _stream_clean(spark, sf_dir):
     """ST1: bronze orders arrive newest first, in several files and two runs, with a re-delivered
     month and orders years late; each run takes micro-batches of a few files. Silver equals the batch job's."""
@@ -406,10 +417,10 @@ def _stream_clean(spark, sf_dir):
 
     landing, out, ckpt = (scratch_path(spark, n) for n in ("landing", "stream-silver", "ckpt-st1"))
     bronze = Lineage(spark, sf_dir).bronze_orders()
-    bronze.where("created_at >= '1998'").coalesce(2).write.parquet(f"{landing}/arrival_1")
-    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=1).awaitTermination()
-    bronze.where("created_at < '1998' or created_at >= '2001-07'").coalesce(2).write.parquet(f"{landing}/arrival_2")
-    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=2).awaitTermination()
+    files = _arrive(bronze.where("created_at >= '1998'"), f"{landing}/arrival_1")
+    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=max(1, -(-files // 2))).awaitTermination()
+    files = _arrive(bronze.where("created_at < '1998' or created_at >= '2001-07'"), f"{landing}/arrival_2")
+    stream_clean_orders(spark, landing, out, ckpt, max_files_per_trigger=max(1, files)).awaitTermination()
     return spark.read.parquet(out).drop("_ingested_at")
 
 
@@ -433,10 +444,10 @@ def _stream_dedupe(spark, sf_dir):
 
     landing, out, ckpt = (scratch_path(spark, n) for n in ("landing-dd", "dedupe-silver", "ckpt-dd"))
     bronze = Lineage(spark, sf_dir).bronze_orders()
-    bronze.coalesce(2).write.parquet(f"{landing}/arrival_1")
+    _arrive(bronze, f"{landing}/arrival_1")
     stream_deduped_orders(spark, landing, out, ckpt).awaitTermination()
     again = bronze.where("created_at >= '2001'")
-    again.unionByName(again.withColumn("product_id", F.col("product_id") + 1_000_000_000)).coalesce(2).write.parquet(f"{landing}/arrival_2")
+    _arrive(again.unionByName(again.withColumn("product_id", F.col("product_id") + 1_000_000_000)), f"{landing}/arrival_2")
     stream_deduped_orders(spark, landing, out, ckpt).awaitTermination()
     return spark.read.parquet(out).drop("_ingested_at")
 

@@ -165,3 +165,26 @@ def test_a_stream_with_state_writes_few_files(spark):
     # not a file a day from each task, which is what a session without adaptive execution writes
     assert days == 84 and len(glob.glob(f"{out}/*/*/*/*.parquet")) < 2 * days
     assert _rows(spark.read.parquet(out)) == _rows(silver.clean_orders(orders_df(spark, rows), ingested_at=False))
+
+
+def test_arrivals_are_written_by_the_tasks_that_make_their_rows(spark, monkeypatch):
+    import glob
+
+    from ledgerflow.plans import registry
+
+    # half of them in the last month, which is delivered twice
+    rows = [order(f"o{i}", created_at=f"{'2001-07' if i % 2 else '1999-03'}-{i % 28 + 1:02d}T10:00:00+00:00") for i in range(600)]
+    bronze = orders_df(spark, rows).repartition(6)
+    monkeypatch.setattr(registry.Lineage, "bronze_orders", lambda self: bronze)
+    roots = {}
+
+    def named(session, name):
+        roots[name] = scratch_path(session, name)
+        return roots[name]
+
+    monkeypatch.setattr("ledgerflow.session.scratch_path", named)
+    want = _rows(silver.clean_orders(bronze, ingested_at=False))
+    for query, landing in ((registry._stream_clean, "landing"), (registry._stream_dedupe, "landing-dd")):
+        assert _rows(query(spark, "")) == want
+        # 6 tasks a file each, where a coalesce left 2 tasks for everything behind the write
+        assert len(glob.glob(f"{roots[landing]}/arrival_1/*.parquet")) == 6
