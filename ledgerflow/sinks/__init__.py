@@ -9,10 +9,12 @@ from ledgerflow.sinks.writers import (  # noqa: F401
     prune_versions,
     remove_path,
     replace_table,
+    spread,
     upsert,
     write_clustered,
     write_mark,
     write_partitioned,
+    write_spread,
     write_table,
     write_version,
 )
