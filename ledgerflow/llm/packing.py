@@ -32,6 +32,8 @@ from ledgerflow.llm.tokens import encoder, resolve
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Rows handed to Spark hold about this many bytes of ids at a time.
 OUT_BYTES = 1 << 22
+#: Chunks of one generation of a worker's cache here: packing ends the pipeline, beside the heap of all its stages.
+CHUNKS = 100_000
 
 
 def balance(lengths: list[int], capacity: int, linear: float, quadratic: float) -> list[tuple[int, int, int, int, int]]:
@@ -88,7 +90,7 @@ def _pack(path: str, capacity: int, final_id: int | None, linear: float, quadrat
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, CHUNKS)
         context = TaskContext.get()
         seq = (context.partitionId() if context else 0) << 40
         out = _Out()
@@ -126,6 +128,7 @@ def _pack(path: str, capacity: int, final_id: int | None, linear: float, quadrat
         flush()
         if out.rows:
             yield out.take()
+        enc.rest()
 
     return run
 

@@ -14,6 +14,7 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 
 #: Chunks of one generation of a Python worker's cache (about 50 MB; two are kept), and word pieces (about 100 MB).
 CACHE_ENTRIES, PIECE_ENTRIES = 200_000, 400_000
@@ -82,16 +83,17 @@ class _Chunks(dict):
     A full cache becomes the old generation, from which chunks that still occur come back.
     """
 
-    def __init__(self, tokenizer, pattern: str) -> None:
+    def __init__(self, tokenizer, pattern: str, entries: int | None = None) -> None:
         import regex
 
+        self.entries = entries
         self.tokenizer, self.find, self.pieces = tokenizer, regex.compile(pattern).findall, _Pieces(tokenizer.model)
         # in ASCII text the letters and digits are these
         self.find_ascii = re.compile(pattern.replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")).findall if _CLASSES_ONLY(pattern) else self.find
         self.old: dict[bytes, bytes] = {}
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= (self.entries or CACHE_ENTRIES):
             self.old = dict(self)
             self.clear()
         got = self.old.get(chunk)
@@ -116,7 +118,7 @@ class _Chunks(dict):
 class Encoder:
     """Encodes texts as ``Tokenizer.from_file(path).encode(text, add_special_tokens=False)`` does."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, entries: int | None = None) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -126,7 +128,13 @@ class Encoder:
             spec = json.load(f)
         pattern = _word_pattern(spec)
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.chunks = _Chunks(self.tokenizer, pattern) if pattern else None
+        self.chunks = _Chunks(self.tokenizer, pattern, entries) if pattern else None
+
+    def rest(self) -> None:
+        """Keep only the newest generation of the cache: Spark holds idle workers, and later jobs need their memory."""
+        if self.chunks is not None:
+            self.chunks.old = {}
+        pa.default_memory_pool().release_unused()
 
     def ids(self, data: np.ndarray, lo: int, hi: int) -> Iterator[bytes]:
         """The ids of one text as little-endian uint32 bytes, in pieces."""
@@ -157,14 +165,14 @@ def _word_pattern(spec: dict) -> str | None:
     return steps[0]["pattern"]["Regex"] if fits else None
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, int | None], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file; Spark reuses the worker for later tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, entries: int | None = None) -> Encoder:
+    """The worker's encoder for a tokenizer file; Spark reuses the worker for later tasks. ``entries``: chunks of a cache generation."""
+    if (path, entries) not in _ENCODERS:
+        _ENCODERS[path, entries] = Encoder(path, entries)
+    return _ENCODERS[path, entries]
 
 
 def resolve(name: str) -> str:

@@ -160,3 +160,17 @@ def test_matrix_round_trip(spark, tmp_path):
     assert len({r.sequence_id for r in rows}) == len(rows)
     _check_pieces(pieces, docs.collect(), _library())
     assert token_matrix.pack_matrices(docs.limit(0)).count() == 0
+
+
+def test_an_idle_packing_worker_keeps_one_generation_of_its_cache(monkeypatch):
+    import pyarrow as pa
+
+    from ledgerflow.llm import packing
+    from ledgerflow.llm.tokens import encoder, resolve
+
+    path = resolve("word_bpe_49k.json")
+    monkeypatch.setattr(packing, "CHUNKS", 50)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": [" ".join(f"word{i}" for i in range(500))]})
+    pieces = list(packing._pack(path, 2048, 1, 1.0, 1.0 / 6144, 1 << 20)(iter([batch])))
+    chunks = encoder(path, 50).chunks
+    assert sum(b.num_rows for b in pieces) == 1 and len(chunks) <= 50 and not chunks.old
