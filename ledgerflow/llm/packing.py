@@ -109,8 +109,8 @@ def _pack(path: str, capacity: int, final_id: int | None, linear: float, quadrat
 
         for batch in batches:
             data, offs = K.text_buffers(batch.column("text"))
-            for doc, lo, hi in zip(batch.column("doc_id").to_pylist(), offs[:-1].tolist(), offs[1:].tolist(), strict=True):
-                ids = b"".join(enc.ids(data, lo, hi)) + tail
+            for doc, ids in zip(batch.column("doc_id").to_pylist(), enc.texts(data, offs), strict=True):
+                ids += tail
                 total = len(ids) // 4
                 whole = len(ids) - len(ids) % width
                 for at in range(0, whole, width):

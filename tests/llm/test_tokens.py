@@ -174,3 +174,38 @@ def test_an_idle_packing_worker_keeps_one_generation_of_its_cache(monkeypatch):
     pieces = list(packing._pack(path, 2048, 1, 1.0, 1.0 / 6144, 1 << 20)(iter([batch])))
     chunks = encoder(path, 50).chunks
     assert sum(b.num_rows for b in pieces) == 1 and len(chunks) <= 50 and not chunks.old
+
+
+def test_texts_of_a_column_equal_the_library_whatever_the_window(monkeypatch):
+    lib, path = _library(), tokens.resolve("word_bpe_49k.json")
+    texts = [*_odd_texts(400), "", None, "\0", "a \0 b\0 \0", " ", "x" * 90 + " " + "y" * 9000, "\x1cz", "<|endoftext|>", "Ⱥⱦ İİ", None, ""]
+    want = [lib.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 20)
+    for window in (1, 64, 1 << 22):
+        monkeypatch.setattr(tokens, "WINDOW_BYTES", window)
+        data, offs = K.text_buffers(pa.array(["cut off", *texts])[1:])
+        got = list(tokens.Encoder(path).texts(data, offs))
+        assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    assert list(tokens.Encoder(path).texts(*K.text_buffers(pa.array([None, ""])))) == [b"", b""]
+
+
+def test_matrices_search_a_batch_for_words_at_once_and_keep_frequent_chunks(monkeypatch):
+    path = tokens.resolve("word_bpe_49k.json")
+    monkeypatch.setattr(tokens, "CACHE_ENTRIES", 40)
+    enc, calls = tokens.Encoder(path), []
+    monkeypatch.setitem(tokens._ENCODERS, (path, None), enc)
+
+    def counting(find):
+        return lambda text: calls.append(text) or find(text)
+
+    for name in ("find", "find_ascii"):
+        if hasattr(enc.chunks, name):
+            monkeypatch.setattr(enc.chunks, name, counting(getattr(enc.chunks, name)))
+    often = [f"Often{i}" for i in range(30)]
+    for part in range(4):  # many words that come once, between words that come back
+        text = " ".join([*often, *often, *(f"once{part}x{i}" for i in range(60))])
+        batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": [text, text]})
+        assert sum(b.num_rows for b in token_matrix._pack(path, 2048, 1, 0, 1 << 20)(iter([batch]))) == 1
+    assert len(calls) == 4
+    assert sum("often" in c for c in calls) == 1
+    assert len(enc.chunks) <= 80
