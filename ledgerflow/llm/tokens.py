@@ -25,7 +25,7 @@ CACHE_ENTRIES, PIECE_ENTRIES = 200_000, 400_000
 #: Long texts are handed on in pieces of about this many bytes, cut at ASCII white space.
 PIECE_BYTES = 1 << 20
 #: Texts are cut into distinct chunks in windows of about this many bytes.
-WINDOW_BYTES = 1 << 22
+WINDOW_BYTES = 1 << 21
 
 #: The printable part of the first Unicode blocks: stable under NFC and lower-cased letter by letter.
 _PLAIN = re.compile("[!-~¡-¬®-ɏ]*").fullmatch
