@@ -1,6 +1,7 @@
 """Shuffles that follow the size of the table, and one shuffle for a dedupe and the partitioned write after it."""
 
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -84,3 +85,82 @@ def test_the_kept_base_takes_any_copies_and_shuffles_rows_once(spark):
     assert sorted(map(str, KeptOrders(spark, root).read().collect())) == sorted(map(str, want.collect()))
     base = spark.read.parquet(f"{root}/base=0/rows")
     assert base.count() == want.count()  # one copy an order id, not only when read
+
+
+def _below(df, node):
+    """The lines of the optimized plan under its first ``node``, which must be there."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = [len(re.match(r"[\s:+\-]*", x).group()) for x in lines]
+    top = next(i for i, x in enumerate(lines) if node in x)
+    end = next((i for i in range(top + 1, len(lines)) if depth[i] <= depth[top]), len(lines))
+    return "\n".join(lines[top:end])
+
+
+def test_the_shuffle_files_of_a_job_go_at_its_end(spark, tmp_path):
+    def held():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {str(blocks.apply(i)) for i in range(blocks.size()) if str(blocks.apply(i)).startswith("shuffle_")}
+
+    jobs = []  # what is referred to is not collected as garbage
+    with session.shuffle_width(spark, 1):
+        before = held()
+        for i in range(2):
+            jobs.append(spark.range(1000).groupBy((F.col("id") % 7 + i).alias("k")).count())
+            jobs[-1].hint("rebalance", "k").write.partitionBy("k").parquet(f"{tmp_path}/{i}")
+        for _ in range(50):
+            if not held() - before:
+                break
+            time.sleep(0.1)
+        assert not held() - before
+
+
+def test_a_large_advised_partition_is_made_smaller(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    with session.settings(spark, {key: "1g"}):
+        with session.shuffle_width(spark, 1):
+            assert spark.conf.get(key) == f"{session.TASK_BYTES}b"
+        assert spark.conf.get(key) == "1g"
+    with session.settings(spark, {key: "1k"}), session.shuffle_width(spark, 1):
+        assert spark.conf.get(key) == "1024b"
+
+
+def test_orders_are_dealt_by_day_before_the_texts_are_joined(spark, monkeypatch):
+    from ledgerflow.sources import driver
+
+    sf = "/root/testdata/sf0.001"
+    plain, dealt = driver.bronze_orders(spark, sf), driver.bronze_orders(spark, sf, by_day=True)
+    below = _below(dealt, "RebalancePartitions")
+    assert "l_orderkey" in below and "p_name" not in below and "n_name" not in below
+    monkeypatch.setattr(driver, "BROADCAST_ROWS", 0)
+    shuffled = driver.bronze_orders(spark, sf)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(dealt) == key(plain) == key(shuffled) and plain.columns == dealt.columns == shuffled.columns
+
+
+def test_rolling_customers_are_exact_without_a_row_for_each_day_of_the_window(spark):
+    from ledgerflow.operators import gold
+
+    at = lambda d: f"2024-{d}T10:00:00+00:00"
+    rows = [order(f"o{i}", customer_id=c, created_at=at(d)) for i, (c, d) in enumerate(
+        [(1, "01-01"), (1, "01-01"), (1, "01-03"), (1, "02-20"), (2, "01-30"), (2, "01-31"), (3, "01-31"), (3, "03-15"), (4, "03-01")])]
+    rows += [order("x", customer_id=9, status="cancelled"), order("y", customer_id=8, created_at=None), order("z", customer_id=1, created_at=at("12-31"))]
+    orders = silver.clean_orders(orders_df(spark, rows), ingested_at=False)
+    done = orders.where("status = 'completed'").select(F.to_date("created_at").alias("d"), "customer_id").distinct()
+    for days in (1, 3, 30):
+        every = done.select(F.explode(F.sequence("d", F.date_add("d", days - 1))).alias("date"), "customer_id")
+        want = every.groupBy("date").agg(F.count_distinct("customer_id").alias("n")).join(done.select(F.col("d").alias("date")).distinct(), "date")
+        got = gold.exact_rolling_customers(orders, days)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    plan = gold.exact_rolling_customers(orders)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence" not in plan
+
+
+def test_product_performance_takes_names_after_its_shuffle(spark):
+    from fixtures import product, products_df
+    from ledgerflow.operators import gold
+
+    orders = silver.clean_orders(orders_df(spark, _orders()), ingested_at=False)
+    products = products_df(spark, [product(i) for i in (1, 2, 3, 3)])
+    plain, dealt = (gold.product_performance(orders, products, by_period=b) for b in (False, True))
+    assert "units_sold" in _below(dealt, "RebalancePartitions") and "base_price" not in _below(dealt, "RebalancePartitions")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, dealt.collect())) and plain.columns == dealt.columns
