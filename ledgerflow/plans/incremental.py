@@ -19,10 +19,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.functions import parse_ts
-from ledgerflow.operators.silver import finish_orders
+from ledgerflow.operators.silver import finish_orders, write_stored_orders
 from ledgerflow.plans.kept import COLUMNS, DAY, KEPT, KeptOrders, choose
 from ledgerflow.session import scratch_path
-from ledgerflow.sinks import drop_partitions, path_exists, write_partitioned
+from ledgerflow.sinks import drop_partitions, list_days, path_exists, write_partitioned
 
 
 def day_key(year="year", month="month", day="day"):
@@ -64,6 +64,16 @@ def _silver_days(spark: SparkSession, path: str, days: list[int]) -> DataFrame:
     return spark.read.schema(schema).option("basePath", path).parquet(path).where(day_key().isin(days))
 
 
+def _first_orders(bronze: DataFrame, kept: KeptOrders, silver_path: str) -> list[int]:
+    """Merge of rows (a scan of files) into nothing: silver and the kept table as a full run makes them; returns the event days."""
+    rows = bronze.count()  # from Parquet footers
+    if not rows:
+        return []
+    write_stored_orders(bronze, silver_path)
+    kept.write_base(bronze.withColumn("created_at", parse_ts("created_at")), rows)
+    return sorted(list_days(bronze.sparkSession, silver_path))
+
+
 def merge_orders(bronze: DataFrame, kept_path: str, silver_path: str, spark: SparkSession | None = None) -> list[int]:
     """Merge newly landed rows; returns the rewritten event days (yyyymmdd, 0 for no date).
 
@@ -73,6 +83,8 @@ def merge_orders(bronze: DataFrame, kept_path: str, silver_path: str, spark: Spa
     """
     spark = spark or bronze.sparkSession
     kept = KeptOrders(spark, kept_path)
+    if not kept.exists() and not path_exists(spark, silver_path):
+        return _first_orders(_stage(bronze, "landed", spark), kept, silver_path)
     new = _stage(choose(bronze.withColumn("created_at", parse_ts("created_at"))), "landed", spark)
     old = _stage(kept.lookup(new, _stage), "kept-before").withColumn("copy", F.struct(*KEPT.names))
     best = choose(new.unionByName(old.drop("copy")))
