@@ -321,3 +321,21 @@ def test_customer_sketches_union_over_windows(spark):
     assert got == want
     none = silver.clean_orders(orders_df(spark, []), ingested_at=False)
     assert gold.rolling_customers(gold.daily_customers(none)).count() == 0
+
+
+def test_a_merge_leaves_no_intermediate_tables(spark):
+    import os
+
+    from ledgerflow.session import checkpoint_root
+
+    top = f"{checkpoint_root(spark).removeprefix('file://')}/tables"
+    kept, out = scratch_path(spark, "t-clean-kept"), scratch_path(spark, "t-clean-silver")
+    first, later = [order("a"), order("b")], [order("b", product_id=0), order("c", created_at="2024-02-01T00:00:00+00:00")]
+    before = set(os.listdir(top))
+    names = ("landed", "kept-maybe", "kept-before", "changed", "days")
+    for n, rows in enumerate((first, later, later)):  # into nothing, with changes, without a change
+        days = incremental.merge_orders(orders_df(spark, rows), kept, out)
+        assert days == [[20240110], [20240110, 20240201], []][n]
+        assert not [x for x in set(os.listdir(top)) - before if x.startswith(names)]
+    want = silver.clean_orders(orders_df(spark, first + later), ingested_at=False)
+    assert _rows(spark.read.parquet(out).select(*want.columns)) == _rows(want)
